@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.fixed_values import LATEST_MATCHES, PREVIEW_ROWS
@@ -20,20 +20,28 @@ API_ERROR = "api_error"
 NO_PARTICIPANTS = "no_participants"
 
 
-def with_parsed(documents: DataFrame) -> DataFrame:
+def with_parsed(documents: DataFrame, where: Column | None = None) -> DataFrame:
     """Add the parsed document ``doc`` and the ``match_id`` of each payload.
 
     ``match_id`` is null for a document that carries a null id or an unusable ``metadata``,
     and an empty string when ``metadata`` or ``matchId`` is absent. from_json gives null for
     both, so the absent case looks at the object keys; that runs only where the id is null.
+
+    ``where`` names the payloads worth parsing. It guards the parse instead of filtering rows,
+    because a filter is moved below whatever computes the payload and computes it again.
     """
     payload = F.col("json_payload")
+    wanted = payload if where is None else F.when(where, payload)
     metadata = F.get_json_object(payload, "$.metadata")
     metadata_absent = ~F.array_contains(F.json_object_keys(payload), "metadata")
     id_absent = ~F.array_contains(F.json_object_keys(metadata), "matchId")
-    return documents.withColumn("doc", F.from_json(payload, DOCUMENT_SCHEMA, JSON_OPTIONS)).withColumn(
+    has_entries = F.col("doc.info.participants").isNotNull()
+    return documents.withColumn("doc", F.from_json(wanted, DOCUMENT_SCHEMA, JSON_OPTIONS)).withColumn(
         "match_id",
-        F.coalesce(F.col("doc.metadata.matchId"), F.when(metadata_absent | id_absent, F.lit(""))),
+        F.coalesce(
+            F.col("doc.metadata.matchId"),
+            F.when(has_entries & (metadata_absent | id_absent), F.lit("")),
+        ),
     )
 
 
@@ -52,8 +60,12 @@ def with_status(documents: DataFrame) -> DataFrame:
 
 
 def quarantine(documents: DataFrame) -> DataFrame:
-    """The documents that yield no games, with the reason."""
-    return with_status(documents).where(F.col("payload_status") != OK)
+    """The documents that yield no games, with the reason.
+
+    The choice is part of the emitted array, as a filter on a parsed value parses twice.
+    """
+    row = F.array(F.struct("json_payload", "payload_status"))
+    return with_status(documents).select(F.inline(F.when(F.col("payload_status") != OK, row)))
 
 
 def preview(df: DataFrame, *order: str, rows: int = PREVIEW_ROWS) -> DataFrame:
@@ -67,14 +79,17 @@ def match_index(documents: DataFrame) -> DataFrame:
     Copies of a document are folded before they are shuffled.
     """
     doc = F.from_json("json_payload", INDEX_SCHEMA, JSON_OPTIONS)
+    match_id, game_ts = F.col("doc.metadata.matchId"), F.col("doc.info.gameEndTimestamp")
+    players = F.filter("doc.info.participants.puuid", lambda puuid: puuid.isNotNull())
+    rows = F.transform(
+        F.array_distinct(players),
+        lambda puuid: F.struct(
+            puuid.alias("puuid"), match_id.alias("match_id"), game_ts.alias("game_ts")
+        ),
+    )
     return (
         documents.select(doc.alias("doc"))
-        .select(
-            F.col("doc.metadata.matchId").alias("match_id"),
-            F.col("doc.info.gameEndTimestamp").alias("game_ts"),
-            F.explode(F.array_distinct("doc.info.participants.puuid")).alias("puuid"),
-        )
-        .where(F.col("match_id").isNotNull() & F.col("puuid").isNotNull())
+        .select(F.inline(F.when(match_id.isNotNull(), rows)))
         .groupBy("puuid", "match_id")
         .agg(F.max("game_ts").alias("game_ts"))
     )
@@ -102,9 +117,9 @@ def latest_matches(index: DataFrame, n: int = LATEST_MATCHES) -> DataFrame:
 
 def documents_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The landed documents whose match id is in ``wanted``."""
+    match_id = F.get_json_object("json_payload", "$.metadata.matchId")
     return (
-        with_parsed(documents)
-        .select("json_payload", "match_id")
+        documents.select("json_payload", match_id.alias("match_id"))
         .join(wanted.select("match_id"), "match_id", "left_semi")
         .select("json_payload")
     )

@@ -15,8 +15,9 @@ from scoreloom.fixed_values import (
     SMALL_FEED_ROWS,
     SMALL_FEED_SCORE,
 )
-from scoreloom.functions.tiers import tier_of
+from scoreloom.functions.overall import with_one_row
 from scoreloom.functions.scores import min_max_score
+from scoreloom.functions.tiers import tier_of
 from scoreloom.schemas import FEED_SCHEMA
 from scoreloom.sources.demo import demo_feed
 
@@ -73,26 +74,23 @@ def feed_or_fallback(
 def champion_metrics(feed: DataFrame) -> DataFrame:
     """Add ``tier``, ``win_rate_delta`` and the two 0 to 100 scores.
 
-    The extremes come from one single-row subquery, so no join and no unpartitioned window is
-    planned. A feed of fewer than three rows gets fixed tier and scores.
+    A feed of fewer than three rows gets fixed tier and scores.
     """
-    extremes = feed.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.min("win_rate_pct").alias("rate_min"),
-            F.max("win_rate_pct").alias("rate_max"),
-            F.min("matches_played").alias("played_min"),
-            F.max("matches_played").alias("played_max"),
-        ).alias("extremes")
-    ).scalar()
-    rate = F.col("win_rate_pct")
-    small = extremes["n"] < SMALL_FEED_ROWS
-    rate_score = min_max_score(rate, extremes["rate_min"], extremes["rate_max"])
-    played_score = min_max_score(
-        F.col("matches_played"), extremes["played_min"], extremes["played_max"]
+    rate, played, over = F.col("win_rate_pct"), F.col("matches_played"), F.col("over_all")
+    values = with_one_row(
+        feed,
+        "over_all",
+        n=F.count(F.lit(1)),
+        rate_min=F.min(rate),
+        rate_max=F.max(rate),
+        played_min=F.min(played),
+        played_max=F.max(played),
     )
-    return feed.select(
-        "*",
+    small = over["n"] < SMALL_FEED_ROWS
+    rate_score = min_max_score(rate, over["rate_min"], over["rate_max"])
+    played_score = min_max_score(played, over["played_min"], over["played_max"])
+    return values.select(
+        *feed.columns,
         F.when(small, DEFAULT_TIER).otherwise(tier_of(rate)).alias("tier"),
         (rate - BASELINE_RATE).alias("win_rate_delta"),
         F.when(small, SMALL_FEED_SCORE).otherwise(rate_score).alias("wr_normalized"),

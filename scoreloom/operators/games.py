@@ -35,20 +35,21 @@ def _emit(documents: DataFrame, games: Column) -> DataFrame:
 def player_games(documents: DataFrame, puuid: str) -> DataFrame:
     """One row per match of one player: the first participant with that id.
 
-    Documents whose text cannot name the player are dropped before the parse. A JSON string
-    can spell an id differently only with escapes, so text with a backslash is always parsed.
+    Documents whose text cannot name the player are not parsed. A JSON string can spell an
+    id differently only with escapes, so text with a backslash is always parsed.
     """
     payload = F.col("json_payload")
     may_name_player = payload.contains(puuid) | payload.contains("\\")
     first = F.slice(F.filter(PARTICIPANTS, lambda p: p["puuid"] == F.lit(puuid)), 1, 1)
-    parsed = with_parsed(documents.where(may_name_player))
-    return _emit(parsed, F.transform(first, lambda p: _game(p, with_player=False)))
+    game = F.transform(first, lambda p: _game(p, with_player=False))
+    return _emit(with_parsed(documents, where=may_name_player), game)
 
 
 def participant_games(documents: DataFrame) -> DataFrame:
     """One row per participant entry of every match, with the player id."""
     present = F.filter(PARTICIPANTS, lambda p: p.isNotNull())
-    return _emit(with_parsed(documents), F.transform(present, lambda p: _game(p, with_player=True)))
+    entries = F.transform(present, lambda p: _game(p, with_player=True))
+    return _emit(with_parsed(documents), entries)
 
 
 def every_player_games(documents: DataFrame) -> DataFrame:

@@ -8,8 +8,6 @@ leaves the order of equal rates open, ties go by champion.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +30,7 @@ from scoreloom.fixed_values import (
     TOP_SERIES,
 )
 from scoreloom.functions import text
+from scoreloom.functions.overall import with_one_row
 from scoreloom.functions.positions import with_position
 from scoreloom.functions.scores import (
     above_baseline_score,
@@ -52,11 +51,6 @@ def column_or(df: DataFrame, name: str, default: object) -> Column:
     return F.col(name) if name in df.columns else F.lit(default).alias(name)
 
 
-def _one_row(df: DataFrame, **values: Column) -> Column:
-    """Aggregates of ``df`` as one struct-valued subquery."""
-    return df.agg(F.struct(*[v.alias(k) for k, v in values.items()]).alias("s")).scalar()
-
-
 def _above_baseline(rate: Column) -> Column:
     return F.coalesce(rate >= BASELINE_RATE, F.lit(False))
 
@@ -147,17 +141,21 @@ def axis_bounds(metrics: DataFrame) -> DataFrame:
     )
 
 
+def _volume_split() -> dict[str, Column]:
+    return {
+        "median_played": F.median(PLAYED),
+        "min_played": F.min(PLAYED),
+        "max_played": F.max(PLAYED),
+    }
+
+
 def volume_split(metrics: DataFrame) -> DataFrame:
     """Median, smallest and largest volume.
 
     The exact median keeps one counter per distinct volume. Volumes are counts that add up to
     all games, so among g games there are at most sqrt(2g) distinct ones.
     """
-    return metrics.agg(
-        F.median(PLAYED).alias("median_played"),
-        F.min(PLAYED).alias("min_played"),
-        F.max(PLAYED).alias("max_played"),
-    )
+    return metrics.agg(*[value.alias(name) for name, value in _volume_split().items()])
 
 
 def volume_points(metrics: DataFrame, highlighted: str | None = None) -> DataFrame:
@@ -165,13 +163,12 @@ def volume_points(metrics: DataFrame, highlighted: str | None = None) -> DataFra
 
     Quadrants split at the median volume and the baseline; a value on a line counts as above.
     """
-    split = volume_split(metrics).select(F.struct("*").alias("s")).scalar()
-    played = F.col(PLAYED)
+    played, split = F.col(PLAYED), F.col("split")
     chosen = F.coalesce(F.col("champion") == F.lit(highlighted), F.lit(False))
     size = bubble_size(played, split["min_played"], split["max_played"])
     strong = _above_baseline(F.col(RATE))
     popular = played >= split["median_played"]
-    return metrics.select(
+    return with_one_row(metrics, "split", **_volume_split()).select(
         "champion",
         PLAYED,
         RATE,
@@ -190,48 +187,57 @@ def volume_points(metrics: DataFrame, highlighted: str | None = None) -> DataFra
 # --- distribution -----------------------------------------------------------------------
 
 
-def _rate_range(metrics: DataFrame) -> dict[str, Column]:
-    """Ends of the histogram, widened by half a point each when all rates are equal."""
-    s = _one_row(metrics, low=F.min(RATE), high=F.max(RATE))
-    equal = s["low"] == s["high"]
-    first = F.when(equal, s["low"] - 0.5).otherwise(s["low"])
-    last = F.when(equal, s["high"] + 0.5).otherwise(s["high"])
-    return {"first": first, "last": last, "step": (last - first) / HISTOGRAM_BINS}
+def _with_bins(df: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Add ``first``, ``last`` and ``step``: the ends and bin width of the histogram.
+
+    The range is widened by half a point on each side when all rates are equal.
+    """
+    low, high = F.col("ends.low"), F.col("ends.high")
+    first = F.when(low == high, low - 0.5).otherwise(low)
+    last = F.when(low == high, high + 0.5).otherwise(high)
+    return (
+        with_one_row(df, "ends", of=metrics, low=F.min(RATE), high=F.max(RATE))
+        .withColumns({"first": first, "last": last})
+        .withColumn("step", (F.col("last") - F.col("first")) / HISTOGRAM_BINS)
+        .drop("ends")
+    )
 
 
 def rate_histogram(metrics: DataFrame) -> DataFrame:
     """Equal-width histogram of the rates: ``bin, lo, hi, center, width, n``.
 
     A rate belongs to the last bin whose left edge it reaches, so the highest rate falls into
-    the last bin. Comparing with the edges is exact where dividing by the width is not.
+    the last bin. Comparing with the edges is exact where dividing by the width is not. One
+    aggregation counts the rates that reach each edge; neighbours differ by a bin's count.
     """
-    spark = metrics.sparkSession
-    ends = _rate_range(metrics)
-    first, step = F.col("first"), F.col("step")
-
-    reached = [(F.col(RATE) >= step * i + first).cast("long") for i in range(HISTOGRAM_BINS)]
-    counted = (
-        metrics.where(F.col(RATE).isNotNull())
-        .select(RATE, ends["first"].alias("first"), ends["step"].alias("step"))
-        .groupBy((reduce(add, reached) - 1).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    first, last, step = F.col("first"), F.col("last"), F.col("step")
+    reached = [F.count_if(F.col(RATE) >= step * k + first) for k in range(HISTOGRAM_BINS)]
+    totals = _with_bins(metrics.select(RATE), metrics).agg(
+        *[F.max(end).alias(end) for end in ("first", "last", "step")],
+        *[count.alias(f"reached_{k}") for k, count in enumerate(reached)],
     )
-    i = F.col("bin")
-    last_edge = F.when(i == HISTOGRAM_BINS - 1, F.col("last")).otherwise((i + 1) * step + first)
-    edges = (
-        spark.range(HISTOGRAM_BINS)
-        .select(F.col("id").alias("bin"), *[end.alias(name) for name, end in ends.items()])
-        .select("bin", (i * step + first).alias("lo"), last_edge.alias("hi"),
-                ((step + first) - first).alias("width"))
-    )
-    return edges.join(counted, "bin", "left").select(
+
+    def bin_row(k: int) -> Column:
+        is_last = k == HISTOGRAM_BINS - 1
+        above = F.lit(0) if is_last else F.col(f"reached_{k + 1}")
+        return F.struct(
+            F.lit(k).cast("long").alias("bin"),
+            (step * k + first).alias("lo"),
+            (last if is_last else step * (k + 1) + first).alias("hi"),
+            ((step + first) - first).alias("width"),
+            (F.col(f"reached_{k}") - above).alias("n"),
+        )
+
+    center = (F.col("lo") + F.col("hi")) / 2
+    bins = totals.select(F.inline(F.array(*[bin_row(k) for k in range(HISTOGRAM_BINS)])))
+    return bins.select(
         "bin",
         "lo",
         "hi",
-        ((F.col("lo") + F.col("hi")) / 2).alias("center"),
+        center.alias("center"),
         "width",
-        F.coalesce("n", F.lit(0)).alias("n"),
-        ((F.col("lo") + F.col("hi")) / 2 >= BASELINE_RATE).alias("above_baseline"),
+        "n",
+        (center >= BASELINE_RATE).alias("above_baseline"),
     )
 
 
@@ -249,24 +255,23 @@ def normal_curve(metrics: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
 
     With equal rates the deviation is 0, the curve is undefined, and ``y`` is null.
     """
-    spark = metrics.sparkSession
-    s = _one_row(
-        metrics,
+    grid = metrics.sparkSession.range(points).withColumnRenamed("id", "i")
+    fitted = with_one_row(
+        _with_bins(grid, metrics),
+        "fit",
+        of=metrics,
         n=F.count(F.lit(1)),
         mean=steady_mean(F.col(RATE)),
         deviation=F.stddev_pop(RATE),
         low=F.min(RATE),
         high=F.max(RATE),
     )
-    start, stop = s["low"] - 1, s["high"] + 1
-    i = F.col("id")
+    i, fit = F.col("i"), F.col("fit")
+    start, stop = fit["low"] - 1, fit["high"] + 1
     x = F.when(i == points - 1, stop).otherwise(i * ((stop - start) / (points - 1)) + start)
-    density = normal_density(F.col("x"), s["mean"], s["deviation"])
-    width = _rate_range(metrics)["step"]
-    return (
-        spark.range(points)
-        .select(i.alias("i"), x.alias("x"))
-        .select("i", "x", (density * s["n"] * width).alias("y"))
+    density = normal_density(F.col("x"), fit["mean"], fit["deviation"])
+    return fitted.withColumn("x", x).select(
+        "i", "x", (density * fit["n"] * F.col("step")).alias("y")
     )
 
 

@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for an input that comes in fewer blocks; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per match: ids, end time, and the two participants in document order."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -37,7 +43,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     # No hint: Spark broadcasts the parts when they are small enough, and otherwise splits a
     # part that holds a large share of the lines.
-    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    joined = spread(lines).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     game_end = _epoch_ms("l_shipdate")
     match_id = F.concat(
         F.lit("M"),

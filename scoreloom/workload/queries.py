@@ -127,13 +127,9 @@ def gold_player_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_summed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics from the sums of three separate sets of games."""
-    played = m.games(spark, sf_dir)
-    parts = [
-        statistics.game_sums(played.where(F.col("l_returnflag") == flag), "champion")
-        for flag in ("A", "N", "R")
-    ]
-    return statistics.stats_from_sums(statistics.add_sums(*parts), "champion")
+    """Statistics added up from the sums of separate sets of games."""
+    sums = statistics.game_sums(m.games(spark, sf_dir), "champion", "l_returnflag")
+    return statistics.stats_from_sums(statistics.add_sums(sums.drop("l_returnflag")), "champion")
 
 
 def _two_windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -156,11 +152,9 @@ def gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_upsert_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per player and character: rows are replaced, added and kept."""
     earlier, later = _two_windows(spark, sf_dir)
-    return upsert(
-        statistics.player_champion_stats(earlier),
-        statistics.player_champion_stats(later),
-        key=["puuid", "champion"],
-    )
+    target = publish(statistics.player_champion_stats(earlier), "target")
+    source = publish(statistics.player_champion_stats(later), "source")
+    return upsert(target, source, key=["puuid", "champion"])
 
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
