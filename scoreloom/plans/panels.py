@@ -422,10 +422,10 @@ def radar(
         .drop("n")
     )
     # One row per champion: the one listed first in the feed's order.
-    rows = (
-        metrics.join(first_five.select("champion"), "champion", "left_semi")
-        .select("champion", shape, best_row.alias("rank"))
-        .groupBy("champion")
+    candidates = metrics.select("champion", shape, best_row.alias("rank"))
+    compared = (
+        first_five.join(candidates, "champion")
+        .groupBy("place", "champion")
         .agg(F.min_by("shape", "rank").alias("shape"))
     )
     rate, played = F.col("shape.rate"), F.col("shape.played")
@@ -441,11 +441,8 @@ def radar(
             for axis, value in zip([*RADAR_AXES, RADAR_AXES[0]], [*values, values[0]])
         ]
     )
-    return (
-        first_five.join(rows, "champion")
-        .select("place", "champion", F.posexplode(axes).alias("axis_pos", "point"))
-        .select("place", "champion", "axis_pos", "point.axis", "point.value")
-    )
+    points = compared.select("place", "champion", F.posexplode(axes).alias("axis_pos", "point"))
+    return points.select("place", "champion", "axis_pos", "point.axis", "point.value")
 
 
 def _numbered(top: DataFrame) -> DataFrame:

@@ -1,0 +1,161 @@
+"""Extraction of games: payload rules, one player, all participants, many players."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from scoreloom.operators import games as extract
+from scoreloom.sources.landing import documents_from_strings
+from scoreloom.workload import matches as m
+
+G = '{"puuid":"a","championName":"X","kills":1,"deaths":2,"assists":3,"win":true}'
+B = '{"puuid":"b","championName":"Z","kills":9,"deaths":9,"assists":9,"win":false}'
+
+
+def doc(participants: str, metadata: str = '"metadata":{"matchId":"M1"},') -> str:
+    return f'{{{metadata}"info":{{"participants":{participants}}}}}'
+
+
+X = ("M1", "X", 1, 2, 3, True)
+
+RULES = [
+    ("first of two entries", doc(f'[{G},{{"puuid":"a","championName":"Y"}}]'), [X]),
+    ("found behind another player", doc(f"[{B},{G}]"), [X]),
+    ("player absent", doc('[{"puuid":"b"}]'), []),
+    ("metadata absent", doc(f"[{G}]", ""), [("", *X[1:])]),
+    ("match id absent", doc(f"[{G}]", '"metadata":{},'), [("", *X[1:])]),
+    ("metadata null", doc(f"[{G}]", '"metadata":null,'), []),
+    ("match id null", doc(f"[{G}]", '"metadata":{"matchId":null},'), []),
+    ("info absent", '{"metadata":{"matchId":"M6"}}', []),
+    ("participants absent", '{"metadata":{"matchId":"M6"},"info":{}}', []),
+    ("participants null", doc("null"), []),
+    ("number before the player", doc(f"[5,{G}]"), []),
+    ("not json", "not json", []),
+    ("empty", "", []),
+    ("null payload", None, []),
+    ("array", "[1]", []),
+    ("json null", "null", []),
+    ("error answer", '{"status":{"status_code":429}}', []),
+    ("decimal kills", doc(f"[{G}]".replace('"kills":1', '"kills":3.0')), [("M1", "X", None, 2, 3, True)]),
+    ("text kills", doc(f"[{G}]".replace('"kills":1', '"kills":"3"')), [("M1", "X", None, 2, 3, True)]),
+    ("boolean kills", doc(f"[{G}]".replace('"kills":1', '"kills":true')), [("M1", "X", None, 2, 3, True)]),
+    ("text win", doc(f"[{G}]".replace("true", '"true"')), [("M1", "X", 1, 2, 3, None)]),
+    ("number win", doc(f"[{G}]".replace("true", "1")), [("M1", "X", 1, 2, 3, None)]),
+    ("number match id", doc(f"[{G}]", '"metadata":{"matchId":7},'), [("7", *X[1:])]),
+    ("repeated key", doc(f"[{G}]", '"metadata":{"matchId":"D1","matchId":"D2"},'), [("D2", *X[1:])]),
+    ("repeated key, no metadata", f'{{"info":1,{doc(f"[{G}]", "")[1:]}', [("", *X[1:])]),
+    ("NaN kills", doc(f"[{G}]".replace('"kills":1', '"kills":NaN')), [("M1", "X", None, 2, 3, True)]),
+    ("metadata a text", doc(f"[{G}]", '"metadata":"s",'), []),
+    ("metadata an array", doc(f"[{G}]", '"metadata":[1],'), []),
+    ("participants an object", doc(G), []),
+    ("participants a text", doc('"zz"'), []),
+    ("single quotes", doc(f"[{G}]").replace('"', "'"), []),
+    ("escaped player id", doc(f"[{G}]".replace('"a"', '"\\u0061"')), [X]),
+    ("missing fields", doc('[{"puuid":"a"}]'), [("M1", None, None, None, None, None)]),
+    # Where native parsing differs from a strict row-wise parser (see README).
+    ("number after the player", doc(f"[{G},5]"), []),
+    ("null before the player", doc(f"[null,{G}]"), [X]),
+    ("text after the document", doc(f"[{G}]") + " trailing", [X]),
+    ("kills beyond 32 bits", doc(f"[{G}]".replace('"kills":1', '"kills":1099511627776')), [("M1", "X", None, 2, 3, True)]),
+    ("object match id", doc(f"[{G}]", '"metadata":{"matchId":{"q":1}},'), [('{"q":1}', *X[1:])]),
+]
+
+
+@pytest.fixture(scope="module")
+def extracted(spark):
+    """All rules in one job, tagged by name."""
+    frames = {}
+    for name, payload, _ in RULES:
+        frames[name] = extract.player_games(documents_from_strings(spark, [payload]), "a")
+    together = None
+    for name, frame in frames.items():
+        tagged = frame.select(F.lit(name).alias("rule"), "*")
+        together = tagged if together is None else together.unionByName(tagged)
+    rows: dict[str, list[tuple]] = {}
+    for row in together.collect():
+        rows.setdefault(row[0], []).append(tuple(row[1:]))
+    return rows
+
+
+@pytest.mark.parametrize("name,payload,expected", RULES, ids=[r[0] for r in RULES])
+def test_payload_rule(extracted, name, payload, expected):
+    assert extracted.get(name, []) == expected
+
+
+def test_number_as_player_id_matches_its_text(spark):
+    landed = documents_from_strings(spark, [doc(f"[{G}]".replace('"a"', "7"))])
+    assert extract.player_games(landed, "7").count() == 1
+
+
+def test_columns_and_types(spark):
+    found = extract.player_games(documents_from_strings(spark, [doc(f"[{G}]")]), "a")
+    assert [(f.name, f.dataType.simpleString()) for f in found.schema] == [
+        ("match_id", "string"),
+        ("champion", "string"),
+        ("kills", "int"),
+        ("deaths", "int"),
+        ("assists", "int"),
+        ("win", "boolean"),
+    ]
+
+
+def test_all_participants_keep_repeated_players(spark):
+    landed = documents_from_strings(spark, [doc(f"[{G},{B},{G}]"), doc("[null]"), "not json"])
+    found = extract.participant_games(landed).collect()
+    assert sorted(r.puuid for r in found) == ["a", "a", "b"]
+
+
+def test_every_player_agrees_with_one_player_at_a_time(spark):
+    payloads = [
+        doc(f'[{B},{G},{{"puuid":"a","championName":"Y"}},{{"puuid":"b","championName":"W"}}]'),
+        doc(f"[{G}]", ""),
+        doc(f"[{B}]", '"metadata":{"matchId":null},'),
+        doc('[{"championName":"nobody"},' + G + "]", '"metadata":{"matchId":"M2"},'),
+        "not json",
+    ]
+    landed = documents_from_strings(spark, payloads)
+    every = extract.every_player_games(landed)
+    for player in ("a", "b", "c"):
+        one = sorted(map(tuple, extract.player_games(landed, player).collect()))
+        mine = every.where(every.puuid == player).drop("puuid")
+        assert sorted(map(tuple, mine.collect())) == one
+
+
+def test_first_entry_is_found_among_many(spark):
+    """A document with thousands of entries: the first entry of each player, in any order."""
+    entries = [(f"p{(i * 7919) % 500}", i) for i in range(5000)]
+    text = ",".join(f'{{"puuid":"{p}","championName":"c","kills":{i}}}' for p, i in entries)
+    first = {}
+    for p, i in entries:
+        first.setdefault(p, i)
+    found = extract.every_player_games(documents_from_strings(spark, [doc(f"[{text}]")])).collect()
+    assert {r.puuid: r.kills for r in found} == first and len(found) == len(first)
+
+
+def test_tracked_players_are_a_semi_join(spark):
+    landed = documents_from_strings(spark, [doc(f"[{G},{B}]")])
+    players = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "puuid string")
+    found = extract.tracked_player_games(landed, players).collect()
+    assert [r.puuid for r in found] == ["a"]
+
+
+def test_games_from_tables_equal_games_from_documents(spark, sf_dir):
+    direct = m.games(spark, sf_dir).select(
+        "puuid", "match_id", "champion", "kills", "deaths", "assists", "win"
+    )
+    parsed = extract.participant_games(m.documents(spark, sf_dir))
+    assert direct.exceptAll(parsed).isEmpty() and parsed.exceptAll(direct).isEmpty()
+
+
+@pytest.mark.parametrize("form", ["one", "all", "every"])
+def test_each_document_is_parsed_once_without_python(spark, plan_of, tmp_path, form):
+    stored = str(tmp_path / "raw")
+    documents_from_strings(spark, [doc(f"[{G}]")]).write.parquet(stored)
+    landed = spark.read.parquet(stored)
+    frame = {
+        "one": lambda: extract.player_games(landed, "a"),
+        "all": lambda: extract.participant_games(landed),
+        "every": lambda: extract.every_player_games(landed),
+    }[form]()
+    plan = plan_of(frame)
+    assert plan.count("from_json") == 1
+    assert "Python" not in plan and "Exchange" not in plan
