@@ -19,7 +19,8 @@ def with_position(
     but those sizes.
     """
     step = F.floor(F.least(F.greatest(F.col(rate), F.lit(0.0)), F.lit(100.0)) * 10).cast("int")
-    bucket = F.coalesce((F.lit(BUCKETS - 1) - step) if descending else step, F.lit(BUCKETS))
+    step = F.lit(BUCKETS - 1) - step if descending else step
+    bucket = F.when(F.col(rate).isNull(), BUCKETS).otherwise(step)
     rate_order = F.desc_nulls_last(rate) if descending else F.asc_nulls_last(rate)
 
     placed = df.withColumn("_bucket", bucket)

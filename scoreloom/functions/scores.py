@@ -24,7 +24,8 @@ def bubble_size(x: Column, low: Column, high: Column) -> Column:
 
 def above_baseline_score(delta: Column) -> Column:
     """Distance to the baseline on a 0 to 100 scale, 50 at the baseline itself."""
-    return F.least(F.greatest((delta + 10) * 5, F.lit(0.0)), F.lit(100.0))
+    clamped = F.least(F.greatest((delta + 10) * 5, F.lit(0.0)), F.lit(100.0))
+    return F.when(delta.isNotNull(), clamped)
 
 
 def overall_score(rate_score: Column, played_score: Column) -> Column:

@@ -7,27 +7,36 @@ from pyspark.sql import functions as F
 
 from scoreloom.fixed_values import BASELINE_RATE, ICON_URL_PREFIX, ICON_URL_SUFFIX
 
-# A double of magnitude 1 or more has no bits below 2^-52, so scaling by 2^52 is exact.
-FRACTION_BITS = 52
+# Scaled by these powers of two, doubles from 1 to 200 and from 1/64 to 1 are whole numbers
+# whose tenfold fits 64 bits. Anything smaller is 0.0 to one decimal either way.
+BITS_FROM_ONE = 52
+BITS_BELOW_ONE = 58
 EXACT_LIMIT = 200.0
 
 
+def _tenths(size: Column, bits: int) -> Column:
+    """Tenths of a non-negative number, exact halves to even."""
+    tenfold = (size * F.lit(float(2**bits))).cast("long") * 10
+    whole = F.shiftright(tenfold, bits)
+    rest = tenfold - F.shiftleft(whole, bits)
+    half = F.lit(2 ** (bits - 1))
+    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
+    return whole + up.cast("long")
+
+
 def fixed_1(x: Column) -> Column:
     """Text with one decimal, rounded from the binary value, exact halves to even.
 
     The JVM's ``%.1f`` rounds the shortest decimal text half up instead, which differs for
     values like 2.25. Percentages fit the exact form; larger numbers use the JVM's.
     """
-    size = F.least(F.abs(x), F.lit(EXACT_LIMIT))
-    tenfold = (size * F.lit(float(2**FRACTION_BITS))).cast("long") * 10
-    whole = F.shiftright(tenfold, FRACTION_BITS)
-    rest = tenfold - F.shiftleft(whole, FRACTION_BITS)
-    half = F.lit(2 ** (FRACTION_BITS - 1))
-    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
-    tenths = whole + up.cast("long")
-    sign = F.when(x < 0, "-").otherwise("")
+    size = F.abs(x)
+    tenths = F.when(size < 1, _tenths(size, BITS_BELOW_ONE)).when(
+        size < EXACT_LIMIT, _tenths(size, BITS_FROM_ONE)
+    )
     digit = tenths % 10
     units = ((tenths - digit) / 10).cast("long")
+    sign = F.when(x < 0, "-").otherwise("")
     exact = F.concat(sign, units.cast("string"), F.lit("."), digit.cast("string"))
     return F.when(size < EXACT_LIMIT, exact).when(x.isNotNull(), F.format_string("%.1f", x))
 

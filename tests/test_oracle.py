@@ -1,0 +1,29 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import by_name, connect, spark_rows, sql_rows
+
+QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, con, sf_dir, name):
+    ours = by_name(*spark_rows(QUERIES[name](spark, sf_dir)))
+    theirs = by_name(*sql_rows(con, ORACLE[name]))
+    assert ours[0] == theirs[0]
+    assert ours[1] == theirs[1]
