@@ -115,11 +115,33 @@ def latest_matches(index: DataFrame, n: int = LATEST_MATCHES) -> DataFrame:
     return best(index, "puuid").select("puuid", "rank", "match_id", "game_ts")
 
 
+def may_name(puuid: str) -> Column:
+    """Whether a payload can contain this player id, from its text alone.
+
+    A JSON string can spell an id differently only with escapes, so any text with a backslash
+    may contain it.
+    """
+    payload = F.col("json_payload")
+    return payload.contains(puuid) | payload.contains("\\")
+
+
+def documents_naming(documents: DataFrame, puuid: str) -> DataFrame:
+    """The documents that may name a player, without parsing them."""
+    row = F.array(F.struct("json_payload"))
+    return documents.select(F.inline(F.when(may_name(puuid), row)))
+
+
 def documents_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The landed documents whose match id is in ``wanted``."""
+    """One landed document for each match id in ``wanted``.
+
+    ``wanted`` should be a stored table: then Spark knows its size when it decides between
+    broadcasting it and shuffling the documents.
+    """
     match_id = F.get_json_object("json_payload", "$.metadata.matchId")
     return (
         documents.select("json_payload", match_id.alias("match_id"))
         .join(wanted.select("match_id"), "match_id", "left_semi")
+        .groupBy("match_id")
+        .agg(F.min("json_payload").alias("json_payload"))
         .select("json_payload")
     )

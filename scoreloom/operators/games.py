@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.operators.documents import with_parsed
+from scoreloom.operators.documents import may_name, with_parsed
 
 PARTICIPANTS = "doc.info.participants"
 
@@ -35,14 +35,11 @@ def _emit(documents: DataFrame, games: Column) -> DataFrame:
 def player_games(documents: DataFrame, puuid: str) -> DataFrame:
     """One row per match of one player: the first participant with that id.
 
-    Documents whose text cannot name the player are not parsed. A JSON string can spell an
-    id differently only with escapes, so text with a backslash is always parsed.
+    Documents whose text cannot name the player are not parsed.
     """
-    payload = F.col("json_payload")
-    may_name_player = payload.contains(puuid) | payload.contains("\\")
     first = F.slice(F.filter(PARTICIPANTS, lambda p: p["puuid"] == F.lit(puuid)), 1, 1)
     game = F.transform(first, lambda p: _game(p, with_player=False))
-    return _emit(with_parsed(documents, where=may_name_player), game)
+    return _emit(with_parsed(documents, where=may_name(puuid)), game)
 
 
 def participant_games(documents: DataFrame) -> DataFrame:

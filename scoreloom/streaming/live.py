@@ -65,11 +65,10 @@ class LiveStats:
             .dropDuplicates([*IDENTITY, "unknown"])
             .drop("unknown")
         )
-        once_each.write.mode("overwrite").parquet(self.arrived(batch_id))
-        arrived = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.arrived(batch_id))
-
-        fresh = arrived
+        fresh = once_each
         if batch_id > 0:
+            once_each.write.mode("overwrite").parquet(self.arrived(batch_id))
+            arrived = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.arrived(batch_id))
             fresh = arrived.join(self._seen_before(arrived, batch_id), IDENTITY, "left_anti")
         fresh.write.mode("overwrite").parquet(self.games_of(batch_id))
 

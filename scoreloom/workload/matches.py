@@ -92,8 +92,10 @@ def _rival_entry() -> Column:
 
 
 def _epoch_ms(column: str) -> Column:
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MILLISECOND", start, F.col(column))
+    """Milliseconds since 1970 of a time without zone, whatever the session's zone is."""
+    moment = F.col(column)
+    second = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    return (F.unix_date(moment.cast("date")).cast("long") * 86400 + second) * 1000
 
 
 def document_text() -> Column:

@@ -79,9 +79,9 @@ def latest_n_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of one player's latest matches, as the daily extraction takes them."""
-    landed = m.documents(spark, sf_dir)
-    index = docs.match_index(landed).where(F.col("puuid") == PLAYER)
-    return docs.documents_of(landed, docs.latest_matches(index, LATEST_MATCHES))
+    mine = docs.documents_naming(m.documents(spark, sf_dir), PLAYER)
+    index = docs.match_index(mine).where(F.col("puuid") == PLAYER)
+    return docs.documents_of(mine, publish(docs.latest_matches(index), "latest"))
 
 
 # --- games ------------------------------------------------------------------------------

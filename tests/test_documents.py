@@ -93,6 +93,14 @@ def test_index_counts_copies_and_repeated_players_once(spark):
 
 def test_documents_of_a_list_of_matches(spark):
     other = GOOD.replace("M1", "M2")
-    landed = documents_from_strings(spark, [GOOD, other, "not json"])
+    landed = documents_from_strings(spark, [GOOD, other, other, "not json"])
     wanted = spark.createDataFrame([("M2",), ("M5",)], "match_id string")
     assert [r.json_payload for r in docs.documents_of(landed, wanted).collect()] == [other]
+
+
+def test_documents_naming_a_player(spark):
+    escaped = GOOD.replace('"a"', '"\\u0061"')
+    other = GOOD.replace('"a"', '"q"').replace("metadata", "metadat")
+    landed = documents_from_strings(spark, [GOOD, escaped, '{"x":"q"}', None, other])
+    found = {r.json_payload for r in docs.documents_naming(landed, '"a"').collect()}
+    assert found == {GOOD, escaped}
