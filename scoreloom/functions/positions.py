@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rates lie between 0 and 100: one bucket per tenth of a point, and one for unknown rates.
-BUCKETS = 1001
+from scoreloom.sources.shared import publish
 
 
 def with_position(
@@ -14,26 +13,24 @@ def with_position(
 ) -> DataFrame:
     """Number the rows from 0 in the order of ``rate``, unknown rates last, ties by ``tie``.
 
-    Rows are ranked within buckets of the rate, and the bucket sizes (at most 1,002 rows,
-    whatever the input) give each bucket its first position. Nothing passes through one task
-    but those sizes.
+    The rows are sorted in parallel and stored, one file per sorted range. A row's position is
+    its place in its file plus the rows in the files before. Ranges split at rate and tie, so
+    a rate that many rows share is spread, too. Only the file sizes pass through one task.
     """
-    step = F.floor(F.least(F.greatest(F.col(rate), F.lit(0.0)), F.lit(100.0)) * 10).cast("int")
-    step = F.lit(BUCKETS - 1) - step if descending else step
-    bucket = F.when(F.col(rate).isNull(), BUCKETS).otherwise(step)
-    rate_order = F.desc_nulls_last(rate) if descending else F.asc_nulls_last(rate)
+    by_rate = F.desc_nulls_last(rate) if descending else F.asc_nulls_last(rate)
+    stored = publish(df.orderBy(by_rate, tie), "ordered")
+    file = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    placed = stored.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
-    placed = df.withColumn("_bucket", bucket)
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    files_before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("_bucket")
+        placed.groupBy("_file")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .select("_file", F.coalesce(F.sum("_n").over(files_before), F.lit(0)).alias("_start"))
     )
-    within = Window.partitionBy("_bucket").orderBy(rate_order, tie)
+    # One row per file, as many as the sort has partitions, whatever the number of rows.
     return (
-        placed.withColumn("_rank", F.row_number().over(within))
-        .join(F.broadcast(starts), "_bucket")
-        .withColumn(name, F.col("_start") + F.col("_rank") - 1)
-        .drop("_bucket", "_start", "_rank")
+        placed.join(F.broadcast(starts), "_file")
+        .withColumn(name, F.col("_start") + F.col("_row"))
+        .drop("_file", "_row", "_start")
     )

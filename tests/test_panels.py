@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from scoreloom.fixed_values import DEMO_ROWS
+from scoreloom.functions.positions import with_position
 from scoreloom.operators.feed import champion_metrics
 from scoreloom.plans import panels
 from scoreloom.schemas import FEED_SCHEMA
@@ -181,6 +182,28 @@ def test_positions_with_equal_and_unknown_rates(spark):
     assert [r.value for r in ascending] == [0.0, 50.0, 50.0, 50.04, None]
 
 
+def test_positions_over_many_files_and_a_shared_rate(spark):
+    """Thousands of rows of one rate among others, sorted into several files."""
+    rows = [(f"c{i:05d}", 50.0 if i % 3 else (i % 997) / 10, i) for i in range(6000)]
+    settings_ = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "12",
+    }
+    before = {key: spark.conf.get(key) for key in settings_}
+    try:
+        for key, value in settings_.items():
+            spark.conf.set(key, value)
+        df = spark.createDataFrame(rows, FEED_SCHEMA).repartition(5)
+        placed = with_position(df, "win_rate_pct", "champion", descending=True, name="rank")
+        assert len(placed.inputFiles()) > 5
+        found = {r.champion: r["rank"] for r in placed.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    expected = sorted(rows, key=lambda r: (-r[1], r[0]))
+    assert found == {champion: i for i, (champion, _, _) in enumerate(expected)}
+
+
 class TestSelection:
     def names(self, df):
         return [r.champion for r in df.collect()]
