@@ -5,11 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from scoreloom.fixed_values import LATEST_MATCHES
+from scoreloom.operators.documents import (
+    documents_naming,
+    documents_of,
+    latest_matches,
+    match_index,
+)
 from scoreloom.operators.games import player_games
 from scoreloom.operators.stats import champion_stats
 from scoreloom.operators.upsert import upsert_table
 from scoreloom.sources.landing import read_documents
+from scoreloom.sources.shared import publish
 from scoreloom.sources.tables import overwrite_table, scan_table
 
 
@@ -34,16 +43,34 @@ def load_stats(spark: SparkSession, tables: Tables) -> int | None:
     return upsert_table(spark, tables.stats, champion_stats(scan_table(spark, tables.games)))
 
 
+def latest_documents(documents: DataFrame, puuid: str, n: int = LATEST_MATCHES) -> DataFrame:
+    """One document for each of a player's newest matches.
+
+    The list of matches is published, so that its size is known when documents are picked.
+    """
+    mine = documents_naming(documents, puuid)
+    index = match_index(mine).where(F.col("puuid") == F.lit(puuid))
+    return documents_of(mine, publish(latest_matches(index, n), "latest"))
+
+
 def run_daily(
-    spark: SparkSession, landing: str, puuid: str, tables: Tables = Tables()
+    spark: SparkSession,
+    landing: str,
+    puuid: str,
+    tables: Tables = Tables(),
+    latest: int | None = None,
 ) -> dict[str, int | None]:
     """Run the three steps in order and return the rows written by each.
 
-    A step that fails raises, so the steps after it do not run. Steps meet only in tables;
-    each may be run again by itself with the same result.
+    ``latest`` limits the raw table to the player's newest matches; without it the whole
+    landing folder is taken. A step that fails raises, so the steps after it do not run.
+    Steps meet only in tables; each may be run again by itself with the same result.
     """
+    documents = read_documents(spark, landing)
+    if latest is not None:
+        documents = latest_documents(documents, puuid, latest)
     return {
-        "bronze": load_raw(read_documents(spark, landing), tables),
+        "bronze": load_raw(documents, tables),
         "silver": load_games(spark, puuid, tables),
         "gold": load_stats(spark, tables),
     }

@@ -60,6 +60,24 @@ GAME_SCHEMA = T.StructType(
 
 PLAYER_GAME_SCHEMA = T.StructType([T.StructField("puuid", T.StringType()), *GAME_SCHEMA.fields])
 
+# Sums that can be added up over batches; statistics follow from them.
+SUMS_SCHEMA = T.StructType(
+    [T.StructField("champion", T.StringType())]
+    + [
+        T.StructField(name, T.LongType())
+        for name in (
+            "total_partidas",
+            "vitorias",
+            "sum_kills",
+            "n_kills",
+            "sum_deaths",
+            "n_deaths",
+            "sum_assists",
+            "n_assists",
+        )
+    ]
+)
+
 STATS_SCHEMA = T.StructType(
     [
         T.StructField("champion", T.StringType()),

@@ -12,17 +12,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from scoreloom.operators.games import every_player_games
 from scoreloom.operators.stats import add_sums, game_sums, stats_from_sums
-from scoreloom.schemas import PLAYER_GAME_SCHEMA
+from scoreloom.schemas import PLAYER_GAME_SCHEMA, SUMS_SCHEMA
 from scoreloom.sources.landing import stream_documents
 
 IDENTITY = ["match_id", "puuid"]
 BATCH = "batch_id"
 
 
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+
+
 @dataclass(frozen=True)
 class LiveStats:
     """A stream's folders below ``base``, which all executors must share."""
@@ -44,12 +49,11 @@ class LiveStats:
 
     def games(self, spark: SparkSession) -> DataFrame:
         """All games counted so far, with the batch that brought them."""
-        schema = PLAYER_GAME_SCHEMA.simpleString()[len("struct<") : -1].replace(":", " ")
-        return spark.read.schema(f"{schema}, {BATCH} bigint").parquet(f"{self.base}/games")
+        return spark.read.schema(_with_batch(PLAYER_GAME_SCHEMA)).parquet(f"{self.base}/games")
 
     def stats(self, spark: SparkSession) -> DataFrame:
         """Current statistics: the sums after the last batch, read from its folder alone."""
-        sums = spark.read.parquet(f"{self.base}/sums")
+        sums = spark.read.schema(_with_batch(SUMS_SCHEMA)).parquet(f"{self.base}/sums")
         last = sums.agg(F.max(BATCH)).scalar()
         return stats_from_sums(sums.where(F.col(BATCH) == last), "champion")
 
@@ -75,7 +79,8 @@ class LiveStats:
         games = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.games_of(batch_id))
         sums = game_sums(games, "champion")
         if batch_id > 0:
-            sums = add_sums(spark.read.parquet(self.sums_after(batch_id - 1)), sums)
+            before = spark.read.schema(SUMS_SCHEMA).parquet(self.sums_after(batch_id - 1))
+            sums = add_sums(before, sums)
         sums.write.mode("overwrite").parquet(self.sums_after(batch_id))
 
     def _seen_before(self, arrived: DataFrame, batch_id: int) -> DataFrame:

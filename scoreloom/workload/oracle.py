@@ -275,6 +275,13 @@ SELECT match_id, puuid, champion, kills, deaths, assists, win FROM games""",
 mine AS (SELECT * FROM first_games WHERE puuid = '{PLAYER}')
 SELECT 'bronze' AS stage, count(*) AS n FROM lines
 UNION ALL SELECT 'silver', count(*) FROM mine
+UNION ALL SELECT 'gold', count(DISTINCT champion) FROM mine""",
+    "stage_counts_latest": f"""WITH {_BASE},
+mine AS (
+  SELECT g.match_id, champion FROM first_games g JOIN lines l USING (doc)
+  WHERE puuid = '{PLAYER}' ORDER BY game_end DESC, g.match_id LIMIT {LATEST_MATCHES})
+SELECT 'bronze' AS stage, count(*) AS n FROM mine
+UNION ALL SELECT 'silver', count(*) FROM mine
 UNION ALL SELECT 'gold', count(DISTINCT champion) FROM mine""",
     "stream_gold": f"WITH {_BASE} {_stats('first_games')}",
     "champion_feed": f"WITH {_FEED} SELECT * FROM feed ORDER BY {_BEST}",

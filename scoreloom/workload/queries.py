@@ -20,8 +20,7 @@ from scoreloom.operators import feed as feeds
 from scoreloom.operators import games as extract
 from scoreloom.operators import stats as statistics
 from scoreloom.operators.upsert import check_source, upsert
-from scoreloom.plans import panels
-from scoreloom.plans.daily import Tables, run_daily
+from scoreloom.plans import daily, panels
 from scoreloom.sources.landing import land_documents, read_documents
 from scoreloom.sources.shared import fresh_path, publish
 from scoreloom.sources.tables import overwrite_table, scan_table
@@ -79,9 +78,7 @@ def latest_n_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of one player's latest matches, as the daily extraction takes them."""
-    mine = docs.documents_naming(m.documents(spark, sf_dir), PLAYER)
-    index = docs.match_index(mine).where(F.col("puuid") == PLAYER)
-    return docs.documents_of(mine, publish(docs.latest_matches(index), "latest"))
+    return daily.latest_documents(m.documents(spark, sf_dir), PLAYER)
 
 
 # --- games ------------------------------------------------------------------------------
@@ -166,16 +163,25 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, name)
 
 
-def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows written by each step of a first daily run."""
+def _daily_counts(spark: SparkSession, sf_dir: str, latest: int | None) -> DataFrame:
     landing = fresh_path(spark, "landing")
     land_documents(m.documents(spark, sf_dir), landing)
     suffix = uuid4().hex
-    names = Tables(f"bronze_{suffix}", f"silver_{suffix}", f"gold_{suffix}")
-    written = run_daily(spark, landing, PLAYER, names)
+    names = daily.Tables(f"bronze_{suffix}", f"silver_{suffix}", f"gold_{suffix}")
+    written = daily.run_daily(spark, landing, PLAYER, names, latest)
     return spark.createDataFrame(list(written.items()), "stage string, n bigint")
 
 
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written by each step of a first daily run over all landed documents."""
+    return _daily_counts(spark, sf_dir, None)
+
+
+def stage_counts_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the newest matches of one player."""
+    return _daily_counts(spark, sf_dir, LATEST_MATCHES)
+
+
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents landed as files, then counted as a stream."""
     landing = fresh_path(spark, "landing")
@@ -322,6 +328,7 @@ QUERIES: dict[str, Query] = {
             gold_upsert_players,
             table_roundtrip,
             stage_counts,
+            stage_counts_latest,
             stream_gold,
             champion_feed,
             normalize_columns,

@@ -5,6 +5,7 @@ from uuid import uuid4
 import pytest
 from pyspark.errors import PySparkException
 
+from scoreloom.operators.documents import latest_matches, match_index
 from scoreloom.operators.games import player_games
 from scoreloom.operators.stats import champion_stats
 from scoreloom.plans.daily import Tables, run_daily
@@ -41,6 +42,14 @@ def test_first_and_second_run(spark, sf_dir, landing, names):
     assert rows(spark.table(names.stats)) == first
 
 
+def test_latest_matches_only(spark, sf_dir, landing, names):
+    counts = run_daily(spark, landing, "P7", names, latest=20)
+    assert (counts["bronze"], counts["silver"]) == (20, 20)
+    newest = latest_matches(match_index(m.documents(spark, sf_dir)).where("puuid = 'P7'"), 20)
+    ids = {r.match_id for r in newest.collect()}
+    assert {r.match_id for r in spark.table(names.games).collect()} == ids
+
+
 def test_another_player_keeps_earlier_champions(spark, landing, names):
     run_daily(spark, landing, "P7", names)
     before = {r[0] for r in spark.table(names.stats).select("champion").collect()}

@@ -54,6 +54,14 @@ def test_several_batches_equal_one_batch_run(spark, setup):
     assert found == rows(champion_stats(every_player_games(landed)))
 
 
+def test_first_batch_without_games(spark, setup):
+    live, landing = setup
+    land(spark, landing, "not json")
+    assert run(spark, live, landing) == []
+    land(spark, landing, M1)
+    assert [r[0] for r in run(spark, live, landing)] == ["X", "Y"]
+
+
 def test_documents_landed_again_are_not_counted_again(spark, setup):
     live, landing = setup
     land(spark, landing, M1, M2, M1)
