@@ -59,7 +59,7 @@ def every_player_games(documents: DataFrame) -> DataFrame:
         F.filter(PARTICIPANTS, lambda p: p["puuid"].isNotNull()),
         lambda p, i: F.struct(p["puuid"].alias("puuid"), i.alias("position"), p.alias("entry")),
     )
-    ranked = with_parsed(documents).select("match_id", F.array_sort(entries).alias("ranked"))
+    ranked = with_parsed(documents).select("match_id", F.sort_array(entries).alias("ranked"))
 
     def is_first(entry: Column, i: Column) -> Column:
         before = F.get("ranked", i - 1)

@@ -102,9 +102,10 @@ def document_text() -> Column:
     return F.to_json(
         F.struct(
             F.struct(F.col("match_id").alias("matchId")).alias("metadata"),
-            F.struct(F.col("game_end").alias("gameEndTimestamp"), F.col("entries").alias("participants")).alias(
-                "info"
-            ),
+            F.struct(
+                F.col("game_end").alias("gameEndTimestamp"),
+                F.col("entries").alias("participants"),
+            ).alias("info"),
         )
     )
 
