@@ -1,36 +1,87 @@
-"""Positions of all rows in one total order."""
+"""Positions of all rows, and sums of the rows before each row, in one total order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.sources.shared import publish
 
+_PART, _PLACE = "__part", "__place"
+_PLACE_BITS = 33  # of monotonically_increasing_id: partition above, place in the partition below
+
+
+def _ordered(df: DataFrame, order: list[Column | str]) -> DataFrame:
+    """``df`` sorted in parallel and stored with each row's partition and its place there."""
+    at = F.monotonically_increasing_id()
+    return publish(
+        df.orderBy(*order).select(
+            "*",
+            F.shiftright(at, _PLACE_BITS).cast("int").alias(_PART),
+            at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(_PLACE),
+        ),
+        "ordered",
+    )
+
+
+def _sums_before(stored: DataFrame, value: Column, name: str) -> DataFrame:
+    """For each partition of a stored order, the sum of ``value`` over the partitions before.
+
+    One row per partition, as many as the session has shuffle partitions at most.
+    """
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        stored.groupBy(_PART)
+        .agg(F.sum(value).alias("__n"))
+        .select(_PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(name))
+    )
+
+
+def numbered(df: DataFrame, order: list[Column | str], name: str = "pos") -> DataFrame:
+    """Number all rows from 0 in ``order``, which should be total for the result to be fixed.
+
+    The rows are sorted in parallel and stored with partition and place as columns, whatever
+    files the writer makes of them. A row's position is its place in its partition plus the
+    rows in the partitions before; only one count per partition passes through one task.
+    """
+    stored = _ordered(df, order)
+    starts = _sums_before(stored, F.lit(1), "__start")
+    return (
+        stored.join(starts, _PART)
+        .withColumn(name, F.col("__start") + F.col(_PLACE))
+        .drop(_PART, _PLACE, "__start")
+    )
+
+
+def running_sum(
+    df: DataFrame, order: list[Column | str], value: str, name: str = "before"
+) -> DataFrame:
+    """The sum of ``value`` over all rows that come before each row in ``order``.
+
+    Sums run inside the partitions of a parallel sort; one sum per partition passes through one
+    task.
+    """
+    stored = _ordered(df, order)
+    starts = _sums_before(stored, F.col(value), "__start")
+    inside = (
+        Window.partitionBy(_PART)
+        .orderBy(_PLACE)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        stored.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(starts, _PART)
+        .withColumn(name, F.col("__start") + F.col("__inside"))
+        .drop(_PART, _PLACE, "__start", "__inside")
+    )
+
 
 def with_position(
     df: DataFrame, rate: str, tie: str, descending: bool = False, name: str = "pos"
 ) -> DataFrame:
     """Number the rows from 0 in the order of ``rate``, unknown rates last, ties by ``tie``.
 
-    The rows are sorted in parallel and stored, one file per sorted range. A row's position is
-    its place in its file plus the rows in the files before. Ranges split at rate and tie, so
-    a rate that many rows share is spread, too. Only the file sizes pass through one task.
+    The sort splits at rate and tie, so a rate that many rows share is spread, too.
     """
     by_rate = F.desc_nulls_last(rate) if descending else F.asc_nulls_last(rate)
-    stored = publish(df.orderBy(by_rate, tie), "ordered")
-    file = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
-    placed = stored.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-
-    files_before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("_file")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_file", F.coalesce(F.sum("_n").over(files_before), F.lit(0)).alias("_start"))
-    )
-    # One row per file, as many as the sort has partitions, whatever the number of rows.
-    return (
-        placed.join(F.broadcast(starts), "_file")
-        .withColumn(name, F.col("_start") + F.col("_row"))
-        .drop("_file", "_row", "_start")
-    )
+    return numbered(df, [by_rate, F.col(tie)], name)

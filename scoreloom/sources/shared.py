@@ -15,11 +15,13 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for local masters."""
+    """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset and
+    all work runs in one process, as in tests."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="scoreloom-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import by_name, connect, spark_rows, sql_rows
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from scoreloom.workload.oracle import ORACLE
+from scoreloom.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,8 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
