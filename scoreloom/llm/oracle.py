@@ -61,4 +61,26 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM digests
 """
 
-ORACLE = {"op7_mixing": OP7, "op8_warc": OP8}
+OP6 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+), lowest AS (
+  SELECT a, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT v.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+FROM embeddings v JOIN lowest l ON l.a = v.vec_id LEFT JOIN counts c ON c.a = v.vec_id
+"""
+
+ORACLE = {"op6_embeddings": OP6, "op7_mixing": OP7, "op8_warc": OP8}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoreloom.llm import embeddings, simhash
 from scoreloom.llm.mixing import mix
 from scoreloom.llm.sharding import shard
 from scoreloom.llm.warc import capture_digests
@@ -14,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), max_epochs=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -23,6 +28,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capture_digests(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return classes.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard(table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -36,4 +46,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_mixing, op8_warc, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op6_embeddings, op7_mixing, op8_warc, op9_simhash, op10_sharding)}
