@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.llm import embeddings, simhash
+import public_tokenizers
+
+from scoreloom.llm import embeddings, language, quality, simhash
 from scoreloom.llm.mixing import mix
+from scoreloom.llm.packing import pack
 from scoreloom.llm.sharding import shard
 from scoreloom.llm.warc import capture_digests
 
@@ -15,6 +18,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(modulus: int) -> Column:
+    """CRC-32 of the id as text, modulo ``modulus``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), tiers=(2048, 1024, 512, 256))
+
+
+def quality_network(spark: SparkSession, sf_dir: str) -> quality.Network:
+    labels = table(spark, sf_dir, "labels").where(remainder(5) != 0)
+    known = labels.select("doc_id", F.col("quality").alias("label"))
+    return quality.train(quality.sample(table(spark, sf_dir, "documents"), known))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, quality_network(spark, sf_dir), threshold=0.3)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    raw = language.dictionaries(docs.where(remainder(4) != 2))
+    found = language.predict(docs.select("doc_id", "text"), raw)
+    return found.select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "margin"
+    )
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -46,4 +80,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_embeddings, op7_mixing, op8_warc, op9_simhash, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_quality, op4_language, op6_embeddings, op7_mixing, op8_warc, op9_simhash, op10_sharding)}
