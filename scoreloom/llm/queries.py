@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from scoreloom.llm import embeddings, language, quality, simhash
+from scoreloom.llm import ctw, embeddings, language, prefixes, quality, simhash
 from scoreloom.llm.mixing import mix
 from scoreloom.llm.packing import pack
 from scoreloom.llm.sharding import shard
@@ -23,6 +23,13 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw.score(table(spark, sf_dir, "documents"), remainder(7) != 2)
+    return scored.select(
+        "doc_id", (remainder(7) == 2).alias("held_out"), *scored.drop("doc_id").columns
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), tiers=(2048, 1024, 512, 256))
@@ -49,6 +56,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -80,4 +91,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_quality, op4_language, op6_embeddings, op7_mixing, op8_warc, op9_simhash, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_ctw, op2_packing, op3_quality, op4_language, op5_prefixes, op6_embeddings, op7_mixing, op8_warc, op9_simhash, op10_sharding)}
