@@ -6,8 +6,9 @@ its children's, with the weight that the training data give it. The code length
 of its decisions' over that mixture.
 
 All the model needs are counts of (context, byte). They are counted in blocks of documents, added up
-over the corpus, turned into a log probability per (context, byte), and joined back to the blocks that
-ask for them, so that neither counts nor model have to fit into a task.
+over the corpus in buckets of contexts, turned into a log probability per (context, byte), and sent
+back to the blocks that ask for them. A task holds one block, or the distinct keys of one bucket; keys
+travel as compressed sorted arrays.
 """
 
 from __future__ import annotations
@@ -15,19 +16,22 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute  # noqa: F401
+import xxhash
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.sources.shared import publish
 
-DEPTH = 4  # bytes of context
+DEPTH = 5  # bytes of context
 EDGE = 0xFF  # stands before and after a text; no byte of UTF-8
-BLOCK_ROWS_BITS = 11  # a block is 2 ** 11 rows of a partition
-LONG_TEXT = 1 << 16  # a text of more characters is a block of its own
+BLOCK_ROWS_BITS = 12  # a block is 2 ** 12 rows of a partition
+OWNER_BITS = 8 * (7 - DEPTH)  # what a key leaves of 64 bits for a text's number
+LONG_TEXT = 1 << 15  # a text of more characters is a block of its own
 PART_BYTES = 1 << 22  # bytes of text whose keys are sorted at once
 HALF = math.log(0.5)
 
@@ -57,67 +61,136 @@ def _runs(sorted_: np.ndarray) -> np.ndarray:
 
 
 def _parts(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``PART_BYTES``."""
+    """Ranges of texts of about ``PART_BYTES``, as many as a key can number at most."""
     start = held = 0
     for n, text in enumerate(texts):
         held += len(text) + DEPTH + 1
-        if held >= PART_BYTES:
+        if held >= PART_BYTES or n + 1 - start >= 1 << OWNER_BITS:
             yield start, n + 1
             start, held = n + 1, 0
     if start < len(texts):
         yield start, len(texts)
 
 
-COUNTS = pa.schema([("block", pa.int64()), ("gram", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
+KEYS = "word boolean, block long, bucket int, keys binary, n binary"
 
 
-def _block_counts(block: int, texts: list[str | None], learn: list[bool]) -> Iterator[pa.RecordBatch]:
-    """What a block's texts hold, and how often its training texts do."""
-    words = [tokens(t) for t in texts]
-    joined = [b" ".join(w) for w in words]
-    for start, end in _parts(joined):
-        keys, owner = context_keys(joined[start:end])
-        keys = np.sort((keys << np.uint64(1)) | np.array(learn[start:end], np.uint64)[owner])
-        starts = _runs(keys >> np.uint64(1))
-        n = np.add.reduceat(keys & np.uint64(1), starts).astype(np.int64)
-        grams = (keys[starts] >> np.uint64(1)).astype(np.int64)
-        none = pa.nulls(len(grams), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), block)), pa.array(grams), none, pa.array(n)], schema=COUNTS)
-    seen = dict.fromkeys(chain.from_iterable(w for w, own in zip(words, learn, strict=True) if not own), 0)
-    seen.update(Counter(chain.from_iterable(w for w, own in zip(words, learn, strict=True) if own)))
-    if seen:
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(seen), block)),
-                pa.nulls(len(seen), pa.int64()),
-                pa.array(list(seen), pa.binary()).cast(pa.string()),
-                pa.array(list(seen.values()), pa.int64()),
-            ],
-            schema=COUNTS,
-        )
-
-
-def block_counts(blocks: DataFrame) -> DataFrame:
-    """Per block, (context, byte) keys and words with their training counts; a block cut by a file split
-    gives its keys twice."""
+def packed(values: np.ndarray) -> bytes:
+    """An array as compressed byte planes; ``unpacked`` is the way back."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return zstandard.compress(planes.tobytes(), 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys, as the steps between them."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
+def summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their values."""
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    every, value = every[order], np.concatenate(values)[order]
+    starts = _runs(every)
+    return every[starts], np.add.reduceat(value, starts) if len(starts) else value
+
+
+def word_key(word: bytes) -> int:
+    """Words are joined by this 64-bit hash; two of a billion words share one with a chance of 3 %."""
+    return xxhash.xxh64_intdigest(word)
+
+
+def bucket_of(keys: np.ndarray, word: bool, buckets: int) -> np.ndarray:
+    """Keys whose contexts share the two nearest bytes have the same bucket."""
+    near = keys if word else keys >> np.uint64(8 * (DEPTH - 1))
+    return ((near * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
+
+
+def _block_keys(block: int, texts: list[str], learn: list[bool], buckets: int) -> Iterator[dict]:
+    """What a block's texts hold, and how often its training texts do, by bucket."""
+    counts: Counter = Counter()
+    others: set = set()
+    joined = []
+    for text, own in zip(texts, learn, strict=True):
+        words = tokens(text)
+        counts.update(words) if own else others.update(words)
+        joined.append(b" ".join(words))
+    keys, values = [], []
+    for start, end in _parts(joined):
+        part, owner = context_keys(joined[start:end])
+        part = np.sort((part << np.uint64(1)) | np.array(learn[start:end], np.uint64)[owner])
+        starts = _runs(part >> np.uint64(1))
+        values.append(np.add.reduceat(part & np.uint64(1), starts).astype(np.int64))
+        keys.append(part[starts] >> np.uint64(1))
+    words = list(counts) + list(others - counts.keys())
+    hashed = np.array(list(map(word_key, words)), np.uint64)
+    seen = np.array([*counts.values(), *[0] * (len(words) - len(counts))], np.int64)
+    for word, found in ((False, (keys, values)), (True, ([hashed], [seen]))):
+        each, n = summed(*found)
+        bucket = bucket_of(each, word, buckets)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for k in range(buckets):
+            own = order[ends[k] : ends[k + 1]]
+            if len(own):
+                yield {
+                    "word": word, "block": block, "bucket": k,
+                    "keys": packed_keys(each[own]), "n": packed(n[own]),
+                }
+
+
+def _batches(rows: Iterator[dict], schema: pa.Schema, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches of about ``most`` bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row.values() if isinstance(v, bytes))
+        if size > most:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _schema(text: str) -> pa.Schema:
+    kinds = {"boolean": pa.bool_(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in text.split(", "))])
+
+
+def block_keys(blocks: DataFrame, buckets: int) -> DataFrame:
+    """Per block and bucket, the (context, byte) keys and the words with their training counts. A block
+    that a file split cuts gives two such rows."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         at, texts, learn = None, [], []
         for batch in batches:
             for block, text, own in zip(*(batch.column(c).to_pylist() for c in ("block", "text", "learn")), strict=True):
                 if block < 0:
-                    yield from _block_counts(block, [text], [own])
+                    yield from _block_keys(block, [text], [own], buckets)
                     continue
                 if block != at and texts:
-                    yield from _block_counts(at, texts, learn)
+                    yield from _block_keys(at, texts, learn, buckets)
                     texts, learn = [], []
                 at = block
                 texts.append(text)
                 learn.append(own)
         if texts:
-            yield from _block_counts(at, texts, learn)
+            yield from _block_keys(at, texts, learn, buckets)
 
-    return blocks.select("block", "text", "learn").mapInArrow(run, "block long, gram long, word string, n long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(rows(batches), _schema(KEYS))
+
+    return blocks.select("block", "text", "learn").mapInArrow(run, KEYS)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -181,23 +254,17 @@ def _subtrees(grams: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, list[Leve
         yield bit, levels, nodes, taken
 
 
-TOP = "c1 int, place int, zeros double, ones double, below double"
-
-
-def _top_sums(table: pa.Table) -> pa.Table:
-    """What a bucket of subtrees adds to the nodes of depth 1."""
-    grams = table.column("gram").to_numpy()
+def _top_sums(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What a bucket of subtrees adds to the nodes of depth 1: context, place, zeros, ones, and the sum of
+    the weighted probabilities below, in rows."""
     out = []
-    for _, levels, _, _ in _subtrees(grams, table.column("n").to_numpy()):
+    for _, levels, _, _ in _subtrees(grams, n):
         top = levels[-1]
         key = ((top.node >> 16) << 8) | (top.node & 255)
         own, at = np.unique(key, return_inverse=True)
-        out.append([own >> 8, own & 255, *(np.bincount(at, v) for v in (top.zeros, top.ones, top.weighted))])
-    c1, place, *sums = (np.concatenate(c) for c in zip(*out, strict=True))
-    return pa.table(
-        {"c1": c1.astype(np.int32), "place": place.astype(np.int32)}
-        | dict(zip(("zeros", "ones", "below"), sums, strict=True))
-    )
+        sums = [np.bincount(at, v) for v in (top.zeros, top.ones, top.weighted)]
+        out.append(np.stack([own >> 8, own & 255, *sums], axis=1))
+    return np.concatenate(out)
 
 
 class Top:
@@ -235,61 +302,138 @@ def _log_probabilities(grams: np.ndarray, n: np.ndarray, top: Top) -> np.ndarray
     return total
 
 
-def model(grams: DataFrame) -> DataFrame:
-    """``gram``, ``log10p`` from keys ``gram`` with training counts ``n`` (0 where a key is only asked for).
+MODEL = "word boolean, bucket int, keys binary, n binary, top binary, total long, known long"
+ANSWERS = "block long, word boolean, keys binary, answers binary"
+MERGE = 1 << 23  # keys that are held before they are added up
+
+
+def model(keys: DataFrame, buckets: int) -> DataFrame:
+    """Per bucket, the distinct keys of the corpus with their training counts, in one row.
 
-    Contexts that share their two nearest bytes are computed together. What all contexts share is
-    a table of 257 by 256 nodes, which is the only part that passes through the driver.
+    A task takes one bucket, whose blocks stream by; what it holds are the bucket's distinct keys. For
+    contexts ``top`` has the sums for the nodes of depth 1; for words ``total`` and ``known`` count training tokens
+    and words.
     """
-    parts = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = F.shiftright("gram", 8 * (DEPTH - 1)).cast("int")
-    bucketed = grams.withColumn("bucket", F.pmod(F.xxhash64(near), F.lit(parts)).cast("int"))
-    sums = bucketed.groupBy("bucket").applyInArrow(_top_sums, TOP)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held: dict[tuple[bool, int], list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = held.setdefault((row["word"], row["bucket"]), [[], [], 0])
+                own[0].append(unpacked_keys(row["keys"]))
+                own[1].append(unpacked(row["n"], np.int64))
+                own[2] += len(own[0][-1])
+                if own[2] > MERGE + 2 * len(own[0][0]):
+                    merged = summed(own[0], own[1])
+                    own[:] = [[merged[0]], [merged[1]], len(merged[0])]
+        for (word, bucket), (every, values, _) in held.items():
+            own, n = summed(every, values)
+            top = b"" if word else _top_sums(own.astype(np.int64), n).tobytes()
+            yield {
+                "word": word, "bucket": bucket, "keys": packed_keys(own), "n": packed(n), "top": top,
+                "total": int(n.sum()), "known": int((n > 0).sum()),
+            }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(rows(batches), _schema(MODEL))
+
+    return keys.repartitionById(buckets, F.col("bucket")).mapInArrow(run, MODEL)
+
+
+def top_nodes(models: DataFrame) -> Top:
+    """The nodes of depths 0 and 1, added up over the buckets: 256 contexts and one, 256 places."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("top").to_pylist():
+                part = np.frombuffer(data, np.float64).reshape(-1, 5)
+                columns = [part[:, 0].astype(np.int32), part[:, 1].astype(np.int32), *part[:, 2:].T]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    kind = "c1 int, place int, zeros double, ones double, below double"
+    names = [x.split()[0] for x in kind.split(", ")]
+    sums = models.where("not word").select("top").mapInArrow(rows, kind)
     added = sums.groupBy("c1", "place").agg(F.sum("zeros"), F.sum("ones"), F.sum("below"))
-    top = Top([tuple(r) for r in added.collect()])
+    return Top([tuple(r) for r in added.collect()])
+
+
+def answers(keys: DataFrame, models: DataFrame, top: Top, buckets: int) -> DataFrame:
+    """For every block's keys the model's answers: log10 probabilities, or training counts of words."""
+    asked = keys.select("word", "bucket", F.lit(True).alias("asks"), "block", "keys", F.lit(None).cast("binary").alias("n"))
+    known = models.select("word", "bucket", F.lit(False).alias("asks"), F.lit(None).cast("long").alias("block"), "keys", "n")
 
-    def probabilities(table: pa.Table) -> pa.Table:
-        keys = table.column("gram").to_numpy()
-        return pa.table({"gram": keys, "log10p": _log_probabilities(keys, table.column("n").to_numpy(), top)})
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        at = own = value = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                each = unpacked_keys(row["keys"])
+                if not row["asks"]:
+                    at, own, value = (row["word"], row["bucket"]), each, unpacked(row["n"], np.int64)
+                    if not row["word"]:
+                        value = _log_probabilities(each.astype(np.int64), value, top).astype(np.float32)
+                    continue
+                place = np.searchsorted(own, each)
+                if at != (row["word"], row["bucket"]) or not np.array_equal(own[place], each):
+                    raise ValueError("a block asks for keys that were not counted")
+                yield {
+                    "block": row["block"], "word": row["word"], "keys": row["keys"],
+                    "answers": packed(value[place]),
+                }
 
-    return bucketed.groupBy("bucket").applyInArrow(probabilities, "gram long, log10p double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(rows(batches), _schema(ANSWERS))
+
+    dealt = known.union(asked).repartitionById(buckets, F.col("bucket"))
+    return dealt.sortWithinPartitions("word", "bucket", "asks").mapInArrow(run, ANSWERS)
 
 
 SCORES = "doc_id long, n_bytes long, n_tokens long, n_known long, base_log double, score double"
 
 
-def _score_block(docs: pa.Table, asked: pa.Table, end_count: int) -> pa.Table:
+def _answered(found: pa.Table, word: bool, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """A block's keys in order with their answers; a key that came twice is kept twice."""
+    own = found.filter(pa.compute.equal(found.column("word"), word))
+    keys = [unpacked_keys(k) for k in own.column("keys").to_pylist()] or [np.zeros(0, np.uint64)]
+    values = [unpacked(v, kind) for v in own.column("answers").to_pylist()] or [np.zeros(0, kind)]
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    return every[order], np.concatenate(values)[order]
+
+
+def _score_block(docs: pa.Table, found: pa.Table, end_count: int) -> pa.Table:
     texts = docs.column("text").to_pylist()
-    words = [tokens(t) for t in texts]
-    joined = [b" ".join(w) for w in words]
-    is_word = asked.column("word").is_valid()
-    found = asked.filter(is_word)
-    counts = dict(zip((w.encode() for w in found.column("word").to_pylist()), found.column("n").to_pylist(), strict=True))
-    known = [np.fromiter(map(counts.__getitem__, w), np.int64, len(w)) for w in words]
-    base = [np.log10(k + 1.0).sum() + math.log10(end_count + 1) for k in known]
-
-    left = asked.filter(asked.column("gram").is_valid())
-    grams = left.column("gram").to_numpy().astype(np.uint64)
-    order = np.argsort(grams)
-    grams, values = grams[order], left.column("log10p").to_numpy()[order]
+    grams, log10p = _answered(found, False, np.float32)
+    hashed, times = _answered(found, True, np.int64)
+    counts = dict(zip(hashed.tolist(), times.tolist(), strict=True))
+    by_word: dict[bytes, int] = {}
+    joined, tokens_of, known, base = [], [], [], []
+    for text in texts:
+        words = tokens(text)
+        for new in set(words).difference(by_word):
+            by_word[new] = counts[word_key(new)]
+        n = np.fromiter(map(by_word.__getitem__, words), np.int64, len(words))
+        joined.append(b" ".join(words))
+        tokens_of.append(len(words) + 1)
+        known.append(int((n > 0).sum()) + (end_count > 0))
+        base.append(float(np.log10(n + 1.0).sum()) + math.log10(end_count + 1))
     score = np.zeros(len(texts))
     for start, end in _parts(joined):
         keys, owner = context_keys(joined[start:end])
-        keys = np.sort((keys << np.uint64(8 * (7 - DEPTH))) | owner.astype(np.uint64))
-        own = keys >> np.uint64(8 * (7 - DEPTH))
+        keys = np.sort((keys << np.uint64(OWNER_BITS)) | owner.astype(np.uint64))
+        own = keys >> np.uint64(OWNER_BITS)
         starts = _runs(own)
         at = np.searchsorted(grams, own[starts])
-        if len(starts) and (at[-1] >= len(grams) or not np.array_equal(grams[at], own[starts])):
+        if at[-1] >= len(grams) or not np.array_equal(grams[at], own[starts]):
             raise ValueError("a block's keys do not match its texts")
-        each = np.repeat(values[at], np.diff([*starts, len(own)]))
-        text = (keys & np.uint64((1 << 8 * (7 - DEPTH)) - 1)).astype(np.int64)
+        each = np.repeat(log10p[at].astype(np.float64), np.diff([*starts, len(own)]))
+        text = (keys & np.uint64((1 << OWNER_BITS) - 1)).astype(np.int64)
         score[start:end] = np.bincount(text, each, end - start)
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
             "n_bytes": pa.array([len(t) for t in joined], pa.int64()),
-            "n_tokens": pa.array([len(w) + 1 for w in words], pa.int64()),
-            "n_known": pa.array([int((k > 0).sum()) + (end_count > 0) for k in known], pa.int64()),
+            "n_tokens": pa.array(tokens_of, pa.int64()),
+            "n_known": pa.array(known, pa.int64()),
             "base_log": pa.array(base, pa.float64()),
             "score": pa.array(score),
         }
@@ -311,6 +455,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     decision has the probability 1/2, and N and V are 0. Repeated rows and null ids are ordinary
     rows. No rows give no rows.
     """
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = F.monotonically_increasing_id()
     long_text = F.length("text") > LONG_TEXT
     blocks = publish(
@@ -321,28 +466,12 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
         ).withColumn("block", F.when(long_text, -1 - place).otherwise(F.shiftright(place, BLOCK_ROWS_BITS))),
         "ctw-blocks",
     )
-    counts = publish(block_counts(blocks), "ctw-counts")
-    by_gram = counts.where("gram is not null").select("block", "gram", "n")
-    grams = publish(by_gram.groupBy("gram").agg(F.sum("n").alias("n")), "ctw-grams")
-    answers = publish(model(grams), "ctw-model")
-    asked_grams = by_gram.select("block", "gram").distinct().join(answers, "gram")
-
-    by_word = counts.where("word is not null").groupBy("word")
-    totals = by_word.agg(F.sum("n").alias("n")).where("n > 0").agg(F.sum("n").alias("n"), F.count("n").alias("v")).first()
+    keys = publish(block_keys(blocks, buckets), "ctw-keys")
+    models = publish(model(keys, buckets), "ctw-model")
+    words = models.where("word").agg(F.sum("total").alias("n"), F.sum("known").alias("v")).first()
     ends = blocks.where("learn").count()
-    total, distinct = (totals["n"] or 0) + ends, totals["v"] + (ends > 0)
-    asked_words = (
-        counts.where("word is not null")
-        .select("block", "word", F.sum("n").over(Window.partitionBy("word")).alias("n"))
-        .distinct()
-    )
-    asked = asked_grams.select(
-        "block", "gram", "log10p", F.lit(None).cast("string").alias("word"), F.lit(None).cast("long").alias("n")
-    ).union(
-        asked_words.select(
-            "block", F.lit(None).cast("long"), F.lit(None).cast("double"), "word", "n"
-        )
-    )
+    total, distinct = (words["n"] or 0) + ends, (words["v"] or 0) + (ends > 0)
+    replies = answers(keys, models, top_nodes(models), buckets)
 
     def score_block(texts: pa.Table, found: pa.Table) -> pa.Table:
         return _score_block(texts, found, ends)
@@ -350,7 +479,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     scored = (
         blocks.select("block", "doc_id", "text")
         .groupBy("block")
-        .cogroup(asked.groupBy("block"))
+        .cogroup(replies.groupBy("block"))
         .applyInArrow(score_block, SCORES)
     )
     per_token = math.log10(total + distinct + 1)
