@@ -15,7 +15,7 @@ from scoreloom.llm.mixing import mix
 from scoreloom.llm.packing import pack
 from scoreloom.sources.shared import publish
 
-MIN_MARGIN = 0.001  # a language is rejected where the second best is as good, to a thousandth
+MIN_MARGIN = 0.001  # a language is rejected where the second best is as good to a thousandth
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,28 +27,34 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified without a tie; the dictionaries come from its input."""
+    """Documents whose language is identified with a margin; the dictionaries come from its input."""
     found = language.identify(language.dictionaries(docs), F.col("text"), MIN_MARGIN)
     kept = docs.withColumn("_lang", found["lang"])
     return kept.where(F.col("_lang") != language.UNKNOWN).drop("_lang")
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id, and one row of it.
+def numbered_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` stored with a unique number ``_row``, so that repeated and missing ids do no harm."""
+    return publish(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
 
-    Only the ids of the others are joined to the texts. Documents without an id are kept.
-    """
-    classes = simhash.near_duplicates(docs, shingle=3, distance=3)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(publish(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest id, and one row of it."""
+    rows = numbered_rows(docs, "dedup-rows")
+    classes = simhash.near_duplicates(rows, shingle=3, distance=3, carry=("_row",))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+    stays = classes.groupBy("class_fp").agg(F.min(place)["_row"].alias("_row")).select("_row")
+    return rows.join(publish(stays, "dedup-stays"), "_row", "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, none to three times."""
-    taken = mix(docs, weights=(5.0, 2.0, 1.0), max_epochs=3)
-    copies = taken.where("copies > 0").select("doc_id", F.sequence(F.lit(1).cast("long"), "copies").alias("_times"))
-    rows = docs.join(publish(copies, "mix-copies"), "doc_id")
-    return rows.withColumn("_time", F.explode("_times")).select(*docs.columns)
+    rows = numbered_rows(docs, "mix-documents")
+    taken = mix(rows, weights=(5.0, 2.0, 1.0), max_epochs=3, key="_row")
+    times = F.sequence(F.lit(1).cast("long"), F.col("copies")).alias("_times")
+    copies = publish(taken.where("copies > 0").select("_row", times), "mix-copies")
+    repeated = rows.join(copies, "_row").withColumn("_time", F.explode("_times"))
+    return repeated.select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

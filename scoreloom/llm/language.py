@@ -18,6 +18,7 @@ SAMPLE_CHARS = 512  # characters taken from each, at a hashed place
 MAX_LANGUAGES = 200  # learned values of lang; more is an error
 PART = 1024  # bytes that are compressed together; all parts of a text are
 LEVEL = 6
+MARGIN_BYTES = 64  # a shorter text holds too few matches for its margin to say anything
 
 RESULT = "lang string, score double, margin double"
 
@@ -89,7 +90,8 @@ def identify(raw: dict[str, bytes], text: Column, min_margin: float = 0.0) -> Co
     """A struct of ``lang``, ``score`` (0 to 1) and ``margin`` for each whole text.
 
     ``und`` with score 0 is returned for a text that is null or has no letter, and, with the score kept,
-    where the margin is below ``min_margin``.
+    where the margin of a text of ``MARGIN_BYTES`` or more is below ``min_margin``. Where languages tie,
+    the commonest is returned.
     """
     key = hash(tuple(raw.items()))
 
@@ -101,7 +103,8 @@ def identify(raw: dict[str, bytes], text: Column, min_margin: float = 0.0) -> Co
         own = _COMPRESSORS[key]
         rows = [own.identify(t if isinstance(t, str) else None) for t in texts]
         found = pd.DataFrame(rows, columns=["lang", "score", "margin"])
-        found.loc[found["margin"] < min_margin, "lang"] = UNKNOWN
+        long = [isinstance(t, str) and len(t.encode()) >= MARGIN_BYTES for t in texts]
+        found.loc[(found["margin"] < min_margin) & long, "lang"] = UNKNOWN
         return found
 
     return of(text)

@@ -58,11 +58,12 @@ def mix(
     max_epochs: int = 3,
     total: int | None = None,
     seed: str = "mix",
+    key: str = "doc_id",
 ) -> DataFrame:
     """One row per document with how often the mix takes it.
 
-    ``docs`` has ``doc_id``, ``text``, ``source``; further columns are ignored. Returns ``doc_id``,
-    ``source``, ``size`` (words), ``source_size``, ``target`` (its source's), ``copies``, ``taken``.
+    ``docs`` has ``doc_id`` (or another integer column, named by ``key``), ``text``, ``source``; further columns
+    are ignored. Returns ``doc_id`` (or ``key``), ``source``, ``size`` (words), ``source_size``, ``target`` (its source's), ``copies``, ``taken``.
 
     A source is taken ``floor(target / size)`` times whole. Of the rest, documents are taken once
     more in a seeded order for as long as at least half of the document lies within the rest, so
@@ -72,10 +73,10 @@ def mix(
     null source is a source of its own, last in the order. Rows with a null ``doc_id`` and repeated
     rows are ordinary rows. A total of 0 gives targets of 0. No rows give no rows.
     """
-    text_key = F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    seeded = F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))
     rows = publish(
         docs.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(text_key).alias("key")
+            key, "source", word_count(F.col("text")).alias("size"), F.md5(seeded).alias("_key")
         ),
         "mix-rows",
     )
@@ -93,7 +94,7 @@ def mix(
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     targets = targets.withColumn("whole", F.coalesce(whole, F.lit(0)))
 
-    order = [F.asc_nulls_last("source"), F.col("key"), F.col("doc_id"), F.col("size")]
+    order = [F.asc_nulls_last("source"), F.col("_key"), F.col(key), F.col("size")]
     placed = publish(running_sum(rows, order, "size", "before"), "mix-placed")
     starts = placed.groupBy(F.col("source").alias("_source")).agg(F.min("before").alias("start"))
     per_source = targets.join(
@@ -106,7 +107,7 @@ def mix(
         placed.join(per_source, placed["source"].eqNullSafe(per_source["_source"]))
         .withColumn("copies", copies)
         .select(
-            "doc_id",
+            key,
             "source",
             "size",
             "source_size",

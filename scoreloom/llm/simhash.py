@@ -156,27 +156,38 @@ def near_links(prints: DataFrame, distance: int = 3, segments: int = 8) -> DataF
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 3, distance: int = 3, segments: int = 8
+    docs: DataFrame,
+    shingle: int = 3,
+    distance: int = 3,
+    segments: int = 8,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (signed), ``fingerprint`` (hex), ``component_id``.
+    """One row per document: ``doc_id``, ``fp`` (signed), ``fingerprint`` (hex), ``component_id``, ``class_fp`` and
+    the columns in ``carry``.
 
     ``docs`` has ``doc_id`` and ``text``; further columns are ignored. ``component_id`` is the smallest
-    ``doc_id`` that can be reached over links; equal fingerprints are linked. Null and empty
+    ``doc_id`` that can be reached over links; equal fingerprints are linked. ``class_fp`` is one
+    fingerprint of the class, the same for all its rows. Null and empty
     texts and texts of white space have the fingerprint zero, linked like any other. Repeated
     rows give repeated rows. A row with a null ``doc_id`` takes part in links, but is never the
     smallest; a class of nulls only has the component null. No rows give no rows.
     """
-    rows = publish(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
+    rows = publish(docs.select("doc_id", *carry, fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
     prints = publish(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-prints")
     stars = components(near_links(prints.select("fp"), distance, segments))
     rooted = prints.join(stars.withColumnRenamed("v", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("m", "fp")
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = publish(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-classes")
+    class_fp = F.col("root").alias("class_fp")
+    classes = publish(
+        rooted.join(smallest, "root").select("fp", "component_id", class_fp), "simhash-classes"
+    )
     return rows.join(classes, "fp").select(
         "doc_id",
+        *carry,
         "fp",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
+        "class_fp",
     )
