@@ -7,6 +7,7 @@ the two best is a reason to reject.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -103,7 +104,7 @@ def identify(raw: dict[str, bytes], text: Column, min_margin: float = 0.0) -> Co
         own = _COMPRESSORS[key]
         rows = [own.identify(t if isinstance(t, str) else None) for t in texts]
         found = pd.DataFrame(rows, columns=["lang", "score", "margin"])
-        long = [isinstance(t, str) and len(t.encode()) >= MARGIN_BYTES for t in texts]
+        long = np.array([isinstance(t, str) and len(t.encode()) >= MARGIN_BYTES for t in texts], bool)
         found.loc[(found["margin"] < min_margin) & long, "lang"] = UNKNOWN
         return found
 

@@ -20,7 +20,8 @@ BLOCK = 4  # a filter sees two blocks of bytes and moves by one
 EMBED, FILTERS = 8, 16
 SAMPLE_ROWS = 800  # labelled rows of each class that the network is fitted on, at most
 SAMPLE_CHUNKS = 8  # chunks of a sampled document, spread evenly over all of it
-EPOCHS, BATCH, RATE = 14, 32, 0.01
+STEPS = 700  # updates, whatever the size of the sample
+BATCH, RATE = 32, 0.01
 SCORED_BYTES = 1 << 20  # bytes of text whose chunks are in memory at once
 
 
@@ -96,7 +97,7 @@ def _gradients(net: Network, codes: np.ndarray, counts: np.ndarray, labels: np.n
     return [to_embed, to_filters, to_pool.sum(axis=0), features.T @ wrong, wrong.sum(keepdims=True)]
 
 
-def train(samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, seed: int = 7) -> Network:
+def train(samples: list[tuple[np.ndarray, int]], steps: int = STEPS, seed: int = 7) -> Network:
     """Fit by Adam on (chunks, label) pairs. Without samples of both labels the score is 0.5."""
     net = Network.fresh(seed)
     if len({label for _, label in samples}) < 2:
@@ -105,25 +106,22 @@ def train(samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, seed: int
     first = [np.zeros_like(getattr(net, p)) for p in net.parts]
     second = [np.zeros_like(getattr(net, p)) for p in net.parts]
     net.weight[:] = rng.normal(0, 0.3, 2 * FILTERS)
-    step = 0
-    for epoch in range(epochs):
-        rate = RATE * (1 - epoch / epochs)
-        order = rng.permutation(len(samples))
-        for at in range(0, len(order), BATCH):
-            batch = [samples[i] for i in order[at : at + BATCH]]
-            step += 1
-            gradients = _gradients(
-                net,
-                np.concatenate([c for c, _ in batch]),
-                np.array([len(c) for c, _ in batch]),
-                np.array([label for _, label in batch], np.float32),
-            )
-            for k, (part, g) in enumerate(zip(net.parts, gradients, strict=True)):
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-                value = getattr(net, part)
-                value -= (rate * move).astype(np.float32)
+    order = np.concatenate([rng.permutation(len(samples)) for _ in range(1 + steps * BATCH // len(samples))])
+    for step in range(1, steps + 1):
+        rate = RATE * (1 - step / (steps + 1))
+        batch = [samples[i] for i in order[(step - 1) * BATCH : step * BATCH]]
+        gradients = _gradients(
+            net,
+            np.concatenate([c for c, _ in batch]),
+            np.array([len(c) for c, _ in batch]),
+            np.array([label for _, label in batch], np.float32),
+        )
+        for k, (part, g) in enumerate(zip(net.parts, gradients, strict=True)):
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.99 * second[k] + 0.01 * g * g
+            move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+            value = getattr(net, part)
+            value -= (rate * move).astype(np.float32)
     return net
 
 
