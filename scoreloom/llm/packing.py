@@ -10,10 +10,13 @@ of attention cost.
 from __future__ import annotations
 
 import array
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,6 +29,10 @@ STEP_TOKENS = 1 << 16  # tokens of a step group
 KNOWN_WORDS = 600_000  # words whose ids a worker remembers
 PLACE_BITS = 33  # of a sequence's id: its number in its partition, below the partition's
 
+RUNS = re.compile(r"[a-zß-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+")  # letters; signs but the apostrophe
+PLAIN = re.compile(f"(?:{RUNS.pattern})+")
+JOINED = 200  # runs that are encoded together
+
 Piece = tuple[int, int, int]  # length, document's place in the cell, start
 
 PIECES = (
@@ -39,7 +46,9 @@ class WordIds:
 
     The tokenizer drops white space and never joins across it, so a text's ids are the ids of
     the parts between its spaces. Case is dropped as well, so words within Latin-1 are
-    remembered in lower case. Texts with a special token are encoded whole.
+    remembered in lower case. A word of letters and signs is cut where they meet, as the
+    tokenizer cuts it; such runs are encoded many at a time and told apart by the tokens that end
+    a word. Texts with a special token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -48,11 +57,31 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [array.array("I", x.ids).tobytes() for x in coded]
 
+    def _encode_runs(self, runs: list[str]) -> list[bytes]:
+        data = b"".join(self._encode([" ".join(runs[at : at + JOINED]) for at in range(0, len(runs), JOINED)]))
+        ends = (np.flatnonzero(self.ends_word[np.frombuffer(data, np.uint32)]) + 1) * ID_BYTES
+        if len(ends) != len(runs):
+            raise ValueError("the tokenizer does not end each run with a word end")
+        ends = ends.tolist()
+        return [data[start:end] for start, end in zip([0, *ends], ends, strict=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        known = self.known
+        cut = {w: RUNS.findall(w) for w in words if PLAIN.fullmatch(w)}
+        runs = list(set(chain.from_iterable(cut.values())).difference(known))
+        known.update(zip(runs, self._encode_runs(runs), strict=True))
+        known.update((w, b"".join(map(known.__getitem__, parts))) for w, parts in cut.items())
+        other = [w for w in words if w not in cut]
+        known.update(zip(other, self._encode(other), strict=True))
+
     def _words(self, text: str) -> list[str]:
         try:
             text.encode("latin-1")
@@ -67,12 +96,11 @@ class WordIds:
         words = [[] if i in whole else self._words(t) for i, t in enumerate(texts)]
         if len(self.known) > KNOWN_WORDS:
             self.known = {"": b""}
-        known = self.known
-        unknown = list({w for one in words for w in set(one) if w not in known})
-        for at in range(0, len(unknown), 10_000):
-            part = unknown[at : at + 10_000]
-            known.update(zip(part, self._encode(part), strict=True))
-        coded = [b"".join(map(known.__getitem__, one)) for one in words]
+        unknown = list(set(chain.from_iterable(words)).difference(self.known))
+        for at in range(0, len(unknown), 50_000):
+            self._learn(unknown[at : at + 50_000])
+        code = self.known.__getitem__
+        coded = [b"".join(map(code, one)) for one in words]
         for i in whole:
             coded[i] = self._encode([texts[i]])[0]
         return coded

@@ -12,7 +12,7 @@ from scoreloom.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
-TEXT = st.text(st.one_of(st.sampled_from(" \n\t'sreA.,!é́Σİ<|>"), st.characters(codec="utf-8")), max_size=60)
+TEXT = st.text(st.one_of(st.sampled_from(" \n\t'sreA.,!_-9²é\u0301ÿΣİ<|>"), st.characters(codec="utf-8")), max_size=60)
 
 
 @settings(max_examples=300, deadline=None)
