@@ -1,0 +1,65 @@
+import numpy as np
+
+from scoreloom.llm import embeddings
+
+
+def clustered(rng, count, dims, noise):
+    centres = rng.normal(size=(max(1, count // 6), dims))
+    return centres[rng.integers(0, len(centres), count)] + rng.normal(size=(count, dims)) * noise
+
+
+def test_error_bounds_hold():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 33)) * 10.0 ** rng.integers(-20, 20, (200, 1))
+    codes, scale, length, error = embeddings.quantise(x)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    product = (codes.astype(float) @ codes.astype(float).T) * scale[:, None] * scale[None, :]
+    bound = error[:, None] + length[:, None] * error[None, :]
+    assert (np.abs(unit @ unit.T - product) <= bound + 1e-12).all()
+
+
+def test_tiles_find_all_pairs():
+    rng = np.random.default_rng(4)
+    for dims in (8, 64, 1200):
+        x = clustered(rng, 150, dims, 0.1 / np.sqrt(dims))
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        want = unit @ unit.T >= 0.98
+        a, b = embeddings.tile_pairs(x, None, 0.98)
+        assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(i, j) for i, j in zip(*np.nonzero(np.triu(want, 1)), strict=True)}
+        a, b = embeddings.tile_pairs(x[:70], x[70:], 0.98)
+        assert set(zip(a.tolist(), b.tolist(), strict=True)) == set(zip(*(k.tolist() for k in np.nonzero(want[:70, 70:])), strict=True))
+
+
+def brute(rows, threshold):
+    def fit(v):
+        return v is not None and len(v) > 0 and all(c is not None and np.isfinite(c) for c in v) and any(v)
+
+    def linked(a, b):
+        if a[2] is None or a[2] != b[2] or not fit(a[1]) or not fit(b[1]) or len(a[1]) != len(b[1]):
+            return False
+        x, y = np.float32(a[1]).astype(float), np.float32(b[1]).astype(float)
+        return x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold
+
+    near = [[j for j in range(len(rows)) if j != i and linked(rows[i], rows[j])] for i in range(len(rows))]
+    label = list(range(len(rows)))
+    for _ in rows:
+        label = [min([label[i], *(label[j] for j in n)]) for i, n in enumerate(near)]
+    ids = {k: min((rows[i][0] for i in range(len(rows)) if label[i] == k and rows[i][0] is not None), default=None) for k in set(label)}
+    return sorted(((r[0], len(n), ids[k], r[0] is not None and r[0] == ids[k]) for r, n, k in zip(rows, near, label, strict=True)), key=repr)
+
+
+def test_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 16)
+    rng = np.random.default_rng(5)
+    vectors = np.float32(clustered(rng, 160, 12, 0.03)).tolist()
+    rows = [(k, v, [0, 0, 1, None][k % 4]) for k, v in enumerate(vectors)]
+    rows += [(1000 + k, vectors[4], 0) for k in range(30)]
+    rows += [
+        (2000, None, 0), (2001, [], 0), (2002, [0.0] * 12, 0), (2003, [float("nan"), *vectors[4][1:]], 0),
+        (2004, [None, *vectors[4][1:]], 0), (2005, [float("inf"), *vectors[4][1:]], 0), (2006, vectors[4][:6], 0),
+        (2007, [1e-30 * x for x in vectors[4]], 0), (None, vectors[4], 0), (None, [5.0] * 12, 1), (2008, vectors[4], 0), (2008, vectors[4], 0),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr("*", "1 AS node", "2 AS links", "3 AS copies")
+    got = sorted((tuple(r) for r in embeddings.near_duplicates(frame, 0.98).collect()), key=repr)
+    assert got == brute(rows, 0.98)
+    assert embeddings.near_duplicates(frame.limit(0), 0.98).collect() == []

@@ -1,0 +1,55 @@
+"""Registered queries against their SQL, and the pipeline's stages against brute force."""
+
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from compare import by_name, connect, spark_rows, sql_rows
+from edge_rows import EDGE_TEXTS
+
+from scoreloom.llm import quality, simhash
+from scoreloom.llm.registry import LLM_ORACLE, LLM_QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_all_are_registered():
+    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline"} == set(range(1, 11))
+    assert "pipeline" in LLM_QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(LLM_ORACLE))
+def test_sql(spark, name):
+    ours = by_name(*spark_rows(LLM_QUERIES[name](spark, SF)))
+    theirs = by_name(*sql_rows(connect(SF), LLM_ORACLE[name]))
+    assert ours == theirs
+
+
+def test_quality_and_language_keep_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    good = corpus_pipeline.good_quality(spark, docs, SF)
+    assert good.columns == docs.columns
+    kept = {r["doc_id"] for r in good.collect()}
+    right = Counter((label, key in kept) for key, label in labels.items())
+    assert right[1, True] >= 0.98 * (right[1, True] + right[1, False])
+    assert right[0, False] >= 0.8 * (right[0, True] + right[0, False])
+    known = corpus_pipeline.known_language(spark, good, SF)
+    assert known.columns == docs.columns and known.count() >= 0.98 * len(kept)
+
+
+def test_stages_on_edges(spark, docs, monkeypatch):
+    frame = docs(EDGE_TEXTS).select("doc_id", "text", "lang", "source", "n_chars")
+    one = corpus_pipeline.one_of_each(spark, frame, SF).collect()
+    prints = [simhash.simhash(t) for _, t in EDGE_TEXTS]
+    assert len(one) == len(set(prints))  # none of them is near another
+    assert {r["doc_id"] for r in one if simhash.simhash(r["text"]) == 0} == {1}
+    assert [r["doc_id"] for r in one if r["text"] == EDGE_TEXTS[3][1]] == [4]
+    mixed = corpus_pipeline.mixed(spark, frame, SF)
+    assert mixed.columns == frame.columns and mixed.count() >= len(EDGE_TEXTS) - 2
+    monkeypatch.setattr(quality, "sample", lambda docs, labels: [])
+    for rows in (frame, frame.limit(0)):
+        left = rows
+        for _, stage in corpus_pipeline.STAGES:
+            left = stage(spark, left, SF)
+        assert left.count() >= (rows is frame)

@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from edge_rows import EDGE_TEXTS
+
+from scoreloom.llm import simhash
+from scoreloom.llm.graph import components
+
+
+def naive(text, size=3):
+    words = (text or "").encode().lower().split()
+    shingles = [words[i : i + size] for i in range(len(words) - size + 1)] or ([words] if words else [])
+    hashes = [xxhash.xxh64_intdigest(b" ".join(s), 42) for s in shingles]
+    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def classes(prints, distance):
+    """Smallest member of each print's class, by comparing all pairs."""
+    prints = sorted(set(prints))
+    label = {p: p for p in prints}
+    changed = True
+    while changed:
+        changed = False
+        for p in prints:
+            for q in prints:
+                if ((p ^ q) & (1 << 64) - 1).bit_count() <= distance and label[q] < label[p]:
+                    label[p], changed = label[q], True
+    return label
+
+
+def test_fingerprints():
+    texts = [t for _, t in EDGE_TEXTS] + ["a b c d e f", "A b", "one two three"]
+    for text in texts:
+        assert simhash.simhash(text) == naive(text)
+
+
+@pytest.mark.parametrize(("distance", "segments"), [(3, 8), (0, 8), (1, 4), (5, 8), (7, 16)])
+def test_links_connect_all_near_pairs(spark, monkeypatch, distance, segments):
+    monkeypatch.setattr(simhash, "TILE", 8)
+    rng = random.Random(distance)
+    prints = [rng.getrandbits(64) for _ in range(12)]
+    for start in list(prints):
+        point = start
+        for _ in range(12):  # chains of near prints, and far ones
+            for _ in range(rng.randint(0, distance + 2)):
+                point ^= 1 << rng.randrange(64)
+            prints.append(point)
+    signed = sorted({int(np.uint64(p).view(np.int64)) for p in prints} | {0, -1})
+    frame = spark.createDataFrame([(p,) for p in signed], "fp long")
+    links = simhash.near_links(frame, distance, segments)
+    assert all(((r["a"] ^ r["b"]) & (1 << 64) - 1).bit_count() <= distance for r in links.collect())
+    stars = {r["v"]: r["m"] for r in components(links).collect()}
+    assert {p: stars.get(p, p) for p in signed} == classes(signed, distance)
+
+
+def test_components_of_paths_and_hubs(spark):
+    path = [(i, i + 1) for i in range(60)]
+    hub = [(200, 300 + i) for i in range(50)]
+    odd = [(None, 7), (8, None), (9, 9), (300, 200)]
+    random.Random(1).shuffle(path)
+    got = components(spark.createDataFrame([*path, *hub, *odd], "a long, b long"))
+    assert {tuple(r) for r in got.collect()} == {(i, 0) for i in range(1, 61)} | {(300 + i, 200) for i in range(50)}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_edges(docs, edge, empty):
+    rows = simhash.near_duplicates(edge, carry=("n_chars",)).collect()
+    assert len(rows) == len(EDGE_TEXTS)
+    for r in rows:
+        if r["doc_id"] in (1, 2, 3) or (r["doc_id"] is None and r["fp"] == 0):
+            assert (r["fingerprint"], r["component_id"]) == ("0" * 16, 1)
+        elif r["doc_id"] in (4, 5):
+            assert r["component_id"] == 4
+        else:
+            assert r["component_id"] == r["doc_id"]
+    assert simhash.near_duplicates(empty).collect() == []
+    lone = simhash.near_duplicates(docs([(None, "a b c d"), (None, "a b c d")])).collect()
+    assert [r["component_id"] for r in lone] == [None, None] and len({r["class_fp"] for r in lone}) == 1
