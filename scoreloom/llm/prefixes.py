@@ -17,18 +17,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRIME = (1 << 31) - 1
+MASK, SHIFT = np.uint64(PRIME), np.uint64(31)
 BASES = (911_382_323, 972_663_749)
 BLOCK = 1 << 16  # code points whose prefixes are in memory at once
 WINDOW = 12  # code points of the spans that a sketch is made of
 SLOTS = 64  # a sketch keeps the smallest span hash of each slot
-SLOT_BITS, EMPTY = 16, 0xFFFF
+SLOT_BITS, VALUE_BITS, EMPTY = 6, 15, 0xFFFF
 
 
 def _reduce(x: np.ndarray) -> np.ndarray:
-    """``x`` below 2**62 modulo the prime."""
-    x = (x & PRIME) + (x >> 31)
-    x = (x & PRIME) + (x >> 31)
-    return np.where(x >= PRIME, x - PRIME, x)
+    """``x`` below 2**62 modulo the prime. A difference below zero wraps to a large number."""
+    y = x >> SHIFT
+    y += x & MASK
+    np.minimum(y, y - MASK, out=y)
+    return np.minimum(y, y - MASK, out=y)
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -55,16 +57,23 @@ class Prefixes:
             terms = _reduce((codes.astype(np.uint64) + 1) * powers[: len(codes)])
             self.sums.append(np.concatenate([[np.uint64(0)], _reduce(np.cumsum(terms))]))
 
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def spans(self, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
         """Hashes of the spans; equal spans have equal hashes, wherever they start."""
-        whole = np.zeros(len(start), np.uint64)
+        whole = np.uint64(0)
         for sums, inverse in zip(self.sums, INVERSES, strict=True):
-            part = _reduce((sums[end] + PRIME - sums[start]) * inverse[start])
-            whole = (whole << np.uint64(31)) | part
+            part = sums[end] - sums[start]
+            np.minimum(part, part + MASK, out=part)
+            part *= inverse[start]
+            whole = (whole << SHIFT) | _reduce(part)
         return whole
 
     def span(self, start: int, end: int) -> int:
-        return int(self.spans(np.array([start]), np.array([end]))[0])
+        """The hash of one span."""
+        whole = 0
+        for sums, inverse in zip(self.sums, INVERSES, strict=True):
+            part = (int(sums[end]) - int(sums[start])) * int(inverse[start]) % PRIME
+            whole = whole << 31 | part
+        return whole
 
 
 def codes_of(text: str) -> np.ndarray:
@@ -83,50 +92,61 @@ def common_extension(a: Prefixes, b: Prefixes, at_a: int, at_b: int, most: int)
     return low
 
 
-def common_prefix(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common prefix of two texts, block by block."""
-    done, most = 0, min(len(a), len(b))
-    while done < most:
-        length = min(BLOCK, most - done)
-        found = common_extension(
-            Prefixes(a[done : done + length]), Prefixes(b[done : done + length]), 0, 0, length
-        )
-        done += found
-        if found < length:
-            break
-    return done
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-def fingerprint(codes: np.ndarray) -> str:
+    return x ^ (x >> np.uint64(29))
+
+
+class Marked:
+    """A text's code points, block hashes, fingerprint, and the prefixes of its last block."""
+
+    def __init__(self, text: str):
+        self.codes = codes_of(text)
+        self.blocks: list[int] = []
+        self.last: tuple[int, Prefixes] | None = None
+        whole = [0] * len(BASES)
+        slots = np.full(SLOTS, EMPTY, np.uint64)
+        count, size = len(self.codes), min(WINDOW, len(self.codes))
+        for at in range(0, count, BLOCK):
+            part = Prefixes(self.codes[at : at + BLOCK + WINDOW - 1])
+            own = min(BLOCK, count - at)
+            self.last = at, part
+            self.blocks.append(part.span(0, own))
+            for k, base in enumerate(BASES):
+                whole[k] = (whole[k] + int(part.sums[k][own]) * pow(base, at, PRIME)) % PRIME
+            spans = min(own, count - at - size + 1)
+            if spans > 0:
+                hashes = _mix(part.spans(slice(0, spans), slice(size, size + spans)))
+                slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+                np.minimum.at(slots, slot, hashes & np.uint64((1 << VALUE_BITS) - 1))
+        sketch = slots.astype(">u2").tobytes().hex()
+        self.print = f"{count:x}-{whole[0]:08x}{whole[1]:08x}-{sketch}"
+
+    def prefixes(self, at: int) -> Prefixes:
+        """Of the block that starts there."""
+        if self.last and self.last[0] == at:
+            return self.last[1]
+        return Prefixes(self.codes[at : at + BLOCK])
+
+
+def fingerprint(text: str) -> str:
     """Length, hash of the whole text, and a sketch of its spans, in hexadecimal.
 
     The spans are all of ``WINDOW`` code points, or the whole of a shorter text. Slots without a span
     hold ``ffff``.
     """
-    whole = [0] * len(BASES)
-    slots = np.full(SLOTS, EMPTY, np.uint64)
-    for at in range(0, len(codes), BLOCK):
-        part = Prefixes(codes[at : at + BLOCK + WINDOW - 1])
-        own = min(BLOCK, len(codes) - at)
-        for k, base in enumerate(BASES):
-            whole[k] = (whole[k] + int(part.sums[k][own]) * pow(base, at, PRIME)) % PRIME
-        size = min(WINDOW, len(codes))
-        last = min(own, len(codes) - at - size + 1)
-        if last <= 0:
-            continue
-        start = np.arange(last)
-        hashes = _mix(part.spans(start, start + size))
-        slot = (hashes >> np.uint64(64 - 6)).astype(np.int64)
-        value = (hashes >> np.uint64(8)) % np.uint64(EMPTY)
-        np.minimum.at(slots, slot, value)
-    sketch = "".join(f"{int(s):04x}" for s in slots)
-    return f"{len(codes):x}-{whole[0]:08x}{whole[1]:08x}-{sketch}"
+    return Marked(text).print
+
+
+def common_prefix(a: Marked, b: Marked) -> int:
+    """Length of the longest common prefix: whole blocks by their hashes, then a binary search."""
+    most = min(len(a.codes), len(b.codes))
+    for k, at in enumerate(range(0, most, BLOCK)):
+        size = min(BLOCK, most - at)
+        same_size = min(len(a.codes), at + BLOCK) == min(len(b.codes), at + BLOCK)
+        if not same_size or a.blocks[k] != b.blocks[k]:
+            return at + common_extension(a.prefixes(at), b.prefixes(at), 0, 0, size)
+    return most
 
 
 def likeness(a: str, b: str) -> float:
@@ -204,20 +224,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         held = None
         for batch in batches:
             rows = []
-            for key, text, tail in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "tail")), strict=True):
-                codes = codes_of(text)
-                print_ = fingerprint(codes)
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "tail"))
+            for key, text, tail in zip(*columns, strict=True):
+                marked = Marked(text)
                 if held:
-                    own_key, own_text, own_codes, own_print = held
-                    changed = edited(own_text, text)
-                    changed_codes = codes_of(changed)
-                    changed_print = fingerprint(changed_codes)
+                    own_key, own_text, own = held
+                    changed_text = edited(own_text, text)
+                    changed = Marked(changed_text)
                     rows.append((
-                        own_key, len(own_codes), hashlib.sha256(changed.encode()).hexdigest(), own_print,
-                        changed_print, likeness(own_print, changed_print), likeness(own_print, print_),
-                        common_prefix(own_codes, changed_codes),
+                        own_key, len(own.codes), hashlib.sha256(changed_text.encode()).hexdigest(),
+                        own.print, changed.print, likeness(own.print, changed.print),
+                        likeness(own.print, marked.print), common_prefix(own, changed),
                     ))
-                held = None if tail else (key, text, codes, print_)
+                held = None if tail else (key, text, marked)
             if rows:
                 yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows, strict=True), strict=True)), schema=SCHEMA)
 

@@ -32,14 +32,18 @@ def test_reduction_is_the_remainder():
 
 @pytest.mark.parametrize("size", [prefixes.BLOCK - 1, prefixes.BLOCK, prefixes.BLOCK + 5, 2 * prefixes.BLOCK + 100])
 def test_blocks_do_not_show(size, monkeypatch):
-    codes = np.random.default_rng(size).integers(0, 1 << 20, size).astype(np.uint32)
-    whole = prefixes.fingerprint(codes)
-    monkeypatch.setattr(prefixes, "BLOCK", 5_000)
-    assert prefixes.fingerprint(codes) == whole
-    other = codes.copy()
-    other[size - 3] ^= 1
-    assert prefixes.common_prefix(codes, other) == size - 3
-    assert prefixes.common_prefix(codes, codes[: size // 2]) == size // 2
+    codes = np.random.default_rng(size).integers(97, 1 << 15, size)
+    text = "".join(map(chr, codes))
+    whole = prefixes.fingerprint(text)
+    for block in (prefixes.BLOCK, 5_000):
+        monkeypatch.setattr(prefixes, "BLOCK", block)
+        assert prefixes.fingerprint(text) == whole
+        own = prefixes.Marked(text)
+        other = prefixes.Marked(text[: size - 3] + "a" + text[size - 2 :])
+        assert prefixes.common_prefix(own, other) == size - 3
+        assert prefixes.common_prefix(own, prefixes.Marked(text[: size // 2])) == size // 2
+        assert prefixes.common_prefix(own, prefixes.Marked(text)) == size
+        assert prefixes.common_prefix(own, prefixes.Marked("")) == 0
 
 
 def brute(rows):
@@ -48,7 +52,7 @@ def brute(rows):
     for (key, text), (_, following) in zip(rows, [*rows[1:], *rows[:1]], strict=True):
         quarter = len(text) // 4
         changed = text[: len(text) - quarter] + following[:quarter]
-        prints = [prefixes.fingerprint(prefixes.codes_of(t)) for t in (text, changed, following)]
+        prints = [prefixes.fingerprint(t) for t in (text, changed, following)]
         shared = next((i for i, (x, y) in enumerate(zip(text, changed, strict=False)) if x != y), min(len(text), len(changed)))
         out.append((
             key, len(text), hashlib.sha256(changed.encode()).hexdigest(), prints[0], prints[1],
@@ -72,11 +76,10 @@ def test_edges(docs, edge, empty):
 
 def test_likeness_follows_the_shared_part():
     rng = np.random.default_rng(2)
-    text = rng.integers(97, 123, 20_000).astype(np.uint32)
-    other = rng.integers(97, 123, 20_000).astype(np.uint32)
+    text, other = ("".join(map(chr, rng.integers(97, 123, 20_000))) for _ in range(2))
     own = prefixes.fingerprint(text)
     near = [
-        prefixes.likeness(own, prefixes.fingerprint(np.concatenate([text[: 20_000 - cut], other[:cut]])))
+        prefixes.likeness(own, prefixes.fingerprint(text[: 20_000 - cut] + other[:cut]))
         for cut in (0, 1_000, 5_000, 20_000)
     ]
     assert near[0] == 1 and near[0] > near[1] > near[2] > near[3] and near[3] < 0.1
