@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +30,9 @@ from scoreloom.sources.shared import publish
 
 DEPTH = 5  # bytes of context
 EDGE = 0xFF  # stands before and after a text; no byte of UTF-8
-BLOCK_ROWS_BITS = 12  # a block is 2 ** 12 rows of a partition
+BLOCK_BYTES = 1 << 24  # bytes of the words of a block; a longer text is a block of its own
 OWNER_BITS = 8 * (7 - DEPTH)  # what a key leaves of 64 bits for a text's number
-LONG_TEXT = 1 << 15  # a text of more characters is a block of its own
+PLACE_BITS = 33  # of a block's number in its partition
 PART_BYTES = 1 << 22  # bytes of text whose keys are sorted at once
 HALF = math.log(0.5)
 
@@ -72,6 +73,7 @@ def _parts(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+BLOCKS = "block long, doc_ids array<long>, learn array<boolean>, words binary"
 KEYS = "word boolean, block long, bucket int, keys binary, n binary"
 
 
@@ -116,18 +118,69 @@ def bucket_of(keys: np.ndarray, word: bool, buckets: int) -> np.ndarray:
     return ((near * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
 
 
-def _block_keys(block: int, texts: list[str], learn: list[bool], buckets: int) -> Iterator[dict]:
+def text_blocks(docs: DataFrame) -> DataFrame:
+    """Rows ``doc_id``, ``text``, ``learn`` as blocks: ids, and the texts' words joined and compressed.
+
+    The blocks are numbered within their partition, so the result must be stored before it is read twice.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << PLACE_BITS
+        ids, learn, texts, held = [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            words = zstandard.compress(bytes([EDGE]).join(texts), 3)
+            row = {"block": number, "doc_ids": ids, "learn": learn, "words": words}
+            return pa.RecordBatch.from_pylist([row], BLOCK_SCHEMA)
+
+        for batch in batches:
+            for key, text, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "learn")), strict=True):
+                joined = b" ".join(tokens(text))
+                if texts and held + len(joined) > BLOCK_BYTES:
+                    yield block()
+                    number += 1
+                    ids, learn, texts, held = [], [], [], 0
+                ids.append(key)
+                learn.append(own)
+                texts.append(joined)
+                held += len(joined) + DEPTH + 1
+        if texts:
+            yield block()
+
+    return docs.select("doc_id", "text", "learn").mapInArrow(run, BLOCKS)
+
+
+BLOCK_SCHEMA = pa.schema(
+    [
+        ("block", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("learn", pa.list_(pa.bool_())),
+        ("words", pa.binary()),
+    ]
+)
+
+
+def texts_of(words: bytes) -> list[bytes]:
+    """The texts of a block."""
+    return zstandard.decompress(words).split(bytes([EDGE]))
+
+
+def _by_bucket(keys: np.ndarray, word: bool, buckets: int) -> list[np.ndarray]:
+    """For each bucket, the places of its keys in a block's sorted keys."""
+    bucket = bucket_of(keys, word, buckets)
+    order = np.argsort(bucket, kind="stable")
+    return np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
+
+
+def _block_keys(block: int, texts: list[bytes], learn: list[bool], buckets: int) -> Iterator[dict]:
     """What a block's texts hold, and how often its training texts do, by bucket."""
     counts: Counter = Counter()
     others: set = set()
-    joined = []
     for text, own in zip(texts, learn, strict=True):
-        words = tokens(text)
-        counts.update(words) if own else others.update(words)
-        joined.append(b" ".join(words))
+        counts.update(text.split()) if own else others.update(text.split())
     keys, values = [], []
-    for start, end in _parts(joined):
-        part, owner = context_keys(joined[start:end])
+    for start, end in _parts(texts):
+        part, owner = context_keys(texts[start:end])
         part = np.sort((part << np.uint64(1)) | np.array(learn[start:end], np.uint64)[owner])
         starts = _runs(part >> np.uint64(1))
         values.append(np.add.reduceat(part & np.uint64(1), starts).astype(np.int64))
@@ -137,14 +190,10 @@ def _block_keys(block: int, texts: list[str], learn: list[bool], buckets: int) -
     seen = np.array([*counts.values(), *[0] * (len(words) - len(counts))], np.int64)
     for word, found in ((False, (keys, values)), (True, ([hashed], [seen]))):
         each, n = summed(*found)
-        bucket = bucket_of(each, word, buckets)
-        order = np.argsort(bucket, kind="stable")
-        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for k in range(buckets):
-            own = order[ends[k] : ends[k + 1]]
+        for bucket, own in enumerate(_by_bucket(each, word, buckets)):
             if len(own):
                 yield {
-                    "word": word, "block": block, "bucket": k,
+                    "word": word, "block": block, "bucket": bucket,
                     "keys": packed_keys(each[own]), "n": packed(n[own]),
                 }
 
@@ -168,29 +217,17 @@ def _schema(text: str) -> pa.Schema:
 
 
 def block_keys(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Per block and bucket, the (context, byte) keys and the words with their training counts. A block
-    that a file split cuts gives two such rows."""
+    """Per block and bucket, the (context, byte) keys and the words with their training counts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        at, texts, learn = None, [], []
         for batch in batches:
-            for block, text, own in zip(*(batch.column(c).to_pylist() for c in ("block", "text", "learn")), strict=True):
-                if block < 0:
-                    yield from _block_keys(block, [text], [own], buckets)
-                    continue
-                if block != at and texts:
-                    yield from _block_keys(at, texts, learn, buckets)
-                    texts, learn = [], []
-                at = block
-                texts.append(text)
-                learn.append(own)
-        if texts:
-            yield from _block_keys(at, texts, learn, buckets)
+            for row in batch.to_pylist():
+                yield from _block_keys(row["block"], texts_of(row["words"]), row["learn"], buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(rows(batches), _schema(KEYS))
 
-    return blocks.select("block", "text", "learn").mapInArrow(run, KEYS)
+    return blocks.select("block", "learn", "words").mapInArrow(run, KEYS)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -303,7 +340,7 @@ def _log_probabilities(grams: np.ndarray, n: np.ndarray, top: Top) -> np.ndarray
 
 
 MODEL = "word boolean, bucket int, keys binary, n binary, top binary, total long, known long"
-ANSWERS = "block long, word boolean, keys binary, answers binary"
+ANSWERS = "block long, word boolean, bucket int, answers binary"
 MERGE = 1 << 23  # keys that are held before they are added up
 
 
@@ -358,7 +395,8 @@ def top_nodes(models: DataFrame) -> Top:
 
 
 def answers(keys: DataFrame, models: DataFrame, top: Top, buckets: int) -> DataFrame:
-    """For every block's keys the model's answers: log10 probabilities, or training counts of words."""
+    """For every block's keys, in their order, the model's answers: log10 probabilities, or training counts
+    of words."""
     asked = keys.select("word", "bucket", F.lit(True).alias("asks"), "block", "keys", F.lit(None).cast("binary").alias("n"))
     known = models.select("word", "bucket", F.lit(False).alias("asks"), F.lit(None).cast("long").alias("block"), "keys", "n")
 
@@ -376,7 +414,7 @@ def answers(keys: DataFrame, models: DataFrame, top: Top, buckets: int) -> DataF
                 if at != (row["word"], row["bucket"]) or not np.array_equal(own[place], each):
                     raise ValueError("a block asks for keys that were not counted")
                 yield {
-                    "block": row["block"], "word": row["word"], "keys": row["keys"],
+                    "block": row["block"], "word": row["word"], "bucket": row["bucket"],
                     "answers": packed(value[place]),
                 }
 
@@ -390,48 +428,53 @@ def answers(keys: DataFrame, models: DataFrame, top: Top, buckets: int) -> DataF
 SCORES = "doc_id long, n_bytes long, n_tokens long, n_known long, base_log double, score double"
 
 
-def _answered(found: pa.Table, word: bool, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """A block's keys in order with their answers; a key that came twice is kept twice."""
+def _answered(keys: np.ndarray, found: pa.Table, word: bool, kind: type, buckets: int) -> np.ndarray:
+    """The answers to a block's sorted keys."""
     own = found.filter(pa.compute.equal(found.column("word"), word))
-    keys = [unpacked_keys(k) for k in own.column("keys").to_pylist()] or [np.zeros(0, np.uint64)]
-    values = [unpacked(v, kind) for v in own.column("answers").to_pylist()] or [np.zeros(0, kind)]
-    every = np.concatenate(keys)
-    order = np.argsort(every, kind="stable")
-    return every[order], np.concatenate(values)[order]
-
-
-def _score_block(docs: pa.Table, found: pa.Table, end_count: int) -> pa.Table:
-    texts = docs.column("text").to_pylist()
-    grams, log10p = _answered(found, False, np.float32)
-    hashed, times = _answered(found, True, np.int64)
-    counts = dict(zip(hashed.tolist(), times.tolist(), strict=True))
-    by_word: dict[bytes, int] = {}
-    joined, tokens_of, known, base = [], [], [], []
+    places = _by_bucket(keys, word, buckets)
+    out, answered = np.zeros(len(keys), kind), 0
+    for bucket, data in zip(own.column("bucket").to_pylist(), own.column("answers").to_pylist(), strict=True):
+        value = unpacked(data, kind)
+        out[places[bucket]] = value
+        answered += len(value)
+    if answered != len(keys):
+        raise ValueError("a block's answers do not match its keys")
+    return out
+
+
+def _score_block(docs: pa.Table, found: pa.Table, end_count: int, buckets: int) -> pa.Table:
+    row = docs.to_pylist()[0]
+    texts = texts_of(row["words"])
+    every = list(set().union(*(t.split() for t in texts)))
+    hashed = np.array(list(map(word_key, every)), np.uint64)
+    distinct = np.unique(hashed)
+    times = _answered(distinct, found, True, np.int64, buckets)[np.searchsorted(distinct, hashed)]
+    counts = dict(zip(every, times.tolist(), strict=True))
+    tokens_of, known, base = [], [], []
     for text in texts:
-        words = tokens(text)
-        for new in set(words).difference(by_word):
-            by_word[new] = counts[word_key(new)]
-        n = np.fromiter(map(by_word.__getitem__, words), np.int64, len(words))
-        joined.append(b" ".join(words))
+        words = text.split()
+        n = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))
         tokens_of.append(len(words) + 1)
         known.append(int((n > 0).sum()) + (end_count > 0))
         base.append(float(np.log10(n + 1.0).sum()) + math.log10(end_count + 1))
-    score = np.zeros(len(texts))
-    for start, end in _parts(joined):
-        keys, owner = context_keys(joined[start:end])
+
+    runs = []
+    for start, end in _parts(texts):
+        keys, owner = context_keys(texts[start:end])
         keys = np.sort((keys << np.uint64(OWNER_BITS)) | owner.astype(np.uint64))
-        own = keys >> np.uint64(OWNER_BITS)
-        starts = _runs(own)
-        at = np.searchsorted(grams, own[starts])
-        if at[-1] >= len(grams) or not np.array_equal(grams[at], own[starts]):
-            raise ValueError("a block's keys do not match its texts")
-        each = np.repeat(log10p[at].astype(np.float64), np.diff([*starts, len(own)]))
-        text = (keys & np.uint64((1 << OWNER_BITS) - 1)).astype(np.int64)
-        score[start:end] = np.bincount(text, each, end - start)
+        starts = _runs(keys)  # of one key in one text
+        times = np.diff([*starts, len(keys)])
+        text = (keys[starts] & np.uint64((1 << OWNER_BITS) - 1)).astype(np.int64) + start
+        runs.append((keys[starts] >> np.uint64(OWNER_BITS), text, times))
+    grams = np.unique(np.concatenate([np.unique(keys) for keys, _, _ in runs]))
+    log10p = _answered(grams, found, False, np.float32, buckets).astype(np.float64)
+    score = np.zeros(len(texts))
+    for keys, text, times in runs:
+        score += np.bincount(text, log10p[np.searchsorted(grams, keys)] * times, len(texts))
     return pa.table(
         {
-            "doc_id": docs.column("doc_id"),
-            "n_bytes": pa.array([len(t) for t in joined], pa.int64()),
+            "doc_id": pa.array(row["doc_ids"], pa.int64()),
+            "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
             "n_tokens": pa.array(tokens_of, pa.int64()),
             "n_known": pa.array(known, pa.int64()),
             "base_log": pa.array(base, pa.float64()),
@@ -456,28 +499,21 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     rows. No rows give no rows.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.monotonically_increasing_id()
-    long_text = F.length("text") > LONG_TEXT
-    blocks = publish(
-        docs.select(
-            "doc_id",
-            F.coalesce("text", F.lit("")).alias("text"),
-            F.coalesce(learn, F.lit(False)).alias("learn"),
-        ).withColumn("block", F.when(long_text, -1 - place).otherwise(F.shiftright(place, BLOCK_ROWS_BITS))),
-        "ctw-blocks",
-    )
+    learns = F.coalesce(learn, F.lit(False)).alias("learn")
+    blocks = publish(text_blocks(docs.select("doc_id", "text", learns)), "ctw-blocks")
     keys = publish(block_keys(blocks, buckets), "ctw-keys")
     models = publish(model(keys, buckets), "ctw-model")
     words = models.where("word").agg(F.sum("total").alias("n"), F.sum("known").alias("v")).first()
-    ends = blocks.where("learn").count()
+    learnt = F.size(F.filter("learn", lambda own: own))
+    ends = blocks.agg(F.sum(learnt)).first()[0] or 0
     total, distinct = (words["n"] or 0) + ends, (words["v"] or 0) + (ends > 0)
     replies = answers(keys, models, top_nodes(models), buckets)
 
     def score_block(texts: pa.Table, found: pa.Table) -> pa.Table:
-        return _score_block(texts, found, ends)
+        return _score_block(texts, found, ends, buckets)
 
     scored = (
-        blocks.select("block", "doc_id", "text")
+        blocks.select("block", "doc_ids", "words")
         .groupBy("block")
         .cogroup(replies.groupBy("block"))
         .applyInArrow(score_block, SCORES)
