@@ -30,10 +30,10 @@ from scoreloom.sources.shared import publish
 
 DEPTH = 5  # bytes of context
 EDGE = 0xFF  # stands before and after a text; no byte of UTF-8
-BLOCK_BYTES = 1 << 24  # bytes of the words of a block; a longer text is a block of its own
+BLOCK_BYTES = 1 << 23  # bytes of the words of a block; a longer text is a block of its own
 OWNER_BITS = 8 * (7 - DEPTH)  # what a key leaves of 64 bits for a text's number
 PLACE_BITS = 33  # of a block's number in its partition
-PART_BYTES = 1 << 22  # bytes of text whose keys are sorted at once
+PART_BYTES = 1 << 21  # bytes of text whose keys are sorted at once
 HALF = math.log(0.5)
 
 
@@ -48,12 +48,17 @@ def context_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     edge = bytes([EDGE])
     data = np.frombuffer(b"".join(edge * DEPTH + t + edge for t in texts), np.uint8)
     size = np.array([len(t) + 1 for t in texts])
-    owner = np.repeat(np.arange(len(texts)), size)
-    place = np.arange(len(owner)) + DEPTH * (owner + 1)
-    key = np.zeros(len(owner), np.uint64)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), size)
+    key = np.zeros(len(data) - DEPTH, np.uint64)
     for back in range(1, DEPTH + 1):
-        key = (key << np.uint64(8)) | data[place - back]
-    return (key << np.uint64(8)) | data[place], owner
+        key |= data[DEPTH - back : len(data) - back]
+        key <<= np.uint64(8)
+    key |= data[DEPTH:]
+    # keys of the places where a later text's edges stand are left out
+    coded = np.ones(len(key), bool)
+    first = np.cumsum(size[:-1] + DEPTH)
+    coded[(first[:, None] - np.arange(DEPTH)[None, :] - 1).ravel()] = False
+    return key[coded], owner
 
 
 def _runs(sorted_: np.ndarray) -> np.ndarray:
@@ -181,10 +186,14 @@ def _block_keys(block: int, texts: list[bytes], learn: list[bool], buckets: int)
     keys, values = [], []
     for start, end in _parts(texts):
         part, owner = context_keys(texts[start:end])
-        part = np.sort((part << np.uint64(1)) | np.array(learn[start:end], np.uint64)[owner])
-        starts = _runs(part >> np.uint64(1))
-        values.append(np.add.reduceat(part & np.uint64(1), starts).astype(np.int64))
-        keys.append(part[starts] >> np.uint64(1))
+        part <<= np.uint64(1)
+        part |= np.array(learn[start:end], np.uint64)[owner]
+        part.sort()
+        learnt = (part & np.uint64(1)).astype(np.int64)
+        part >>= np.uint64(1)
+        starts = _runs(part)
+        values.append(np.add.reduceat(learnt, starts))
+        keys.append(part[starts])
     words = list(counts) + list(others - counts.keys())
     hashed = np.array(list(map(word_key, words)), np.uint64)
     seen = np.array([*counts.values(), *[0] * (len(words) - len(counts))], np.int64)
@@ -461,16 +470,24 @@ def _score_block(docs: pa.Table, found: pa.Table, end_count: int, buckets: int)
     runs = []
     for start, end in _parts(texts):
         keys, owner = context_keys(texts[start:end])
-        keys = np.sort((keys << np.uint64(OWNER_BITS)) | owner.astype(np.uint64))
+        keys <<= np.uint64(OWNER_BITS)
+        keys |= owner.astype(np.uint64)
+        keys.sort()
         starts = _runs(keys)  # of one key in one text
-        times = np.diff([*starts, len(keys)])
-        text = (keys[starts] & np.uint64((1 << OWNER_BITS) - 1)).astype(np.int64) + start
-        runs.append((keys[starts] >> np.uint64(OWNER_BITS), text, times))
-    grams = np.unique(np.concatenate([np.unique(keys) for keys, _, _ in runs]))
+        times = np.diff(starts, append=len(keys)).astype(np.int32)
+        keys = keys[starts]
+        text = (keys & np.uint64((1 << OWNER_BITS) - 1)).astype(np.int32) + start
+        keys >>= np.uint64(OWNER_BITS)
+        starts = _runs(keys)
+        runs.append((keys[starts], np.diff(starts, append=len(keys)), text, times))
+    grams = np.sort(np.concatenate([each for each, _, _, _ in runs]))
+    grams = grams[_runs(grams)]
     log10p = _answered(grams, found, False, np.float32, buckets).astype(np.float64)
     score = np.zeros(len(texts))
-    for keys, text, times in runs:
-        score += np.bincount(text, log10p[np.searchsorted(grams, keys)] * times, len(texts))
+    for each, texts_with, text, times in runs:
+        weights = np.repeat(log10p[np.searchsorted(grams, each)], texts_with)
+        weights *= times
+        score += np.bincount(text, weights, len(texts))
     return pa.table(
         {
             "doc_id": pa.array(row["doc_ids"], pa.int64()),
