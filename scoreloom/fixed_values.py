@@ -48,6 +48,11 @@ HISTOGRAM_BINS = 15
 CURVE_POINTS = 300
 SLIDER_DEFAULT = (40.0, 60.0)
 SLIDER_INITIAL = (44.0, 57.0)
+AXIS_START = 40.0
+TOP_AXIS = (2.5, 53.0)
+SELECTED_AXIS = (3.5, 54.0)
+ABOVE_BASELINE_SHIFT = 10
+ABOVE_BASELINE_SCALE = 5
 BUBBLE_SPAN = 26
 BUBBLE_MIN = 8
 HIGHLIGHT_SCALE = 1.9

@@ -7,10 +7,14 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scoreloom.fixed_values import BUBBLE_MIN, BUBBLE_SPAN
+from scoreloom.fixed_values import (
+    ABOVE_BASELINE_SCALE,
+    ABOVE_BASELINE_SHIFT,
+    BUBBLE_MIN,
+    BUBBLE_SPAN,
+)
 
 EPSILON = 1e-9
-RATE_SUM_TYPE = "decimal(28,10)"
 
 
 def min_max_score(x: Column, low: Column, high: Column) -> Column:
@@ -24,7 +28,7 @@ def bubble_size(x: Column, low: Column, high: Column) -> Column:
 
 def above_baseline_score(delta: Column) -> Column:
     """Distance to the baseline on a 0 to 100 scale, 50 at the baseline itself."""
-    clamped = F.least(F.greatest((delta + 10) * 5, F.lit(0.0)), F.lit(100.0))
+    clamped = F.least(F.greatest((delta + ABOVE_BASELINE_SHIFT) * ABOVE_BASELINE_SCALE, F.lit(0.0)), F.lit(100.0))
     return F.when(delta.isNotNull(), clamped)
 
 
@@ -32,14 +36,6 @@ def overall_score(rate_score: Column, played_score: Column) -> Column:
     return (rate_score + played_score) / 2
 
 
-def steady_mean(x: Column) -> Column:
-    """Mean over a group that does not depend on the order in which rows are added up.
-
-    Rates carry one decimal, so their decimal sum is exact, unlike a running double.
-    """
-    return F.try_divide(F.sum(x.cast(RATE_SUM_TYPE)).cast("double"), F.count(x))
-
-
 def normal_density(x: Column, mean: Column, deviation: Column) -> Column:
     """Density of the normal distribution; null when the deviation is 0."""
     deviation = F.nullif(deviation, F.lit(0.0))

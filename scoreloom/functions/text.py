@@ -7,20 +7,19 @@ from pyspark.sql import functions as F
 
 from scoreloom.fixed_values import BASELINE_RATE, ICON_URL_PREFIX, ICON_URL_SUFFIX
 
-# Scaled by these powers of two, doubles from 1 to 200 and from 1/64 to 1 are whole numbers
-# whose tenfold fits 64 bits. Anything smaller is 0.0 to one decimal either way.
-BITS_FROM_ONE = 52
-BITS_BELOW_ONE = 58
-EXACT_LIMIT = 200.0
-
-
-def _tenths(size: Column, bits: int) -> Column:
-    """Tenths of a non-negative number, exact halves to even."""
-    tenfold = (size * F.lit(float(2**bits))).cast("long") * 10
-    whole = F.shiftright(tenfold, bits)
-    rest = tenfold - F.shiftleft(whole, bits)
-    half = F.lit(2 ** (bits - 1))
-    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
+# Scaled by this power of two, the part of a double below its units is a whole number from 1/64
+# up, and its tenfold fits 64 bits. Anything smaller is 0.0 to one decimal either way.
+BITS = 58
+LONG_END = 2.0**63
+
+
+def _tenths(rest: Column) -> Column:
+    """Tenths of a number from 0 to below 1, exact halves to even."""
+    tenfold = (rest * F.lit(float(2**BITS))).cast("long") * 10
+    whole = F.shiftright(tenfold, BITS)
+    over = tenfold - F.shiftleft(whole, BITS)
+    half = F.lit(2 ** (BITS - 1))
+    up = (over > half) | ((over == half) & (whole % 2 == 1))
     return whole + up.cast("long")
 
 
@@ -28,17 +27,22 @@ def fixed_1(x: Column) -> Column:
     """Text with one decimal, rounded from the binary value, exact halves to even.
 
     The JVM's ``%.1f`` rounds the shortest decimal text half up instead, which differs for
-    values like 2.25. Percentages fit the exact form; larger numbers use the JVM's.
+    values like 2.25. Units are split off first, which is exact, so one rule serves all
+    numbers that fit 64 bits; what lies beyond has no decimals and is the JVM's text, as are
+    infinities.
     """
-    size = F.abs(x)
-    tenths = F.when(size < 1, _tenths(size, BITS_BELOW_ONE)).when(
-        size < EXACT_LIMIT, _tenths(size, BITS_FROM_ONE)
-    )
-    digit = tenths % 10
-    units = ((tenths - digit) / 10).cast("long")
+    size = F.abs(x.cast("double"))
+    inside = F.when(size < LONG_END, size)
+    units = F.floor(inside)
+    tenths = _tenths(inside - units)
     sign = F.when(x < 0, "-").otherwise("")
-    exact = F.concat(sign, units.cast("string"), F.lit("."), digit.cast("string"))
-    return F.when(size < EXACT_LIMIT, exact).when(x.isNotNull(), F.format_string("%.1f", x))
+    exact = F.concat(
+        sign,
+        (units + F.when(tenths == 10, 1).otherwise(0)).cast("string"),
+        F.lit("."),
+        (tenths % 10).cast("string"),
+    )
+    return F.coalesce(exact, F.when(x.isNotNull(), F.format_string("%.1f", x.cast("double"))))
 
 
 def signed_1(x: Column) -> Column:
@@ -58,6 +62,11 @@ def trend_symbol(delta: Column) -> Column:
     return F.when(delta >= 0, "▲").otherwise("▼")
 
 
+def trend_label(delta: Column) -> Column:
+    """Such as ``▲ 2.1``."""
+    return F.concat(trend_symbol(delta), F.lit(" "), fixed_1(F.abs(delta)))
+
+
 def baseline_delta(rate: Column) -> Column:
     """Points above the baseline, to one decimal, halves to even."""
     return F.bround(rate - BASELINE_RATE, 1)

@@ -12,12 +12,13 @@ from scoreloom.schemas import DOCUMENT_SCHEMA, INDEX_SCHEMA
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
 GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-PLAYER_PARTS = 64
 
 OK = "ok"
 INVALID_JSON = "invalid_json"
 API_ERROR = "api_error"
 NO_PARTICIPANTS = "no_participants"
+NO_MATCH_ID = "no_match_id"
+NO_USABLE_PARTICIPANTS = "no_usable_participants"
 
 
 def with_parsed(documents: DataFrame, where: Column | None = None) -> DataFrame:
@@ -46,17 +47,25 @@ def with_parsed(documents: DataFrame, where: Column | None = None) -> DataFrame:
 
 
 def with_status(documents: DataFrame) -> DataFrame:
-    """Add ``payload_status``: whether games can be extracted, and if not, why."""
-    payload = F.col("json_payload")
-    keys = F.json_object_keys(payload)
+    """Add ``payload_status``: whether games can be extracted, and if not, why.
+
+    Exactly the documents that give participant rows are ``ok``: those with a match id, which
+    may be empty, and an entry that is an object.
+    """
+    keys = F.json_object_keys("json_payload")
+    entries = F.col("doc.info.participants")
+    listed = F.coalesce(F.size(entries) > 0, F.lit(False))
+    usable = F.coalesce(F.exists(entries, lambda p: p.isNotNull()), F.lit(False))
+    named = F.col("match_id").isNotNull()
     status = (
-        F.when(F.size("doc.info.participants") > 0, OK)
+        F.when(usable & named, OK)
         .when(keys.isNull(), INVALID_JSON)
-        .when(F.array_contains(keys, "status"), API_ERROR)
-        .otherwise(NO_PARTICIPANTS)
+        .when(~listed & F.array_contains(keys, "status"), API_ERROR)
+        .when(~listed, NO_PARTICIPANTS)
+        .when(~named, NO_MATCH_ID)
+        .otherwise(NO_USABLE_PARTICIPANTS)
     )
-    parsed = documents.withColumn("doc", F.from_json(payload, DOCUMENT_SCHEMA, JSON_OPTIONS))
-    return parsed.withColumn("payload_status", status).drop("doc")
+    return with_parsed(documents).withColumn("payload_status", status).drop("doc", "match_id")
 
 
 def quarantine(documents: DataFrame) -> DataFrame:
@@ -100,7 +109,8 @@ def latest_matches(index: DataFrame, n: int = LATEST_MATCHES) -> DataFrame:
 
     Spark applies a row-number limit on both sides of the shuffle, so each task sends at most
     ``n`` rows per player, however many matches a player has. Above the size up to which it
-    does so, the ranking runs over parts of a player's matches first.
+    does so, the ranking runs over as many parts of a player's matches as the session has
+    shuffle partitions first.
     """
     newest_first = [F.col("game_ts").desc_nulls_last(), F.col("match_id")]
 
@@ -110,7 +120,8 @@ def latest_matches(index: DataFrame, n: int = LATEST_MATCHES) -> DataFrame:
 
     limited_up_to = int(index.sparkSession.conf.get(GROUP_LIMIT_SETTING, "1000"))
     if n > limited_up_to:
-        part = F.pmod(F.xxhash64("match_id"), F.lit(PLAYER_PARTS))
+        parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64("match_id"), F.lit(parts))
         index = best(index.withColumn("part", part), "puuid", "part").drop("part", "rank")
     return best(index, "puuid").select("puuid", "rank", "match_id", "game_ts")
 
@@ -132,16 +143,24 @@ def documents_naming(documents: DataFrame, puuid: str) -> DataFrame:
 
 
 def documents_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One landed document for each match id in ``wanted``.
+    """One landed document for each match id in ``wanted``: the newest of its copies, ties by text.
+
+    The id is read as ``match_index`` reads it, so whatever the index lists is found.
 
     ``wanted`` should be a stored table: then Spark knows its size when it decides between
     broadcasting it and shuffling the documents.
     """
-    match_id = F.get_json_object("json_payload", "$.metadata.matchId")
+    doc = F.from_json("json_payload", INDEX_SCHEMA, JSON_OPTIONS)
+    newest = F.struct("game_ts", "json_payload")
     return (
-        documents.select("json_payload", match_id.alias("match_id"))
+        documents.select("json_payload", doc.alias("doc"))
+        .select(
+            "json_payload",
+            F.col("doc.metadata.matchId").alias("match_id"),
+            F.col("doc.info.gameEndTimestamp").alias("game_ts"),
+        )
         .join(wanted.select("match_id"), "match_id", "left_semi")
         .groupBy("match_id")
-        .agg(F.min("json_payload").alias("json_payload"))
+        .agg(F.max_by("json_payload", newest).alias("json_payload"))
         .select("json_payload")
     )

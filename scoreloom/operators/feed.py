@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from scoreloom.functions.tiers import tier_of
 from scoreloom.schemas import FEED_SCHEMA
 from scoreloom.sources.demo import demo_feed
 
+logger = logging.getLogger(__name__)
+
 REQUIRED_COLUMNS = frozenset(FEED_SCHEMA.names)
 
 
@@ -54,7 +58,8 @@ def feed_or_fallback(
     """The feed of a statistics table, or the demo feed when it cannot serve.
 
     ``source`` is a table name, a DataFrame, or a function returning one. The demo feed is
-    used when reading fails, when required columns are missing, and when there are no rows.
+    used when reading fails for whatever reason, which is logged, when required columns are
+    missing, and when there are no rows.
     """
     try:
         if isinstance(source, str):
@@ -66,8 +71,8 @@ def feed_or_fallback(
         feed = normalize_columns(feed)
         if meets_contract(feed) and not feed.isEmpty():
             return feed
-    except PySparkException:
-        pass
+    except (PySparkException, Py4JError, OSError) as problem:
+        logger.warning("serving the demo feed: %s", str(problem).split("\n", 1)[0])
     return demo_feed(spark)
 
 
@@ -99,5 +104,5 @@ def champion_metrics(feed: DataFrame) -> DataFrame:
 
 
 def feed_records(df: DataFrame) -> DataFrame:
-    """Each row as one JSON record."""
-    return df.select(F.to_json(F.struct("*")).alias("record"))
+    """Each row as one JSON record that has all its fields, null ones too."""
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))

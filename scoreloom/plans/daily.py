@@ -19,7 +19,7 @@ from scoreloom.operators.stats import champion_stats
 from scoreloom.operators.upsert import upsert_table
 from scoreloom.sources.landing import read_documents
 from scoreloom.sources.shared import publish
-from scoreloom.sources.tables import overwrite_table, scan_table
+from scoreloom.sources.tables import overwrite_table, remove_old_versions, scan_table
 
 
 @dataclass(frozen=True)
@@ -35,8 +35,8 @@ def load_raw(documents: DataFrame, tables: Tables) -> int:
     return overwrite_table(documents, tables.raw)
 
 
-def load_games(spark: SparkSession, puuid: str, tables: Tables) -> int:
-    return overwrite_table(player_games(scan_table(spark, tables.raw), puuid), tables.games)
+def load_games(raw: DataFrame, puuid: str, tables: Tables) -> int:
+    return overwrite_table(player_games(raw, puuid), tables.games)
 
 
 def load_stats(spark: SparkSession, tables: Tables) -> int | None:
@@ -58,19 +58,27 @@ def run_daily(
     landing: str,
     puuid: str,
     tables: Tables = Tables(),
-    latest: int | None = None,
+    latest: int | None = LATEST_MATCHES,
 ) -> dict[str, int | None]:
-    """Run the three steps in order and return the rows written by each.
+    """Run the three steps in order and return the rows of each.
 
-    ``latest`` limits the raw table to the player's newest matches; without it the whole
-    landing folder is taken. A step that fails raises, so the steps after it do not run.
-    Steps meet only in tables; each may be run again by itself with the same result.
+    The raw table takes the player's ``latest`` newest matches. With None the whole landing folder
+    is the raw data: it is counted and read where it lies, not copied. Tables keep one version
+    before the present one, which the next run removes. A step that fails raises, so the steps
+    after it do not run. Steps meet only in tables; each may be run again by itself with the
+    same result.
     """
-    documents = read_documents(spark, landing)
-    if latest is not None:
-        documents = latest_documents(documents, puuid, latest)
+    for table in (tables.raw, tables.games, tables.stats):
+        if spark.catalog.tableExists(table):
+            remove_old_versions(spark, table)
+    landed = read_documents(spark, landing)
+    if latest is None:
+        raw, n_raw = landed, landed.count()
+    else:
+        n_raw = load_raw(latest_documents(landed, puuid, latest), tables)
+        raw = scan_table(spark, tables.raw)
     return {
-        "bronze": load_raw(documents, tables),
-        "silver": load_games(spark, puuid, tables),
+        "bronze": n_raw,
+        "silver": load_games(raw, puuid, tables),
         "gold": load_stats(spark, tables),
     }

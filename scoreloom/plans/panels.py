@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.fixed_values import (
+    AXIS_START,
     BASELINE_RATE,
     CURVE_POINTS,
     DEFAULT_TIER,
@@ -24,8 +25,10 @@ from scoreloom.fixed_values import (
     QUADRANT_HIGH_VOLUME,
     QUADRANT_NICHE,
     RADAR_AXES,
+    SELECTED_AXIS,
     SLIDER_DEFAULT,
     SMALL_FEED_SCORE,
+    TOP_AXIS,
     TOP_BARS,
     TOP_SERIES,
 )
@@ -37,13 +40,13 @@ from scoreloom.functions.scores import (
     bubble_size,
     normal_density,
     overall_score,
-    steady_mean,
 )
 from scoreloom.functions.tiers import tier_bar_color, tier_map_color, tier_table
 from scoreloom.operators.feed import best_first
 
 RATE = "win_rate_pct"
 PLAYED = "matches_played"
+TEXT_PLACES = 9  # decimals of a mean that its text is made of: sums differ beyond with the order
 
 
 def column_or(df: DataFrame, name: str, default: object) -> Column:
@@ -66,7 +69,7 @@ def kpi_summary(metrics: DataFrame) -> DataFrame:
     rank = F.struct(F.col(RATE).isNull(), -F.col(RATE), F.col("champion"))
     return (
         metrics.agg(
-            steady_mean(F.col(RATE)).alias("avg_wr"),
+            F.avg(RATE).alias("avg_wr"),
             F.min_by(F.struct("champion", RATE), rank).alias("top"),
             F.count(F.lit(1)).alias("n_champions"),
         )
@@ -79,6 +82,13 @@ def kpi_summary(metrics: DataFrame) -> DataFrame:
             (F.col("top." + RATE) - F.col("avg_wr")).alias("top_minus_avg"),
             "n_champions",
         )
+        .withColumns(
+            {
+                "avg_label": text.percent_1(F.round("avg_wr", TEXT_PLACES)),
+                "avg_delta_label": text.trend_label(F.round("avg_delta", TEXT_PLACES)),
+                "top_delta_label": text.trend_label(F.round("top_minus_avg", TEXT_PLACES)),
+            }
+        )
     )
 
 
@@ -100,9 +110,14 @@ def spark_top5(metrics: DataFrame) -> DataFrame:
 
 
 def tier_counts(metrics: DataFrame) -> DataFrame:
-    """Champions per tier, C to S, with 0 for a tier without any."""
+    """Champions per tier, C to S, with 0 for a tier without any.
+
+    Without the column ``tier`` all rows count for the default tier.
+    """
     spark = metrics.sparkSession
-    counted = metrics.groupBy("tier").agg(F.count("champion").alias("n"))
+    counts = F.count("champion") if "tier" in metrics.columns else F.count(F.lit(1))
+    tiered = metrics.select("champion", column_or(metrics, "tier", DEFAULT_TIER))
+    counted = tiered.groupBy("tier").agg(counts.alias("n"))
     return (
         tier_table(spark, worst_first=True)
         .join(counted, "tier", "left")
@@ -124,7 +139,7 @@ def top_rates(metrics: DataFrame, n: int = TOP_BARS) -> DataFrame:
         _above_baseline(rate).alias("above_baseline"),
         F.concat(F.lit("  "), text.percent_1(rate)).alias("label"),
         text.thousands(F.col(PLAYED)).alias("matches_label"),
-    ).orderBy(RATE, F.desc("champion"))
+    ).orderBy(F.asc_nulls_last(RATE), F.desc("champion"))
 
 
 def axis_upper(df: DataFrame, margin: float, least: float) -> DataFrame:
@@ -134,10 +149,10 @@ def axis_upper(df: DataFrame, margin: float, least: float) -> DataFrame:
 
 def axis_bounds(metrics: DataFrame) -> DataFrame:
     """Rate axes of the top bars and of the comparison bars."""
-    bars = axis_upper(top_rates(metrics), 2.5, 53.0).select(F.lit("top").alias("panel"), "x_max")
-    shown = axis_upper(deep_dive(metrics, []), 3.5, 54.0)
+    bars = axis_upper(top_rates(metrics), *TOP_AXIS).select(F.lit("top").alias("panel"), "x_max")
+    shown = axis_upper(deep_dive(metrics, []), *SELECTED_AXIS)
     return bars.unionByName(shown.select(F.lit("selected").alias("panel"), "x_max")).select(
-        "panel", F.lit(40.0).alias("x_min"), "x_max"
+        "panel", F.lit(AXIS_START).alias("x_min"), "x_max"
     )
 
 
@@ -244,7 +259,7 @@ def rate_histogram(metrics: DataFrame) -> DataFrame:
 def rate_moments(metrics: DataFrame) -> DataFrame:
     """Mean and population deviation of the rates, and the number of rows."""
     return metrics.agg(
-        steady_mean(F.col(RATE)).alias("mean_wr"),
+        F.avg(RATE).alias("mean_wr"),
         F.stddev_pop(RATE).alias("std_wr"),
         F.count(F.lit(1)).alias("n"),
     )
@@ -261,7 +276,7 @@ def normal_curve(metrics: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
         "fit",
         of=metrics,
         n=F.count(F.lit(1)),
-        mean=steady_mean(F.col(RATE)),
+        mean=F.avg(RATE),
         deviation=F.stddev_pop(RATE),
         low=F.min(RATE),
         high=F.max(RATE),
@@ -283,7 +298,7 @@ def tier_summary(metrics: DataFrame) -> DataFrame:
     per_tier = (
         metrics.select("champion", RATE, column_or(metrics, "tier", DEFAULT_TIER))
         .groupBy("tier")
-        .agg(F.count("champion").alias("n"), steady_mean(F.col(RATE)).alias("avg_wr"))
+        .agg(F.count("champion").alias("n"), F.avg(RATE).alias("avg_wr"))
     )
     return (
         per_tier.join(tier_table(metrics.sparkSession), "tier")
@@ -292,7 +307,7 @@ def tier_summary(metrics: DataFrame) -> DataFrame:
             "tier",
             "n",
             "avg_wr",
-            text.tier_label(F.col("avg_wr"), F.col("n")).alias("label"),
+            text.tier_label(F.round("avg_wr", TEXT_PLACES), F.col("n")).alias("label"),
             tier_map_color(F.col("tier")).alias("color"),
         )
         .orderBy("tier_rank")
@@ -365,7 +380,7 @@ def deep_dive(
         chosen = metrics.where(F.col("champion").isin(list(selected)))
         n_chosen = chosen.agg(F.count(F.lit(1))).scalar()
         shown = chosen.unionByName(shown.where(n_chosen == 0))
-    return comparison_rows(shown).orderBy(RATE, "champion")
+    return comparison_rows(shown).orderBy(F.asc_nulls_last(RATE), "champion")
 
 
 def comparison_rows(metrics: DataFrame) -> DataFrame:

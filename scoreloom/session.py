@@ -16,6 +16,9 @@ def local_session(app: str = "scoreloom", cpus: str = "8", **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # small files are cut into as many splits as there are cores
+        .config("spark.sql.files.minPartitionNum", cpus if cpus.isdigit() else "8")
+        .config("spark.sql.files.openCostInBytes", "256k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

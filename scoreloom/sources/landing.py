@@ -14,12 +14,17 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_documents(
-    spark: SparkSession, path: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """The same as a stream of newly landed files."""
+    """The same as a stream of newly landed files, so many or so much of them at a time."""
     reader = spark.readStream.format("text")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    elif bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.load(path).withColumnRenamed("value", "json_payload")
 
 

@@ -1,35 +1,87 @@
-"""Catalog tables: overwrite, scan, counted writes, and swapping a table to a new version."""
+"""Catalog tables: overwrite, scan, counted writes, and versions beside a table's own folder."""
 
 from __future__ import annotations
 
+import re
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.sources.shared import fresh_path
+from scoreloom.sources.shared import publish
+
+READ_WHILE_WRITTEN = "UNSUPPORTED_OVERWRITE"
+VERSION = re.compile(r"-v[0-9a-f]{32}$")
+
+
+def _counted(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    seen = Observation(f"rows of {table}")
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet") -> int:
-    """Replace ``table`` by ``df`` and return the number of rows written.
+    """Replace the rows of ``table`` by ``df``, creating it where needed; returns the rows written.
 
-    The count is observed during the write, so the plan runs once. Every overwrite writes a
-    new folder below the shared one, so ``df`` may itself read the table.
+    The count is observed during the write, so the plan runs once. A table of the same columns
+    keeps its folder, grants and properties. Where ``df`` reads the table itself, a new version
+    is written beside the table's folder, and the table is pointed at it in one step (Parquet and
+    other plain formats); ``remove_old_versions`` clears the ones before.
     """
     spark = df.sparkSession
-    seen = Observation(f"rows of {table}")
-    path = fresh_path(spark, table)
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).save(path)
-    point_table_at(spark, table, path, df.schema.simpleString(), fmt)
+    counted, seen = _counted(df, table)
+    if not spark.catalog.tableExists(table):
+        counted.write.format(fmt).saveAsTable(table)
+        return seen.get["n"]
+    same_columns = _columns_of(spark, table) == df.schema.simpleString()
+    try:
+        if same_columns:
+            counted.write.insertInto(table, overwrite=True)
+        else:
+            counted.write.format(fmt).mode("overwrite").saveAsTable(table)
+    except AnalysisException as problem:
+        if READ_WHILE_WRITTEN not in (problem.getCondition() or ""):
+            raise
+        if same_columns:
+            return _new_version(df, table)
+        # other columns need a new table, whose old one must not be read meanwhile
+        return overwrite_table(publish(df, "replacement"), table, fmt)
+    spark.catalog.refreshTable(table)
     return seen.get["n"]
 
 
-def point_table_at(spark: SparkSession, table: str, path: str, schema: str, fmt: str) -> None:
-    """Create ``table`` on ``path``, or move the existing one to it."""
-    if spark.catalog.tableExists(table) and _columns_of(spark, table) == schema:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-        return
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
+def _new_version(df: DataFrame, table: str) -> int:
+    spark = df.sparkSession
+    counted, seen = _counted(df, table)
+    path = f"{VERSION.sub('', table_location(spark, table))}-v{uuid.uuid4().hex}"
+    counted.write.format(table_provider(spark, table)).save(path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    return seen.get["n"]
+
+
+def remove_old_versions(spark: SparkSession, table: str) -> int:
+    """Delete the folders of a table's earlier versions; returns how many.
+
+    To be called when nobody reads them any more, such as before the next run. Only the table's
+    first folder and folders that ``overwrite_table`` named are touched.
+    """
+    current = table_location(spark, table)
+    base = VERSION.sub("", current)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = 0
+    for status in files.listStatus(path(base).getParent()):
+        name = status.getPath().toString().rstrip("/")
+        own = _bare(VERSION.sub("", name)) == _bare(base)
+        if own and _bare(name) != _bare(current):
+            gone += files.delete(status.getPath(), True)
+    return gone
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme, which listings and the catalog write in different ways."""
+    return "/" + re.sub(r"^[a-z0-9]+:", "", path).lstrip("/")
 
 
 def _columns_of(spark: SparkSession, table: str) -> str:
@@ -40,12 +92,20 @@ def scan_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def table_provider(spark: SparkSession, table: str) -> str:
-    """The storage provider of a table, in lower case, or an empty string."""
+def _described(spark: SparkSession, table: str, field: str) -> str:
     rows = (
         spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-        .where("col_name = 'Provider'")
+        .where(F.col("col_name") == field)
         .select("data_type")
         .take(1)
     )
-    return rows[0][0].lower() if rows else ""
+    return rows[0][0] if rows else ""
+
+
+def table_provider(spark: SparkSession, table: str) -> str:
+    """The storage provider of a table, in lower case, or an empty string."""
+    return _described(spark, table, "Provider").lower()
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    return _described(spark, table, "Location").rstrip("/")

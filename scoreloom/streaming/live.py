@@ -9,6 +9,8 @@ cost of a batch does not grow with the games already counted.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,10 @@ from scoreloom.schemas import PLAYER_GAME_SCHEMA, SUMS_SCHEMA
 from scoreloom.sources.landing import stream_documents
 
 IDENTITY = ["match_id", "puuid"]
+ID_PREFIX = r"^\D*"
+MAX_RANGES = 200  # ranges of ids that a batch's history is read by
+BYTES_PER_BATCH = 64 << 30
+ROW_GROUP_BYTES = 16 << 20
 BATCH = "batch_id"
 
 
@@ -60,21 +66,28 @@ class LiveStats:
     def take_batch(self, documents: DataFrame, batch_id: int) -> None:
         """Count the games of one batch that were not counted before."""
         spark = documents.sparkSession
-        # Copies are folded before the shuffle. A game without a match id has no identity to
-        # compare, so each such row counts.
-        unknown = F.when(F.col("match_id") == "", F.monotonically_increasing_id())
-        once_each = (
-            every_player_games(documents)
-            .withColumn("unknown", unknown)
-            .dropDuplicates([*IDENTITY, "unknown"])
-            .drop("unknown")
-        )
+        # Copies are folded before the shuffle; of copies that differ the smallest counts, so that a
+        # batch that is run again takes the same one.
+        games = every_player_games(documents)
+        values = [c for c in PLAYER_GAME_SCHEMA.names if c not in IDENTITY]
+        named = games.where("match_id <> ''").groupBy(*IDENTITY).agg(F.min(F.struct(*values)).alias("g"))
+        once_each = named.select(*IDENTITY, "g.*").select(*PLAYER_GAME_SCHEMA.names)
+        # A game without a match id has no identity to compare, so each such row counts.
+        nameless = games.where("match_id = ''").select(*PLAYER_GAME_SCHEMA.names)
         fresh = once_each
         if batch_id > 0:
             once_each.write.mode("overwrite").parquet(self.arrived(batch_id))
             arrived = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.arrived(batch_id))
             fresh = arrived.join(self._seen_before(arrived, batch_id), IDENTITY, "left_anti")
-        fresh.write.mode("overwrite").parquet(self.games_of(batch_id))
+        # Sorted by id, so that a later batch reads only the row groups in its ranges.
+        (
+            fresh.unionByName(nameless)
+            .repartitionByRange("match_id", "puuid")
+            .sortWithinPartitions("match_id")
+            .write.mode("overwrite")
+            .option("parquet.block.size", ROW_GROUP_BYTES)
+            .parquet(self.games_of(batch_id))
+        )
 
         games = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.games_of(batch_id))
         sums = game_sums(games, "champion")
@@ -82,18 +95,37 @@ class LiveStats:
             before = spark.read.schema(SUMS_SCHEMA).parquet(self.sums_after(batch_id - 1))
             sums = add_sums(before, sums)
         sums.write.mode("overwrite").parquet(self.sums_after(batch_id))
+        self._forget(spark, batch_id)
+
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Remove what no batch and no reader needs any more, so that listings stay short.
+
+        The sums after the batch before are kept, as this batch may be run again from them; so
+        are those before, which a reader may have just chosen.
+        """
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for old in (self.sums_after(batch_id - 3), self.arrived(batch_id - 1)):
+            folder = path(old)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def _seen_before(self, arrived: DataFrame, batch_id: int) -> DataFrame:
         """Those identities of ``arrived`` that earlier batches hold.
 
-        Only ids within the batch's range are read, as file statistics rule out the rest; ids
-        grow with time, so that is a small share of a long history. The batch is the small
+        Ids are a prefix, such as a region, and a number that grows with time. Only ids within the
+        batch's range of a prefix are read, as file statistics rule out the rest; that is a small
+        share of a long history, however many prefixes a batch holds. The batch is the small
         side of the semi join, and Spark broadcasts it when its size allows.
         """
-        ends = arrived.agg(F.min("match_id").alias("low"), F.max("match_id").alias("high")).first()
+        prefix = F.regexp_extract("match_id", ID_PREFIX, 0)
+        ends = arrived.groupBy(prefix.alias("prefix"), F.length("match_id").alias("size")).agg(
+            F.min("match_id").alias("low"), F.max("match_id").alias("high")
+        )
+        ranges = ends.orderBy("low").limit(MAX_RANGES + 1).collect()
+        if len(ranges) > MAX_RANGES:  # ids of another form: one range over all of them
+            ranges = [arrived.agg(F.min("match_id").alias("low"), F.max("match_id").alias("high")).first()]
+        reach = reduce(or_, [F.col("match_id").between(r["low"], r["high"]) for r in ranges], F.lit(False))
         known = (F.col(BATCH) < batch_id) & (F.col("match_id") != "")
-        earlier = self.games(arrived.sparkSession).where(known)
-        in_reach = earlier.where(F.col("match_id").between(ends["low"], ends["high"]))
+        in_reach = self.games(arrived.sparkSession).where(known).where(reach)
         return in_reach.select(*IDENTITY).join(arrived.select(*IDENTITY), IDENTITY, "left_semi")
 
     def start(
@@ -101,13 +133,18 @@ class LiveStats:
         spark: SparkSession,
         landing: str,
         files_per_batch: int | None = None,
+        bytes_per_batch: int | None = BYTES_PER_BATCH,
         once: bool = False,
         interval: str = "60 seconds",
     ) -> StreamingQuery:
-        """Start counting. With ``once`` the stream ends when all landed files are counted."""
+        """Start counting. With ``once`` the stream ends when all landed files are counted.
+
+        A batch takes up to ``files_per_batch`` files, or else about ``bytes_per_batch``, so a backlog is
+        counted in pieces and a failure repeats one of them.
+        """
         trigger = {"availableNow": True} if once else {"processingTime": interval}
         return (
-            stream_documents(spark, landing, files_per_batch)
+            stream_documents(spark, landing, files_per_batch, bytes_per_batch)
             .writeStream.foreachBatch(self.take_batch)
             .option("checkpointLocation", self.checkpoint)
             .trigger(**trigger)

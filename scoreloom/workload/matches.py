@@ -20,12 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an input that comes in fewer blocks; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per match: ids, end time, and the two participants in document order."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -43,7 +37,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     # No hint: Spark broadcasts the parts when they are small enough, and otherwise splits a
     # part that holds a large share of the lines.
-    joined = spread(lines).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     game_end = _epoch_ms("l_shipdate")
     match_id = F.concat(
         F.lit("M"),
@@ -118,10 +112,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All matches, with the documents of some orders damaged in the ways that occur.
 
-    Cut off, replaced by an error answer, without participants, or empty.
+    Cut off, replaced by an error answer, without participants, or empty; with absent, null or
+    unusable ids and entries; with ids and values of other types; with an id twice; and with
+    participants that come again with other values, of whom the first counts.
     """
     text = document_text()
     kind = F.col("l_orderkey") % 50
+    quote = F.lit('"')
+    metadata = F.concat(F.lit('"metadata":{"matchId":"'), F.col("match_id"), F.lit('"}'))
+    id_text = F.concat(quote, F.col("match_id"), quote)
+    entries = F.substring(
+        text,
+        F.instr(text, '"participants":[') + len('"participants":['),
+        F.length(text) - F.instr(text, '"participants":[') - len('"participants":[') - 2,
+    )
+
+    def with_entries(value: Column) -> Column:
+        return F.concat(F.lit("{"), metadata, F.lit(',"info":{"participants":['), value, F.lit("]}}"))
+
+    again = F.replace(entries, F.lit('"kills":'), F.lit('"kills":9'))
+    many = F.concat_ws(",", entries, *[again] * 4)
     error = '{"status":{"message":"Rate limit exceeded","status_code":429}}'
     nobody = F.concat(
         F.lit('{"metadata":{"matchId":"'), F.col("match_id"), F.lit('"},"info":{"participants":null}}')
@@ -131,6 +141,21 @@ def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 1, F.lit(error))
         .when(kind == 2, nobody)
         .when(kind == 3, F.lit(""))
+        .when(kind == 4, F.replace(text, F.concat(metadata, F.lit(",")), F.lit("")))
+        .when(kind == 5, F.replace(text, metadata, F.lit('"metadata":{}')))
+        .when(kind == 6, F.replace(text, metadata, F.lit('"metadata":null')))
+        .when(kind == 7, F.replace(text, metadata, F.lit('"metadata":"s"')))
+        .when(kind == 8, F.replace(text, id_text, F.lit("null")))
+        .when(kind == 9, F.replace(text, id_text, F.col("l_orderkey").cast("string")))
+        .when(kind == 10, F.replace(text, id_text, F.concat(F.lit('"D1","matchId":'), id_text)))
+        .when(kind == 11, F.replace(text, id_text, F.concat(F.lit('{"q":'), id_text, F.lit("}"))))
+        .when(kind == 12, with_entries(F.lit("null")))
+        .when(kind == 13, with_entries(F.concat(F.lit("null,"), entries)))
+        .when(kind == 14, with_entries(F.concat(F.lit("5,"), entries)))
+        .when(kind == 15, F.regexp_replace(text, '"kills":(\\d+)', '"kills":"$1"'))
+        .when(kind == 16, F.regexp_replace(text, '"win":(true|false)', '"win":"$1"'))
+        .when(kind == 17, F.replace(text, F.lit('"assists":'), F.lit('"assists":1.5,"none":')))
+        .when(kind == 18, with_entries(many))
         .otherwise(text)
     )
     return matches(spark, sf_dir).select(payload.alias("json_payload"))

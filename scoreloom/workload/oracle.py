@@ -87,6 +87,13 @@ documents_ AS (
 )"""
 
 _DAMAGED = f"""{_DOCUMENTS},
+parts AS (
+  SELECT *, '"metadata":{{"matchId":"' || match_id || '"}}' AS metadata,
+    '"' || match_id || '"' AS id_text,
+    '{{"metadata":{{"matchId":"' || match_id || '"}},"info":{{"participants":[' AS head,
+    regexp_extract(json_payload, '"participants":\\[(.*)\\]', 1) AS entries
+  FROM documents_
+),
 damaged AS (
   SELECT
     CASE l_orderkey % 50
@@ -94,11 +101,27 @@ damaged AS (
       WHEN 1 THEN '{{"status":{{"message":"Rate limit exceeded","status_code":429}}}}'
       WHEN 2 THEN '{{"metadata":{{"matchId":"' || match_id || '"}},"info":{{"participants":null}}}}'
       WHEN 3 THEN ''
+      WHEN 4 THEN replace(json_payload, metadata || ',', '')
+      WHEN 5 THEN replace(json_payload, metadata, '"metadata":{{}}')
+      WHEN 6 THEN replace(json_payload, metadata, '"metadata":null')
+      WHEN 7 THEN replace(json_payload, metadata, '"metadata":"s"')
+      WHEN 8 THEN replace(json_payload, id_text, 'null')
+      WHEN 9 THEN replace(json_payload, id_text, l_orderkey::VARCHAR)
+      WHEN 10 THEN replace(json_payload, id_text, '"D1","matchId":' || id_text)
+      WHEN 11 THEN replace(json_payload, id_text, '{{"q":' || id_text || '}}')
+      WHEN 12 THEN head || 'null]}}}}'
+      WHEN 13 THEN head || 'null,' || entries || ']}}}}'
+      WHEN 14 THEN head || '5,' || entries || ']}}}}'
+      WHEN 15 THEN regexp_replace(json_payload, '"kills":(\\d+)', '"kills":"\\1"', 'g')
+      WHEN 16 THEN regexp_replace(json_payload, '"win":(true|false)', '"win":"\\1"', 'g')
+      WHEN 17 THEN replace(json_payload, '"assists":', '"assists":1.5,"none":')
+      WHEN 18 THEN head || entries || repeat(',' || replace(entries, '"kills":', '"kills":9'), 4) || ']}}}}'
       ELSE json_payload END AS json_payload,
-    CASE l_orderkey % 50
-      WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'api_error' WHEN 2 THEN 'no_participants'
-      WHEN 3 THEN 'invalid_json' ELSE 'ok' END AS payload_status
-  FROM documents_
+    CASE WHEN l_orderkey % 50 IN (0, 3) THEN 'invalid_json' WHEN l_orderkey % 50 = 1 THEN 'api_error'
+      WHEN l_orderkey % 50 IN (2, 14) THEN 'no_participants'
+      WHEN l_orderkey % 50 IN (6, 7, 8) THEN 'no_match_id'
+      WHEN l_orderkey % 50 = 12 THEN 'no_usable_participants' ELSE 'ok' END AS payload_status
+  FROM parts
 )"""
 
 
@@ -146,7 +169,7 @@ def _metrics_of(feed: str) -> str:
       min(matches_played) AS played_min, max(matches_played) AS played_max FROM {feed}) x"""
 
 
-_MEAN = "CAST(sum(CAST(win_rate_pct AS DECIMAL(28,10))) AS DOUBLE) / count(win_rate_pct)"
+_MEAN = "avg(win_rate_pct)"
 _BEST = "win_rate_pct DESC NULLS LAST, champion"
 _METRICS = f"""{_FEED},
 metrics AS ({_metrics_of('feed')})"""
@@ -213,11 +236,16 @@ FROM compared c JOIN metrics USING (champion), (VALUES {axes}) a(axis_pos, axis)
 WHERE c.n >= 2 AND c.place < 5"""
 
 
-def _windowed_stats(keys: str, earlier: str) -> str:
+def _trend(delta: str) -> str:
+    shown = f"round({delta}, {PLACES})"
+    return f"CASE WHEN {shown} >= 0 THEN '▲ ' ELSE '▼ ' END || format('{{:.1f}}', abs({shown}))"
+
+
+def _windowed_stats(keys: str) -> str:
     """Upsert of the later window's statistics into the earlier one's."""
     same = " AND ".join(f"s.{k} = t.{k}" for k in keys.split(", "))
     return f"""WITH {{base}},
-earlier AS (SELECT * FROM {{source}} WHERE l_returnflag <> 'R'{earlier}),
+earlier AS (SELECT * FROM {{source}} WHERE l_returnflag <> 'R'),
 later AS (SELECT * FROM {{source}} WHERE l_returnflag = 'R'),
 target AS ({_stats('earlier', keys)}),
 source AS ({_stats('later', keys)})
@@ -251,9 +279,13 @@ SELECT json_payload FROM documents_ WHERE match_id IN (SELECT match_id FROM play
 SELECT match_id, champion, kills, deaths, assists, win FROM first_games
 WHERE puuid = '{PLAYER}'""",
     "silver_damaged_documents": f"""WITH {_BASE}
-SELECT g.match_id, champion, kills, deaths, assists, win
+SELECT CASE l_orderkey % 50 WHEN 4 THEN '' WHEN 5 THEN '' WHEN 9 THEN l_orderkey::VARCHAR
+    WHEN 11 THEN '{{"q":"' || g.match_id || '"}}' ELSE g.match_id END AS match_id,
+  champion, CASE WHEN l_orderkey % 50 <> 15 THEN kills END AS kills, deaths,
+  CASE WHEN l_orderkey % 50 <> 17 THEN assists END AS assists,
+  CASE WHEN l_orderkey % 50 <> 16 THEN win END AS win
 FROM first_games g JOIN lines l USING (doc)
-WHERE puuid = '{PLAYER}' AND l_orderkey % 50 > 3""",
+WHERE puuid = '{PLAYER}' AND l_orderkey % 50 NOT IN (0, 1, 2, 3, 6, 7, 8, 12, 14)""",
     "silver_all_participants": f"""WITH {_BASE}
 SELECT puuid, match_id, champion, kills, deaths, assists, win FROM games""",
     "silver_every_player": f"""WITH {_BASE}
@@ -267,8 +299,8 @@ ORDER BY total_partidas DESC, champion""",
 mine AS (SELECT * FROM first_games WHERE puuid = '{PLAYER}') {_stats('mine')}""",
     "gold_player_champion": f"WITH {_BASE} {_stats('first_games', 'puuid, champion')}",
     "gold_summed_batches": f"WITH {_BASE} {_stats('games')}",
-    "gold_upsert": _windowed_stats("champion", " AND champion NOT LIKE 'Brand#%'"),
-    "gold_upsert_players": _windowed_stats("puuid, champion", ""),
+    "gold_upsert": _windowed_stats("champion"),
+    "gold_upsert_players": _windowed_stats("puuid, champion"),
     "table_roundtrip": f"""WITH {_BASE}
 SELECT match_id, puuid, champion, kills, deaths, assists, win FROM games""",
     "stage_counts": f"""WITH {_BASE},
@@ -306,8 +338,12 @@ SELECT * FROM metrics WHERE win_rate_pct BETWEEN {_LOW} AND {_HIGH}""",
     "kpi_summary": f"""WITH {_METRICS},
 figures AS (SELECT {_MEAN} AS avg_wr, count(*) AS n_champions FROM metrics),
 top AS (SELECT champion, win_rate_pct FROM metrics ORDER BY {_BEST} LIMIT 1)
-SELECT avg_wr, avg_wr - 50 AS avg_delta, champion AS top_champion, win_rate_pct AS top_wr,
-  win_rate_pct - avg_wr AS top_minus_avg, n_champions FROM figures, top""",
+SELECT round(avg_wr, {PLACES}) AS avg_wr, round(avg_wr - 50, {PLACES}) AS avg_delta,
+  champion AS top_champion, win_rate_pct AS top_wr,
+  round(win_rate_pct - avg_wr, {PLACES}) AS top_minus_avg, n_champions,
+  format('{{:.1f}}', round(avg_wr, {PLACES})) || '%' AS avg_label,
+  {_trend('avg_wr - 50')} AS avg_delta_label,
+  {_trend('win_rate_pct - avg_wr')} AS top_delta_label FROM figures, top""",
     "kpi_spark_all": f"""WITH {_METRICS}
 SELECT row_number() OVER (ORDER BY win_rate_pct NULLS LAST, champion) - 1 AS pos,
   win_rate_pct AS value FROM metrics""",
@@ -359,7 +395,7 @@ SELECT e.bin, e.lo, e.hi, (e.lo + e.hi) / 2 AS center, e.width, count(p.bin) AS
   (e.lo + e.hi) / 2 >= 50 AS above_baseline
 FROM edges e LEFT JOIN placed p ON p.bin = e.bin GROUP BY e.bin, e.lo, e.hi, e.width""",
     "win_rate_moments": f"""WITH {_METRICS}
-SELECT {_MEAN} AS mean_wr, round(stddev_pop(win_rate_pct), {PLACES}) AS std_wr, count(*) AS n
+SELECT round({_MEAN}, {PLACES}) AS mean_wr, round(stddev_pop(win_rate_pct), {PLACES}) AS std_wr, count(*) AS n
 FROM metrics""",
     "normal_curve": f"""WITH {_METRICS}, {_RANGE},
 moments AS (
@@ -375,8 +411,8 @@ FROM grid, moments""",
     "tier_summary": f"""WITH {_METRICS},
 per_tier AS (
   SELECT tier, count(champion) AS n, {_MEAN} AS avg_wr FROM metrics GROUP BY tier)
-SELECT t.tier_rank, t.tier, n, avg_wr,
-  format('Avg WR: {{:.1f}}%  ·  {{}} champs', avg_wr, n) AS label,
+SELECT t.tier_rank, t.tier, n, round(avg_wr, {PLACES}) AS avg_wr,
+  format('Avg WR: {{:.1f}}%  ·  {{}} champs', round(avg_wr, {PLACES}), n) AS label,
   {_case('t.tier', TIER_MAP_COLORS, TIER_MAP_DEFAULT)} AS color
 FROM per_tier p JOIN {_ranked(TIERS_BEST_FIRST, 'tier', 'tier_rank')} ON p.tier = t.tier
 ORDER BY t.tier_rank""",

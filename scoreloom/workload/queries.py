@@ -136,10 +136,9 @@ def _two_windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later statistics of all characters into earlier ones of the named characters only."""
+    """Statistics of a later window into those of an earlier one; together they are all games."""
     earlier, later = _two_windows(spark, sf_dir)
-    named = earlier.where("champion NOT LIKE 'Brand#%'")
-    target = publish(statistics.champion_stats(named), "target")
+    target = publish(statistics.champion_stats(earlier), "target")
     source = publish(statistics.champion_stats(later), "source")
     check_source(target, source)
     source.createOrReplaceTempView("v_new_stats")
@@ -183,11 +182,14 @@ def stage_counts_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents landed as files, then counted as a stream."""
+    """All documents landed as files in three goes, each counted as a batch of the stream."""
     landing = fresh_path(spark, "landing")
-    land_documents(m.documents(spark, sf_dir), landing)
     live = LiveStats(fresh_path(spark, "live"))
-    live.start(spark, landing, once=True).awaitTermination()
+    documents = publish(m.documents(spark, sf_dir), "documents")
+    part = F.pmod(F.xxhash64("json_payload"), F.lit(3))
+    for third in range(3):
+        land_documents(documents.where(part == third), landing, mode="append")
+        live.start(spark, landing, once=True).awaitTermination()
     return live.stats(spark)
 
 
@@ -276,7 +278,7 @@ def _labels(metrics: DataFrame) -> DataFrame:
 
 PANELS: dict[str, Query] = {
     "win_rate_range": _panel(partial(panels.in_range, rate_range=SLIDER_INITIAL)),
-    "kpi_summary": _panel(panels.kpi_summary),
+    "kpi_summary": _panel(panels.kpi_summary, "avg_wr", "avg_delta", "top_minus_avg"),
     "kpi_spark_all": _panel(panels.spark_all),
     "kpi_spark_top5": _panel(panels.spark_top5),
     "tier_counts_zero_filled": _panel(panels.tier_counts),
@@ -287,9 +289,9 @@ PANELS: dict[str, Query] = {
     "bubble_highlight": _panel(_bubble_highlight),
     "quadrants": _panel(_quadrants),
     "win_rate_histogram": _panel(panels.rate_histogram),
-    "win_rate_moments": _panel(panels.rate_moments, "std_wr"),
+    "win_rate_moments": _panel(panels.rate_moments, "mean_wr", "std_wr"),
     "normal_curve": _panel(panels.normal_curve, "x", "y"),
-    "tier_summary": _panel(panels.tier_summary),
+    "tier_summary": _panel(panels.tier_summary, "avg_wr"),
     "tier_attributes": _panel(panels.tier_attributes),
     "champion_options": _panel(panels.options),
     "champion_icon_url": _panel(panels.icons),

@@ -11,7 +11,12 @@ from scoreloom.operators.stats import champion_stats
 from scoreloom.plans.daily import Tables, run_daily
 from scoreloom.sources.landing import land_documents
 from scoreloom.sources.shared import publish, shared_folder
-from scoreloom.sources.tables import overwrite_table, scan_table
+from scoreloom.sources.tables import (
+    overwrite_table,
+    remove_old_versions,
+    scan_table,
+    table_location,
+)
 from scoreloom.workload import matches as m
 
 
@@ -33,17 +38,18 @@ def rows(df):
 
 
 def test_first_and_second_run(spark, sf_dir, landing, names):
-    counts = run_daily(spark, landing, "P7", names)
+    counts = run_daily(spark, landing, "P7", names, latest=None)
     games = player_games(m.documents(spark, sf_dir), "P7")
     assert counts == {"bronze": 6000, "silver": games.count(), "gold": champion_stats(games).count()}
     first = rows(spark.table(names.stats))
     assert first == rows(champion_stats(games))
-    assert run_daily(spark, landing, "P7", names) == counts
+    assert run_daily(spark, landing, "P7", names, latest=None) == counts
     assert rows(spark.table(names.stats)) == first
+    assert not spark.catalog.tableExists(names.raw)  # all of landing is read where it lies
 
 
 def test_latest_matches_only(spark, sf_dir, landing, names):
-    counts = run_daily(spark, landing, "P7", names, latest=20)
+    counts = run_daily(spark, landing, "P7", names)
     assert (counts["bronze"], counts["silver"]) == (20, 20)
     newest = latest_matches(match_index(m.documents(spark, sf_dir)).where("puuid = 'P7'"), 20)
     ids = {r.match_id for r in newest.collect()}
@@ -74,6 +80,21 @@ def test_overwrite_replaces_and_may_read_itself(spark):
     assert scan_table(spark, table).columns == ["name"]
 
 
+def test_tables_stay_in_their_own_storage(spark):
+    table = f"t_{uuid4().hex}"
+    overwrite_table(spark.range(5), table)
+    first = table_location(spark, table)
+    overwrite_table(spark.range(6), table)
+    assert table_location(spark, table) == first and shared_folder(spark) not in first
+    for n in (4, 3):
+        assert overwrite_table(spark.table(table).where(f"id < {n}"), table) == n
+        place = table_location(spark, table)
+        assert place.startswith(f"{first}-v") and shared_folder(spark) not in place
+    assert remove_old_versions(spark, table) == 2
+    assert remove_old_versions(spark, table) == 0
+    assert rows(spark.table(table)) == [(0,), (1,), (2,)]
+
+
 def test_published_tables_lie_in_the_shared_folder(spark):
     published = publish(spark.range(3), "numbers")
     assert rows(published) == [(0,), (1,), (2,)]

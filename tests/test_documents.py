@@ -2,6 +2,7 @@
 
 
 from scoreloom.operators import documents as docs
+from scoreloom.operators.games import participant_games
 from scoreloom.sources.landing import documents_from_strings, land_documents, read_documents
 
 GOOD = (
@@ -21,6 +22,12 @@ CASES = [
     ('{"metadata":{"matchId":"M7"},"info":{"participants":null}}', "no_participants"),
     ('{"metadata":{"matchId":"M8"},"info":{"participants":[]}}', "no_participants"),
     ("{}", "no_participants"),
+    (GOOD.replace('{"matchId":"M1"}', "null"), "no_match_id"),
+    (GOOD.replace('{"matchId":"M1"}', '"s"'), "no_match_id"),
+    (GOOD.replace('"M1"', "null"), "no_match_id"),
+    ('{"metadata":{"matchId":"M9"},"info":{"participants":[null]}}', "no_usable_participants"),
+    ('{"info":{"participants":[{"puuid":"a"}]}}', "ok"),
+    ('{"metadata":{},"info":{"participants":[null,{"puuid":"a"}]}}', "ok"),
 ]
 
 
@@ -38,6 +45,13 @@ def test_quarantine_holds_everything_else(spark):
     assert sorted(found) == sorted(status for _, status in CASES if status != "ok")
 
 
+def test_quarantined_and_used_documents_are_all(spark):
+    for payload, status in CASES:
+        one = documents_from_strings(spark, [payload])
+        used = participant_games(one).count() > 0
+        assert (docs.quarantine(one).count() == 0) == used == (status == "ok"), payload
+
+
 def test_landing_round_trip_keeps_text(spark, tmp_path):
     payloads = [GOOD, "not json", '{"quote":"\\"é"}']
     path = str(tmp_path / "landing")
@@ -98,6 +112,15 @@ def test_documents_of_a_list_of_matches(spark):
     assert [r.json_payload for r in docs.documents_of(landed, wanted).collect()] == [other]
 
 
+def test_the_newest_copy_is_taken_and_ids_are_read_alike(spark):
+    newer = GOOD.replace('"gameEndTimestamp":5', '"gameEndTimestamp":6').replace("X", "A")
+    twice = GOOD.replace('{"matchId":"M1"}', '{"matchId":"D1","matchId":"D2"}')
+    landed = documents_from_strings(spark, [newer, GOOD, twice])
+    wanted = docs.latest_matches(docs.match_index(landed), 5).select("match_id").distinct()
+    assert sorted(r[0] for r in wanted.collect()) == ["D2", "M1"]
+    assert {r.json_payload for r in docs.documents_of(landed, wanted).collect()} == {newer, twice}
+
+
 def test_documents_naming_a_player(spark):
     escaped = GOOD.replace('"a"', '"\\u0061"')
     other = GOOD.replace('"a"', '"q"').replace("metadata", "metadat")

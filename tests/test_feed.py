@@ -122,6 +122,23 @@ def test_records(spark):
     )
 
 
+def test_records_keep_null_fields(spark):
+    df = feed_of(spark, [("a", None, 1)])
+    assert feeds.feed_records(df).first().record == (
+        '{"champion":"a","win_rate_pct":null,"matches_played":1}'
+    )
+
+
+def test_fallback_for_a_broken_file(spark, tmp_path, caplog):
+    path = tmp_path / "broken"
+    path.mkdir()
+    (path / "part-0.parquet").write_bytes(b"PAR1 no parquet PAR1")
+    broken = spark.read.schema(FEED_SCHEMA).parquet(str(path))
+    served = feeds.feed_or_fallback(spark, broken)
+    assert served.count() == len(DEMO_ROWS)
+    assert "serving the demo feed" in caplog.text
+
+
 def test_metrics_plan_has_no_join_or_window(spark, plan_of):
     plan = plan_of(feeds.champion_metrics(demo_feed(spark)))
     assert "Join" not in plan and "Window" not in plan

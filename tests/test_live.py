@@ -98,3 +98,39 @@ def test_stream_over_the_tables_equals_batch(spark, sf_dir, setup):
     land_documents(documents.repartition(6), landing)
     found = run(spark, live, landing, files=2)
     assert found == rows(champion_stats(every_player_games(documents)))
+
+
+def test_of_differing_copies_the_same_one_always_counts(spark, setup):
+    live, _ = setup
+    copies = [M1, M1.replace('"kills":3', '"kills":30')]
+    for order in (copies, copies[::-1]):
+        live.take_batch(documents_from_strings(spark, order), 0)
+        assert [r.media_kills for r in live.stats(spark).collect() if r.champion == "X"] == [3.0]
+
+
+def test_history_is_read_by_the_ranges_of_each_prefix(spark, setup, plan_of):
+    live, _ = setup
+    old = [doc(f"{p}_{n}", entry("a", "X", 1, True)) for p in ("EU", "NA") for n in range(1000, 1400)]
+    live.take_batch(documents_from_strings(spark, old), 0)
+    new = [doc(i, entry("a", "X", 1, True)) for i in ("EU_1399", "EU_1400", "NA_1399", "NA_1400")]
+    live.take_batch(documents_from_strings(spark, new), 1)
+    assert live.stats(spark).first().total_partidas == 802
+    arrived = live.games(spark).where("batch_id = 1")
+    assert arrived.count() == 2
+    history = live._seen_before(documents_frame(spark, ["EU_1399", "NA_1399"]), 1)
+    plan = plan_of(history)
+    assert "EU_1399" in plan and "NA_1399" in plan and "GreaterThanOrEqual(match_id" in plan
+
+
+def documents_frame(spark, ids):
+    return spark.createDataFrame([(i, "a") for i in ids], "match_id string, puuid string")
+
+
+def test_old_sums_are_removed(spark, setup, tmp_path):
+    live, landing = setup
+    for n in range(6):
+        land(spark, landing, doc(f"M{n}", entry("a", "X", 1, True)))
+        run(spark, live, landing)
+    kept = sorted(p.name for p in (tmp_path / "live" / "sums").iterdir())
+    assert kept == ["batch_id=3", "batch_id=4", "batch_id=5"]
+    assert run(spark, live, landing)[0][1] == 6

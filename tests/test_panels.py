@@ -47,9 +47,38 @@ def test_leader_with_ties_and_unknown_rates(spark):
     assert (only.top_champion, only.top_wr, only.avg_wr) == ("N", None, None)
 
 
-def test_mean_does_not_depend_on_row_order(spark, demo):
-    means = {panels.kpi_summary(demo.repartition(n)).first().avg_wr for n in (1, 2, 7, 16)}
-    assert len(means) == 1
+def test_mean_texts_do_not_depend_on_row_order(spark, demo):
+    rows = [panels.kpi_summary(demo.repartition(n)).first() for n in (1, 2, 7, 16)]
+    assert all(r.avg_wr == pytest.approx(49.85333333333333, abs=1e-12) for r in rows)
+    assert {(r.avg_label, r.avg_delta_label, r.top_delta_label) for r in rows} == {("49.9%", "▼ 0.1", "▲ 5.9")}
+
+
+def test_mean_keeps_all_decimals(spark):
+    rates = [("A", 0.1234567890123, 1), ("B", 1.0, 1)]
+    assert panels.kpi_summary(metrics_of(spark, rates)).first().avg_wr == pytest.approx(0.56172839450615, abs=1e-15)
+
+
+def test_unknown_rates_come_last(spark):
+    feed = metrics_of(spark, [("a", 51.0, 1), ("b", None, 1), ("c", 49.0, 1)])
+    assert [r.champion for r in panels.top_rates(feed).collect()] == ["c", "a", "b"]
+    assert [r.champion for r in panels.deep_dive(feed, ["a", "b", "c"]).collect()] == ["c", "a", "b"]
+
+
+def test_tiers_of_a_feed_without_tiers(demo):
+    counts = panels.tier_counts(demo.drop("tier")).orderBy("pos").collect()
+    assert [r.value for r in counts] == [0, 30, 0, 0]
+
+
+def test_positions_whatever_files_are_written(spark):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        rows = [(f"c{i:04d}", float(i % 7), 1) for i in range(1000)]
+        found = panels.spark_all(spark.createDataFrame(rows, "champion string, win_rate_pct double, matches_played int"))
+        assert sorted(r.pos for r in found.collect()) == list(range(1000))
+        by_pos = [r.value for r in sorted(found.collect(), key=lambda r: r.pos)]
+        assert by_pos == sorted(by_pos)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
 
 
 def test_series(demo):

@@ -23,7 +23,7 @@ def test_one_decimal_agrees_with_python_on_halves(spark):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.floats(-199, 199), min_size=1, max_size=300))
+@given(st.lists(st.one_of(st.floats(-300, 300), st.floats(-(2.0**53), 2.0**53)), min_size=1, max_size=300))
 def test_one_decimal_agrees_with_python(spark, values):
     values = [v + 0.0 for v in values]
     expected = [f"{v:.1f}" if v else "0.0" for v in values]
@@ -31,7 +31,13 @@ def test_one_decimal_agrees_with_python(spark, values):
 
 
 def test_large_numbers_and_null(spark):
-    assert texts(spark, [200.0, 123456.7, None], text.fixed_1) == ["200.0", "123456.7", None]
+    values = [200.0, 200.25, 250.25, 250.75, 999.95, 1000.25, 123456.7, 2.0**53 - 0.5, 2.0**60, -1000.75]
+    assert texts(spark, values, text.fixed_1) == [f"{v:.1f}" for v in values]
+    assert texts(spark, [None, float("inf"), 1e300], text.fixed_1)[0] is None
+
+
+def test_trend_label(spark):
+    assert texts(spark, [2.05, -2.25, 0.0], text.trend_label) == ["▲ 2.0", "▼ 2.2", "▲ 0.0"]
 
 
 def test_baseline_delta_rounds_half_to_even(spark):

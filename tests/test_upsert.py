@@ -4,7 +4,9 @@ from uuid import uuid4
 
 import pytest
 
+import scoreloom.operators.upsert as upsert_module
 from scoreloom.operators.upsert import DuplicateSourceKey, check_source, upsert, upsert_table
+from scoreloom.sources.tables import table_provider
 
 SCHEMA = "champion string, n int"
 TARGET = [("A", 1), ("B", 2), (None, 9)]
@@ -80,3 +82,38 @@ def test_no_nested_loop_join(spark, plan_of):
     for null_safe in (False, True):
         plan = plan_of(upsert(frame(spark, TARGET), frame(spark, SOURCE), null_safe=null_safe))
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_the_source_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    table = f"u_{uuid4().hex}"
+    rows = spark.createDataFrame([(f"c{i}", i) for i in range(50)], "champion string, n int")
+    source = rows.mapInPandas(count, rows.schema)
+    for _ in range(2):
+        seen.value = 0
+        upsert_table(spark, table, source)
+        assert seen.value == 50
+    assert spark.table(table).count() == 50
+
+
+def test_the_branch_follows_the_provider(spark, monkeypatch):
+    table = f"u_{uuid4().hex}"
+    rows = spark.createDataFrame([("a", 1)], "champion string, n int")
+    upsert_table(spark, table, rows, fmt="orc")
+    assert table_provider(spark, table) == "orc"
+    done = []
+
+    class Merge:
+        def __getattr__(self, name):
+            return lambda *args: done.append(name) or self
+
+    monkeypatch.setattr(upsert_module, "table_provider", lambda *_: "delta")
+    monkeypatch.setattr(upsert_module, "publish", lambda *_: Merge())
+    assert upsert_table(spark, table, rows) is None
+    assert done == ["alias", "mergeInto", "whenMatched", "updateAll", "whenNotMatched", "insertAll", "merge"]
