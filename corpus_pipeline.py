@@ -39,12 +39,15 @@ def numbered_rows(docs: DataFrame, name: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id, and one row of it."""
+    """One document of each group of near-duplicates: that with the smallest id, and one row of it.
+
+    The texts meet the decisions in a sort-merge join at every size, as both sides grow alike.
+    """
     rows = numbered_rows(docs, "dedup-rows")
     classes = simhash.near_duplicates(rows, shingle=3, distance=3, carry=("_row",))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
     stays = classes.groupBy("class_fp").agg(F.min(place)["_row"].alias("_row")).select("_row")
-    return rows.join(publish(stays, "dedup-stays"), "_row", "left_semi").select(*docs.columns)
+    return rows.join(publish(stays, "dedup-stays").hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +56,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mix(rows, weights=(5.0, 2.0, 1.0), max_epochs=3, key="_row")
     times = F.sequence(F.lit(1).cast("long"), F.col("copies")).alias("_times")
     copies = publish(taken.where("copies > 0").select("_row", times), "mix-copies")
-    repeated = rows.join(copies, "_row").withColumn("_time", F.explode("_times"))
+    repeated = rows.join(copies.hint("merge"), "_row").withColumn("_time", F.explode("_times"))
     return repeated.select(*docs.columns)
 
 
