@@ -32,14 +32,14 @@ def _emit(documents: DataFrame, games: Column) -> DataFrame:
     return documents.select(F.inline(F.when(F.col("match_id").isNotNull(), games)))
 
 
-def player_games(documents: DataFrame, puuid: str) -> DataFrame:
+def player_games(documents: DataFrame, puuid: str, text_test: bool = True) -> DataFrame:
     """One row per match of one player: the first participant with that id.
 
-    Documents whose text cannot name the player are not parsed.
+    Documents whose text cannot name the player are not parsed, unless ``text_test`` is off.
     """
     first = F.slice(F.filter(PARTICIPANTS, lambda p: p["puuid"] == F.lit(puuid)), 1, 1)
     game = F.transform(first, lambda p: _game(p, with_player=False))
-    return _emit(with_parsed(documents, where=may_name(puuid)), game)
+    return _emit(with_parsed(documents, where=may_name(puuid) if text_test else None), game)
 
 
 def participant_games(documents: DataFrame) -> DataFrame:
