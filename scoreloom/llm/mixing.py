@@ -63,7 +63,8 @@ def mix(
     """One row per document with how often the mix takes it.
 
     ``docs`` has ``doc_id`` (or another integer column, named by ``key``), ``text``, ``source``; further columns
-    are ignored. Returns ``doc_id`` (or ``key``), ``source``, ``size`` (words), ``source_size``, ``target`` (its source's), ``copies``, ``taken``.
+    are ignored. Returns ``doc_id`` (or ``key``), ``source``, ``size`` (words), ``source_size``, ``target`` (its
+    source's), ``copies``, ``taken``.
 
     A source is taken ``floor(target / size)`` times whole. Of the rest, documents are taken once
     more in a seeded order for as long as at least half of the document lies within the rest, so
@@ -102,7 +103,9 @@ def mix(
     ).drop("_s")
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     middle = F.col("before") - F.col("start") + F.col("size") / 2
-    copies = (F.col("whole") + F.when(middle <= rest, 1).otherwise(0)).cast("long")
+    # where nothing is left, a document without words would still come before the rest's end
+    once_more = F.when((rest > 0) & (middle <= rest), 1).otherwise(0)
+    copies = (F.col("whole") + once_more).cast("long")
     return (
         placed.join(per_source, placed["source"].eqNullSafe(per_source["_source"]))
         .withColumn("copies", copies)
