@@ -51,13 +51,13 @@ def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet") -> int:
 
 
 def _new_version(df: DataFrame, table: str) -> int:
+    """The rows are counted from the files written: adaptive plans can drop an observation."""
     spark = df.sparkSession
-    counted, seen = _counted(df, table)
     path = f"{VERSION.sub('', table_location(spark, table))}-v{uuid.uuid4().hex}"
-    counted.write.format(table_provider(spark, table)).save(path)
+    df.write.format(table_provider(spark, table)).save(path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
-    return seen.get["n"]
+    return spark.table(table).count()
 
 
 def remove_old_versions(spark: SparkSession, table: str) -> int:
