@@ -22,7 +22,7 @@ BASES = (911_382_323, 972_663_749)
 BLOCK = 1 << 16  # code points whose prefixes are in memory at once
 WINDOW = 12  # code points of the spans that a sketch is made of
 SLOTS = 64  # a sketch keeps the smallest span hash of each slot
-SLOT_BITS, VALUE_BITS, EMPTY = 6, 15, 0xFFFF
+SLOT_BITS, EMPTY = 6, 0xFFFFFFFF  # a slot without a span
 
 
 def _reduce(x: np.ndarray) -> np.ndarray:
@@ -44,6 +44,7 @@ def _powers(base: int, count: int) -> np.ndarray:
     return out
 
 
+NO_SPAN = np.uint64((1 << 64) - 1)  # above every hash without its slot bits
 POWERS = [_powers(b, BLOCK + WINDOW) for b in BASES]
 INVERSES = [_powers(pow(b, -1, PRIME), BLOCK + WINDOW) for b in BASES]
 
@@ -97,6 +98,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _stored(smallest: np.ndarray) -> np.ndarray:
+    """32 bits per slot that tell its smallest hash; small hashes differ in all of them. Never ``EMPTY`` if filled."""
+    mixed = _mix(smallest * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    return np.where(smallest == NO_SPAN, np.uint64(EMPTY), np.minimum(mixed, np.uint64(EMPTY - 1)))
+
+
 class Marked:
     """A text's code points, block hashes, fingerprint, and the prefixes of its last block."""
 
@@ -105,7 +112,7 @@ class Marked:
         self.blocks: list[int] = []
         self.last: tuple[int, Prefixes] | None = None
         whole = [0] * len(BASES)
-        slots = np.full(SLOTS, EMPTY, np.uint64)
+        slots = np.full(SLOTS, NO_SPAN, np.uint64)
         count, size = len(self.codes), min(WINDOW, len(self.codes))
         for at in range(0, count, BLOCK):
             part = Prefixes(self.codes[at : at + BLOCK + WINDOW - 1])
@@ -118,8 +125,8 @@ class Marked:
             if spans > 0:
                 hashes = _mix(part.spans(slice(0, spans), slice(size, size + spans)))
                 slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-                np.minimum.at(slots, slot, hashes & np.uint64((1 << VALUE_BITS) - 1))
-        sketch = slots.astype(">u2").tobytes().hex()
+                np.minimum.at(slots, slot, hashes & np.uint64((1 << (64 - SLOT_BITS)) - 1))
+        sketch = _stored(slots).astype(">u4").tobytes().hex()
         self.print = f"{count:x}-{whole[0]:08x}{whole[1]:08x}-{sketch}"
 
     def prefixes(self, at: int) -> Prefixes:
@@ -132,8 +139,9 @@ class Marked:
 def fingerprint(text: str) -> str:
     """Length, hash of the whole text, and a sketch of its spans, in hexadecimal.
 
-    The spans are all of ``WINDOW`` code points, or the whole of a shorter text. Slots without a span
-    hold ``ffff``.
+    The spans are all of ``WINDOW`` code points, or the whole of a shorter text. A slot is chosen by six bits
+    of a span's hash and keeps 32 bits made from the smallest of the other 58, so unrelated texts of any
+    length rarely agree. Slots without a span hold ``ffffffff``.
     """
     return Marked(text).print
 
@@ -153,7 +161,7 @@ def likeness(a: str, b: str) -> float:
     """Equal slots as a share of the slots that either fingerprint fills; 1 for equal fingerprints."""
     if a == b:
         return 1.0
-    x, y = (np.frombuffer(bytes.fromhex(f.rpartition("-")[2]), ">u2") for f in (a, b))
+    x, y = (np.frombuffer(bytes.fromhex(f.rpartition("-")[2]), ">u4") for f in (a, b))
     filled = (x != EMPTY) | (y != EMPTY)
     return float(((x == y) & filled).sum() / max(1, filled.sum()))
 

@@ -83,3 +83,13 @@ def test_likeness_follows_the_shared_part():
         for cut in (0, 1_000, 5_000, 20_000)
     ]
     assert near[0] == 1 and near[0] > near[1] > near[2] > near[3] and near[3] < 0.1
+
+
+@pytest.mark.parametrize("size", [1_000_000, 5_000_000])
+def test_long_unrelated_texts_are_unlike(size):
+    rng = np.random.default_rng(size)
+    text, other = ("".join(map(chr, rng.integers(97, 123, size))) for _ in range(2))
+    own = prefixes.fingerprint(text)
+    assert prefixes.likeness(own, prefixes.fingerprint(other)) < 0.05
+    half = prefixes.likeness(own, prefixes.fingerprint(text[: size // 2] + other[size // 2 :]))
+    assert 0.1 < half < 0.6  # a third of the spans of both are shared
