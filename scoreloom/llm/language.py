@@ -19,7 +19,7 @@ SAMPLE_CHARS = 512  # characters taken from each, at a hashed place
 MAX_LANGUAGES = 200  # learned values of lang; more is an error
 PART = 1024  # bytes that are compressed together; all parts of a text are
 LEVEL = 6
-MARGIN_BYTES = 64  # a shorter text holds too few matches for its margin to say anything
+MARGIN_BYTES = 64  # a shorter text needs one byte between the two best sizes, whatever its margin
 
 RESULT = "lang string, score double, margin double"
 
@@ -91,8 +91,8 @@ def identify(raw: dict[str, bytes], text: Column, min_margin: float = 0.0) -> Co
     """A struct of ``lang``, ``score`` (0 to 1) and ``margin`` for each whole text.
 
     ``und`` with score 0 is returned for a text that is null or has no letter, and, with the score kept,
-    where the margin of a text of ``MARGIN_BYTES`` or more is below ``min_margin``. Where languages tie,
-    the commonest is returned.
+    where the margin is below ``min_margin`` and the text has ``MARGIN_BYTES`` or more or the two best sizes
+    are equal. Without a ``min_margin`` the commonest language is returned where languages tie.
     """
     key = hash(tuple(raw.items()))
 
@@ -105,7 +105,7 @@ def identify(raw: dict[str, bytes], text: Column, min_margin: float = 0.0) -> Co
         rows = [own.identify(t if isinstance(t, str) else None) for t in texts]
         found = pd.DataFrame(rows, columns=["lang", "score", "margin"])
         long = np.array([isinstance(t, str) and len(t.encode()) >= MARGIN_BYTES for t in texts], bool)
-        found.loc[(found["margin"] < min_margin) & long, "lang"] = UNKNOWN
+        found.loc[(found["margin"] < min_margin) & (long | (found["margin"] == 0)), "lang"] = UNKNOWN
         return found
 
     return of(text)

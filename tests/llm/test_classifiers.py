@@ -1,3 +1,4 @@
+import corpus_pipeline
 import numpy as np
 from edge_rows import EDGE_TEXTS
 
@@ -88,3 +89,15 @@ def test_language_edges(docs, edge, empty):
     assert (sure[1], sure[2]) == ("de", "en")
     assert language.predict(empty, raw).collect() == []
     assert {r["lang_pred"] for r in language.predict(edge, language.dictionaries(empty)).collect()} == {"und"}
+
+
+def test_noise_has_no_language(spark):
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join("".join(map(chr, rng.integers(97, 123, rng.integers(2, 10)))) for _ in range(n))
+    noise = [(10**9 + i, words(n), None) for i, n in enumerate([3, 5, 8, 20, 40, 100, 400] * 30)]
+    clean = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
+    real = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").join(clean, "doc_id", "left_semi")
+    docs = real.union(spark.createDataFrame(noise, real.schema))
+    kept = [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, SF).select("doc_id").collect()]
+    assert sum(k >= 10**9 for k in kept) < 0.05 * len(noise)
+    assert sum(k < 10**9 for k in kept) > 0.97 * real.count()
