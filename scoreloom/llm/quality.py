@@ -159,15 +159,18 @@ def scores(net: Network, texts: list[str | None]) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[np.ndarray, int]]:
     """Chunks and labels of at most ``rows`` documents of each label, chosen by a hash of the id.
 
-    ``labels`` has ``doc_id`` and ``label`` (0 or 1). At most ``SAMPLE_CHUNKS`` chunks of a document leave
-    its task, so the driver holds a bounded number of bytes.
+    ``labels`` has ``doc_id`` and ``label`` (0 or 1). Repeated labels count once. Of the rows of a repeated id
+    one is taken, that with the smallest chunks, before anything is collected. At most ``SAMPLE_CHUNKS`` chunks
+    of a document leave its task, so the driver holds a bounded number of bytes.
     """
     first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         labels.where("doc_id is not null and label in (0, 1)")
+        .select("doc_id", "label")
+        .distinct()
         .withColumn("nth", F.row_number().over(first))
         .where(F.col("nth") <= rows)
-        .select("doc_id", "label")
+        .select("doc_id", F.col("label").cast("int").alias("label"))
     )
     # at most two labels times ``rows`` ids
     labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
@@ -181,8 +184,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[
                 parts.append(np.ascontiguousarray(every[spread]).tobytes())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "codes": parts})
 
-    found = labelled.mapInPandas(cut, "doc_id long, label int, codes binary").collect()
-    found.sort(key=lambda r: (r["doc_id"], bytes(r["codes"])))
+    cuts = labelled.mapInPandas(cut, "doc_id long, label int, codes binary")
+    found = cuts.groupBy("doc_id", "label").agg(F.min("codes").alias("codes")).collect()
+    found.sort(key=lambda r: (r["doc_id"], r["label"]))
     return [
         (np.frombuffer(bytes(r["codes"]), np.uint16).reshape(-1, CHUNK), r["label"]) for r in found
     ]

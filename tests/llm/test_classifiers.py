@@ -101,3 +101,12 @@ def test_noise_has_no_language(spark):
     kept = [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, SF).select("doc_id").collect()]
     assert sum(k >= 10**9 for k in kept) < 0.05 * len(noise)
     assert sum(k < 10**9 for k in kept) > 0.97 * real.count()
+
+
+def test_a_repeated_id_is_learnt_once(docs):
+    repeated = docs([(1, f"good text {i}") for i in range(50)] + [(2, "bad"), (3, "fine")])
+    known = docs([(1, None)] * 30 + [(2, None), (3, None)]).selectExpr("doc_id", "int(doc_id <> 2) AS label")
+    found = quality.sample(repeated, known, rows=2)
+    want = [(min(quality.chunks(f"good text {i}".encode()).tobytes() for i in range(50)), 1)]
+    want += [(quality.chunks(t).tobytes(), k) for t, k in ((b"bad", 0), (b"fine", 1))]
+    assert [(c.tobytes(), k) for c, k in found] == want
