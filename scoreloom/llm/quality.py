@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK, STEP = 256, 192  # bytes of a chunk and from one chunk's start to the next
-BLOCK = 4  # a filter sees two blocks of bytes and moves by one
+BLOCK = 4  # a filter sees two blocks of bytes and moves by one byte
 EMBED, FILTERS = 8, 16
 SAMPLE_ROWS = 800  # labelled rows of each class that the network is fitted on, at most
 SAMPLE_CHUNKS = 8  # chunks of a sampled document, spread evenly over all of it
@@ -56,10 +56,12 @@ def chunks(data: bytes) -> np.ndarray:
 
 
 def responses(net: Network, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Embedded blocks, filter responses by place, and each filter's largest (0 at least)."""
-    blocks = net.embed[codes].reshape(len(codes), CHUNK // BLOCK, BLOCK * EMBED)
-    halves = blocks @ net.filters
-    at_place = halves[:, :-1, :FILTERS] + halves[:, 1:, FILTERS:]
+    """Embedded blocks from every byte on, filter responses by place, and each filter's largest (0 at least)."""
+    flat = net.embed[codes].reshape(len(codes), CHUNK * EMBED)
+    blocks = np.lib.stride_tricks.sliding_window_view(flat, BLOCK * EMBED, axis=1)[:, ::EMBED]
+    blocks = np.ascontiguousarray(blocks)
+    halves = (blocks.reshape(-1, BLOCK * EMBED) @ net.filters).reshape(*blocks.shape[:2], -1)
+    at_place = halves[:, :-BLOCK, :FILTERS] + halves[:, BLOCK:, FILTERS:]
     at_place += net.bias
     return blocks, at_place, np.maximum(at_place.max(axis=1), 0)
 
@@ -86,13 +88,11 @@ def _gradients(net: Network, codes: np.ndarray, counts: np.ndarray, labels: np.n
     to_pool = (to_pool + back[owner, FILTERS:] * largest) * (pooled > 0)
     place = at_place.argmax(axis=1)
     row = np.arange(len(codes))[:, None]
-    spread = np.zeros((*blocks.shape[:2], 2 * FILTERS), np.float32)
-    filters = np.arange(FILTERS)[None, :]
-    spread[row, place, filters] = to_pool
-    spread[row, place + 1, filters + FILTERS] += to_pool
-    to_filters = blocks.reshape(-1, BLOCK * EMBED).T @ spread.reshape(-1, 2 * FILTERS)
-    to_blocks = (spread @ net.filters.T).reshape(-1, EMBED)
-    flat = codes.ravel()
+    halves = [(place, net.filters[:, :FILTERS]), (place + BLOCK, net.filters[:, FILTERS:])]
+    to_filters = np.concatenate([np.einsum("nfk,nf->kf", blocks[row, at], to_pool) for at, _ in halves], axis=1)
+    to_blocks = np.concatenate([to_pool[:, :, None] * part.T for _, part in halves]).reshape(-1, EMBED)
+    windows = np.lib.stride_tricks.sliding_window_view(codes, BLOCK, axis=1)
+    flat = np.concatenate([windows[row, at] for at, _ in halves]).ravel()
     to_embed = np.stack([np.bincount(flat, to_blocks[:, e], 257) for e in range(EMBED)], axis=1)
     return [to_embed, to_filters, to_pool.sum(axis=0), features.T @ wrong, wrong.sum(keepdims=True)]
 

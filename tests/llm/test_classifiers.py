@@ -110,3 +110,10 @@ def test_a_repeated_id_is_learnt_once(docs):
     want = [(min(quality.chunks(f"good text {i}".encode()).tobytes() for i in range(50)), 1)]
     want += [(quality.chunks(t).tobytes(), k) for t, k in ((b"bad", 0), (b"fine", 1))]
     assert [(c.tobytes(), k) for c, k in found] == want
+
+
+def test_filters_see_every_alignment():
+    net = quality.Network.fresh(3)
+    pooled = [quality.responses(net, quality.chunks(b"." * k + b"pattern!" + b"." * (240 - k)))[2] for k in range(20, 28)]
+    for other in pooled[1:]:
+        assert np.allclose(other, pooled[0], atol=1e-5)
