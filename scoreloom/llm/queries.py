@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from scoreloom.llm import ctw, embeddings, language, prefixes, quality, simhash
+from scoreloom.llm import bpe, ctw, embeddings, language, prefixes, quality, simhash
 from scoreloom.llm.mixing import mix
 from scoreloom.llm.packing import pack
 from scoreloom.llm.sharding import shard
@@ -91,4 +91,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ctw, op2_packing, op3_quality, op4_language, op5_prefixes, op6_embeddings, op7_mixing, op8_warc, op9_simhash, op10_sharding)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.decode(coded, path, pattern).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ctw,
+        op2_packing,
+        op3_quality,
+        op4_language,
+        op5_prefixes,
+        op6_embeddings,
+        op7_mixing,
+        op8_warc,
+        op9_simhash,
+        op10_sharding,
+        op11_bpe,
+    )
+}
