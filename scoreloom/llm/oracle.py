@@ -83,4 +83,77 @@ SELECT v.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, v.vec_id =
 FROM embeddings v JOIN lowest l ON l.a = v.vec_id LEFT JOIN counts c ON c.a = v.vec_id
 """
 
-ORACLE = {"op6_embeddings": OP6, "op7_mixing": OP7, "op8_warc": OP8}
+def _crc_step(value: str) -> str:
+    return f"xor({value} >> 1, CASE WHEN {value} & 1 = 1 THEN 3988292384 ELSE 0 END)"
+
+
+def crc_table() -> str:
+    """The 256 remainders of CRC-32 (polynomial edb88320, reflected), as a list ``t``."""
+    steps = "SELECT i, i::BIGINT AS c FROM range(256) r(i)"
+    for _ in range(8):
+        steps = f"SELECT i, {_crc_step('c')} AS c FROM ({steps})"
+    return f"crc_table AS (SELECT list(c ORDER BY i) AS t FROM ({steps}))"
+
+
+def crc32(digits: str) -> str:
+    """CRC-32 of a text of ASCII characters, beside ``crc_table``."""
+    codes = f"list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT for x in string_split({digits}, '')])"
+    step = "xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = [_field(c) for c in ("doc_id", "source", "lang", "n_chars")] + [_field(text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+OP12 = f"""
+WITH RECURSIVE {crc_table()}, leaves AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '-') AS grp, {_leaf('text')} AS leaf,
+    CASE WHEN {crc32('doc_id::VARCHAR')} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS altered
+  FROM documents, crc_table
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY grp) AS n
+  FROM leaves
+), tree AS (
+  SELECT 0 AS level, grp, idx, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT level + 1, grp, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM tree WHERE n > 1 GROUP BY level, grp, idx // 3, n
+), subroots AS (
+  SELECT grp, level AS height, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), top AS (
+  SELECT 0 AS level, place AS idx, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM top WHERE n > 1 GROUP BY level, idx // 3, n
+), runs AS (  -- the steps of all paths: a level's runs of up to three nodes, of which the path takes one
+  SELECT grp, level, idx // 3 AS run, list(h ORDER BY idx) AS nodes FROM tree WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT s.grp, s.height + t.level, t.run, t.nodes
+  FROM subroots s, (SELECT level, idx // 3 AS run, list(h ORDER BY idx) AS nodes FROM top WHERE n > 1 GROUP BY ALL) t
+  WHERE t.run = s.place // (3 ** (t.level + 1))::BIGINT
+), folds AS (
+  SELECT p.rid, p.grp, 0 AS level, p.idx, p.altered AS h, '' AS proof FROM placed p
+  UNION ALL
+  SELECT f.rid, f.grp, f.level + 1, i // 3,
+    sha256(list_aggregate(list_concat(r.nodes[1:i % 3], [f.h], r.nodes[i % 3 + 2:3]), 'string_agg', '')),
+    f.proof || coalesce(list_aggregate(list_concat(r.nodes[1:i % 3], r.nodes[i % 3 + 2:3]), 'string_agg', ''), '')
+  FROM (SELECT x.*, CASE WHEN x.level = s.height THEN s.place ELSE x.idx END AS i
+        FROM folds x JOIN subroots s USING (grp)) f
+  JOIN runs r ON r.grp = f.grp AND r.level = f.level AND r.run = f.i // 3
+), folded AS (
+  SELECT rid, arg_max(h, level) AS folded_root, arg_max(proof, level) AS proof FROM folds GROUP BY rid
+)
+SELECT p.doc_id, p.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.folded_root,
+  f.folded_root = t.h AS verified
+FROM placed p JOIN subroots s USING (grp) JOIN folded f USING (rid), (SELECT h FROM top WHERE n = 1) t
+"""
+
+ORACLE = {"op6_embeddings": OP6, "op7_mixing": OP7, "op8_warc": OP8, "op12_merkle": OP12}

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from scoreloom.llm import bpe, ctw, embeddings, language, prefixes, quality, simhash
+from scoreloom.llm.merkle import row_manifest
 from scoreloom.llm.mixing import mix
 from scoreloom.llm.packing import pack
 from scoreloom.llm.sharding import shard
 from scoreloom.llm.warc import capture_digests
+from scoreloom.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +104,14 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return row_manifest(table(spark, sf_dir, "documents"), every=4)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,5 +126,7 @@ QUERIES = {
         op9_simhash,
         op10_sharding,
         op11_bpe,
+        op12_merkle,
+        op13_whitening,
     )
 }

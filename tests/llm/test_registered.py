@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline"} == set(range(1, 12))
+    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline"} == set(range(1, 14))
     assert "pipeline" in LLM_QUERIES
 
 

@@ -1,0 +1,102 @@
+import math
+
+import numpy as np
+import pytest
+
+from scoreloom.llm import whitening
+from scoreloom.llm.queries import op13_whitening
+
+SF = "/root/testdata/sf0.001"
+SHAPE = "vec_id long, embedding array<double>"
+
+
+def rows_of(frame):
+    return [(r["vec_id"], r["embedding"]) for r in frame.select("vec_id", "embedding").collect()]
+
+
+def plain(rows, components=8, once=False):
+    """By vec_id of usable rows (ids are unique): n, deviation, whitened; and what is explained."""
+    good = [(i, [math.floor(1024 * c) + 100_000 for c in e]) for i, e in rows
+            if e and all(c is not None and math.isfinite(c) for c in e)]
+    listed = [list(t) for t in {tuple(x) for _, x in good}] if once else [x for _, x in good]
+    n, sums = len(listed), [sum(column) for column in zip(*listed, strict=True)]
+    centred = np.array([[v - s / n for v, s in zip(x, sums, strict=True)] for x in listed])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    kept = min(components, int((values > 1e-10 * values[0]).sum()))
+    basis = vectors[:, :kept] / np.sqrt(values[:kept])
+    found = {
+        i: (n, sum((n * v - s) ** 2 for v, s in zip(x, sums, strict=True)),
+            np.array([v - s / n for v, s in zip(x, sums, strict=True)]) @ basis)
+        for i, x in good
+    }
+    return found, values[:kept] / values.sum()
+
+
+def compare(got, rows, **how):
+    expected, explained = plain(rows, **how)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["vec_id"], {})[r["component"]] = r
+    assert by_id.keys() == expected.keys()
+    signs = np.ones(len(explained))
+    first = True
+    for i, (n, deviation, whitened) in sorted(expected.items()):
+        mine = by_id[i]
+        assert sorted(mine) == list(range(1, len(explained) + 1))
+        ours = np.array([mine[k]["whitened"] for k in sorted(mine)])
+        if first:
+            signs, first = np.where(np.abs(ours - whitened) <= np.abs(ours + whitened), 1, -1), False
+        assert np.allclose(ours, signs * whitened, rtol=1e-6, atol=1e-8)
+        assert {(r["n"], r["deviation"]) for r in mine.values()} == {(n, deviation)}
+        assert np.allclose([mine[k]["explained"] for k in sorted(mine)], explained, rtol=1e-9)
+    errors = {r["identity_error"] for r in got}
+    assert len(errors) <= 1 and all(e < 1e-9 for e in errors)
+
+
+def test_the_query_equals_plain_arithmetic(spark):
+    compare(op13_whitening(spark, SF).collect(), rows_of(spark.read.parquet(f"{SF}/embeddings.parquet")))
+
+
+@pytest.mark.parametrize("multiplicity", [True, False])
+def test_repeated_vectors_and_unusable_ones(spark, multiplicity):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 6)) * [8, 4, 2, 1, 0.5, 0]
+    rows = [(i, base[0 if i % 3 == 0 else i % 40].tolist()) for i in range(3000)]
+    odd = [None, [], [None] * 6, [1.0, 2.0, 3.0, 4.0, 5.0, float("nan")], [float("inf")] + [0.0] * 5, [1e300] * 6]
+    frame = spark.createDataFrame(rows + [(10_000 + i, e) for i, e in enumerate(odd)], SHAPE).selectExpr(
+        "*", "1 AS n", "'x' AS key", "2 AS dims", "3 AS copies", "'w' AS whitened", "0 AS component"
+    )
+    got = whitening.whiten(frame.repartition(4), multiplicity=multiplicity).collect()
+    compare(got, rows, once=not multiplicity)
+    assert max(r["component"] for r in got) == 5  # the last dimension never varies
+
+
+def test_lengths_are_fitted_apart(spark):
+    rng = np.random.default_rng(6)
+    two, three = rng.normal(size=(50, 2)).tolist(), rng.normal(size=(70, 3)).tolist()
+    rows = [(i, e) for i, e in enumerate(two + three)]
+    got = whitening.whiten(spark.createDataFrame(rows, SHAPE)).collect()
+    compare([r for r in got if r["vec_id"] < 50], rows[:50])
+    compare([r for r in got if r["vec_id"] >= 50], rows[50:])
+
+
+def test_edges(spark):
+    def found(rows):
+        return whitening.whiten(spark.createDataFrame(rows, SHAPE)).collect()
+
+    assert found([]) == [] and found([(1, None)]) == []
+    assert found([(1, [0.5, 0.5])]) == [] and found([(1, [0.5]), (2, [0.5])]) == []  # nothing varies
+    pair = found([(None, [0.0]), (None, [0.0]), (7, [1.0])])
+    assert sorted(round(r["whitened"], 6) for r in pair) in ([-0.707107, -0.707107, 1.414214], [-1.414214, 0.707107, 0.707107])
+    assert {(r["n"], r["component"], r["explained"]) for r in pair} == {(3, 1, 1.0)}
+    assert sorted(r["deviation"] for r in pair) == [1024**2, 1024**2, 2048**2]
+    wide = found([(1, [0.0]), (2, [1e12])])
+    assert {r["deviation"] for r in wide} == {None}
+    assert sorted(round(r["whitened"]) for r in wide) == [-1, 1]
+
+
+def test_hot_vectors_do_not_meet_in_one_task(spark, plan_of):
+    frame = spark.createDataFrame([(i, [float(i % 2), 1.0 * i]) for i in range(10)], SHAPE)
+    plan = plan_of(whitening.whiten(frame))
+    assert "BroadcastHashJoin" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
