@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.sources.shared import publish
-from scoreloom.sources.tables import overwrite_table, table_provider
-
-# Providers whose tables take row-level MERGE.
-MERGE_PROVIDERS = ("delta", "iceberg")
+from scoreloom.sources.tables import (
+    VERSIONED_PROVIDERS,
+    finish_overwrite,
+    overwrite_table,
+    table_provider,
+)
 
 
 class DuplicateSourceKey(ValueError):
@@ -78,20 +80,20 @@ def upsert_table(
     source: DataFrame,
     key: str | Sequence[str] = "champion",
     null_safe: bool = False,
-    fmt: str = "parquet",
+    fmt: str | None = None,
 ) -> int | None:
-    """Upsert into a catalog table, creating it from the source in ``fmt`` when it does not exist.
+    """Upsert into a catalog table, creating it from the source in ``fmt`` (Parquet if not given) when it does not exist.
 
     Tables that take MERGE are merged in place. Others are written to a new folder and the
     table is then moved to it, so the files being read are never overwritten. Returns the
     rows of the new version, or None after a MERGE. The source is computed once: an update
     reads it several times, so it is published first.
     """
-    if not spark.catalog.tableExists(table):
+    if not finish_overwrite(spark, table):
         return overwrite_table(source, table, fmt)
     source = publish(source, "upsert-source")
     target = spark.table(table)
-    if table_provider(spark, table) in MERGE_PROVIDERS:
+    if table_provider(spark, table) in VERSIONED_PROVIDERS:
         (
             source.alias("s")
             .mergeInto(table, _same(table, "s", _names(key), null_safe))

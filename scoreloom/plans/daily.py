@@ -19,7 +19,7 @@ from scoreloom.operators.stats import champion_stats
 from scoreloom.operators.upsert import upsert_table
 from scoreloom.sources.landing import read_documents
 from scoreloom.sources.shared import publish
-from scoreloom.sources.tables import overwrite_table, remove_old_versions, scan_table
+from scoreloom.sources.tables import finish_overwrite, overwrite_table, remove_old_versions, scan_table
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ def run_daily(
     same result.
     """
     for table in (tables.raw, tables.games, tables.stats):
-        if spark.catalog.tableExists(table):
+        if finish_overwrite(spark, table):
             remove_old_versions(spark, table)
     landed = read_documents(spark, landing)
     if latest is None:

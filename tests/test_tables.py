@@ -1,0 +1,149 @@
+"""Overwriting catalog tables: whatever goes wrong, rows stay readable."""
+
+from pathlib import Path
+from uuid import uuid4
+
+import pytest
+from pyspark.errors import PySparkException
+
+from scoreloom.operators.upsert import upsert_table
+from scoreloom.sources import tables
+from scoreloom.sources.tables import (
+    default_location,
+    drop_table,
+    overwrite_table,
+    partitions_of,
+    remove_old_versions,
+    scan_table,
+    table_location,
+    table_provider,
+)
+
+
+@pytest.fixture
+def name():
+    return f"t_{uuid4().hex}"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def folder(spark, table):
+    return Path(table_location(spark, table).removeprefix("file:"))
+
+
+def broken(spark, rows_before):
+    """A source that fails after some of its rows."""
+
+    def run(batches):
+        for batch in batches:
+            if batch["id"].max() >= rows_before:
+                raise RuntimeError("the source broke off")
+            yield batch
+
+    return spark.range(0, 100, 1, 4).mapInPandas(run, "id long")
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, name):
+    overwrite_table(spark.range(3), name)
+    for source in (broken(spark, 30), broken(spark, 30).selectExpr("cast(id AS string) AS other")):
+        with pytest.raises(PySparkException):
+            overwrite_table(source, name)
+        assert rows(scan_table(spark, name)) == [(0,), (1,), (2,)]
+    assert remove_old_versions(spark, name) == 2  # what the failures left
+    assert rows(scan_table(spark, name)) == [(0,), (1,), (2,)]
+
+
+def test_a_first_write_that_fails_leaves_no_table_and_no_hindrance(spark, name):
+    with pytest.raises(PySparkException):
+        overwrite_table(broken(spark, 30), name)
+    assert not spark.catalog.tableExists(name)
+    Path(default_location(spark, name).removeprefix("file:")).mkdir(parents=True)  # a folder in the way
+    assert overwrite_table(spark.range(2), name) == 2
+
+
+def test_columns_and_format_change_at_any_time(spark, name):
+    overwrite_table(spark.range(4), name)
+    overwrite_table(spark.table(name).where("id > 0"), name)
+    steps = [
+        (lambda t: t.selectExpr("id", "id * 2 AS twice"), None, "parquet"),
+        (lambda t: t.where("id > 1"), "orc", "orc"),
+        (lambda t: t.selectExpr("cast(id AS string) AS name"), None, "orc"),
+        (lambda t: t.selectExpr("name", "1 AS one"), "json", "json"),
+        (lambda t: t, "parquet", "parquet"),
+    ]
+    for change, fmt, then in steps:
+        n = overwrite_table(change(spark.table(name)), name, fmt)
+        assert table_provider(spark, name) == then and n == scan_table(spark, name).count()
+        assert list(folder(spark, name).glob(f"*.{then}")) or then == "parquet"
+    assert rows(scan_table(spark, name)) == [("2", 1), ("3", 1)]
+    assert remove_old_versions(spark, name) == 6
+
+
+def test_a_run_that_ends_between_dropping_and_taking_the_name(spark, name, monkeypatch):
+    overwrite_table(spark.range(3), name)
+
+    def die(session, successor, table):
+        session.sql(f"DROP TABLE IF EXISTS {table}")
+        raise KeyboardInterrupt
+
+    def interrupted(source):
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, "_take_name", die)
+            with pytest.raises(KeyboardInterrupt):
+                overwrite_table(source, name)
+        assert not spark.catalog.tableExists(name)
+
+    interrupted(spark.range(2).selectExpr("cast(id AS string) AS s"))
+    assert rows(scan_table(spark, name)) == [("0",), ("1",)]  # the new rows were complete
+    interrupted(spark.range(2))
+    assert overwrite_table(spark.range(4), name) == 4
+    assert rows(scan_table(spark, name)) == [(0,), (1,), (2,), (3,)]
+    interrupted(spark.range(1).selectExpr("id AS other"))
+    assert upsert_table(spark, name, spark.range(5, 7).selectExpr("id AS other"), key="other") == 3
+
+
+def test_a_run_that_ends_before_the_old_table_goes(spark, name, monkeypatch):
+    overwrite_table(spark.range(3), name)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_take_name", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            overwrite_table(spark.range(2).selectExpr("id AS other"), name)
+    assert rows(scan_table(spark, name)) == [(0,), (1,), (2,)]
+    assert remove_old_versions(spark, name) == 1
+    assert not spark.sql(f"SHOW TABLES LIKE '{name}{tables.NEXT}*'").collect()
+
+
+def test_tables_made_elsewhere(spark, name):
+    spark.range(6).selectExpr("id", "id % 2 AS part").write.partitionBy("part").saveAsTable(name)
+    assert overwrite_table(spark.table(name).where("id > 2"), name) == 3
+    assert partitions_of(spark, name) == ["part"]
+    assert rows(spark.table(name).where("part = 1")) == [(3, 1), (5, 1)]
+    assert (folder(spark, name) / "part=0").is_dir()
+    assert overwrite_table(spark.table(name), name, partition_by=[]) == 3
+    assert partitions_of(spark, name) == [] and rows(spark.table(name)) == [(3, 1), (4, 0), (5, 1)]
+
+    other = f"{name}_b"
+    spark.range(6).write.bucketBy(2, "id").saveAsTable(other)
+    assert overwrite_table(spark.table(other).where("id < 2"), other) == 2
+    assert rows(spark.table(other).groupBy("id").count()) == [(0, 1), (1, 1)]
+
+
+def test_an_upsert_keeps_the_format(spark, name):
+    first = spark.createDataFrame([("a", 1)], "champion string, n int")
+    upsert_table(spark, name, first, fmt="orc")
+    assert upsert_table(spark, name, spark.createDataFrame([("b", 2)], first.schema)) == 2
+    assert table_provider(spark, name) == "orc"
+
+
+def test_names_with_a_database_and_dropping(spark, name):
+    spark.sql("CREATE DATABASE IF NOT EXISTS elsewhere")
+    table = f"elsewhere.{name}"
+    assert overwrite_table(spark.range(2), table) == 2
+    assert overwrite_table(spark.range(3).selectExpr("id AS other"), table) == 3
+    assert "elsewhere" in table_location(spark, table) and not spark.catalog.tableExists(name)
+    place = folder(spark, table)
+    drop_table(spark, table)
+    assert not place.exists() and not spark.catalog.tableExists(table)
+    drop_table(spark, table)
