@@ -13,7 +13,7 @@ import math
 from collections.abc import Iterator
 from functools import cache
 from heapq import heappop, heappush
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +23,14 @@ from pyspark.sql import DataFrame
 
 WORD_BITS = 6
 WORD = 1 << WORD_BITS
-KNOWN_BYTES = 192 << 20  # of matches and ids that a worker remembers
+KNOWN_BYTES = 64 << 20  # of matches and ids that a worker remembers
 LONGEST_KNOWN = 128  # characters; longer matches are encoded each time
-BLOCK = 1 << 19  # matches that are held at a time, and the characters of a text that is cut at once
-MERGED_TOGETHER = 1 << 20  # characters of matches that share the queue
+LONGEST_TOGETHER = 64  # bytes; longer matches have a queue of their own
+BLOCK = 1 << 19  # characters of a text that is cut at once
+HELD = 8 << 20  # matches that are held at a time
+TOGETHER = 400_000  # short matches that share the queue
+KNOWN_COST = 250  # bytes of a remembered match
+TEXT_BYTES = 24 << 20  # of the texts that are encoded together
 OUTPUT_BYTES = 8 << 20
 
 
@@ -70,11 +74,6 @@ class RankQueue:
             self.mark(rank)
         heappush(bucket, position)
 
-    def fill(self, rank: int, positions: list[int]) -> None:
-        """Put ascending positions into an empty bucket."""
-        self.buckets[rank] = positions
-        self.mark(rank)
-
     def lowest(self) -> int | None:
         """The lowest rank whose bucket holds something."""
         at = 0
@@ -99,104 +98,169 @@ class BytePairs:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.queue = RankQueue(max(self.tokens) + 1)
         self.pattern = regex.compile(pattern)
-        self.of_two = np.full(1 << 16, -1, np.int32)  # the rank of two bytes
-        for token, rank in self.ranks.items():
-            if len(token) == 2:
-                self.of_two[token[0] << 8 | token[1]] = rank
+        self.pairs, self.pair_ranks = self._pair_table()
+        self.byte_ranks = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.known: dict[str, bytes] = {}
         self.held = 0
 
-    def _fill(self, data: bytes, first: np.ndarray) -> list[int]:
-        """Put all pairs of bytes into the queue; returns one more than the rank of the pair that starts at each
-        place, 0 for none."""
-        at = np.frombuffer(data, np.uint8).astype(np.int32)
-        rank = np.full(len(at), -1, np.int32)
-        rank[:-1] = self.of_two[at[:-1] << 8 | at[1:]]
-        rank[first[1:]] = -1
-        places = np.flatnonzero(rank >= 0)
-        places = places[np.argsort(rank[places], kind="stable")]
-        cuts = np.flatnonzero(np.diff(rank[places], prepend=-1))
-        for start, end in zip(cuts, np.append(cuts, len(places))[1:], strict=True):
-            self.queue.fill(int(rank[places[start]]), places[start:end].tolist())
-        return (rank + 1).tolist()
-
-    def merge(self, matches: list[bytes]) -> list[list[int]]:
-        """Ids of the bytes of each match, which is not empty. The matches share the queue and never meet."""
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of tokens that are a token together, as sorted numbers, and that token's ranks."""
+        pairs, merged = [], []
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs.append(left << 32 | right)
+                    merged.append(rank)
+        order = np.argsort(np.array(pairs, np.int64))
+        # one entry more, so that every place that a search returns can be looked at
+        return np.append(np.array(pairs, np.int64)[order], -1), np.append(np.array(merged, np.int64)[order], 0)
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens, -1 for none."""
+        wanted = left << 32 | right
+        at = np.searchsorted(self.pairs[:-1], wanted)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], -1)
+
+    def merge_many(self, matches: list[bytes]) -> list[list[int]]:
+        """Ids of the bytes of many short matches, which share the queue and never meet.
+
+        A bucket is worked off as one array: of each match the leftmost position, the others come again. New pairs
+        wait until all lower ranks of their word of the bitmap are done, and are then put into their buckets
+        together.
+        """
         data = b"".join(matches)
         n = len(data)
         sizes = np.fromiter(map(len, matches), np.int64, len(matches))
         starts = np.cumsum(sizes) - sizes
-        is_first = np.zeros(n + 1, bool)
-        is_first[starts] = is_first[n] = True
-        first = is_first.tolist()
-        pair = self._fill(data, is_first)
+        match_of = np.repeat(np.arange(len(matches)), sizes)
+        first = np.zeros(n + 1, bool)
+        first[starts] = first[n] = True
+        token = self.byte_ranks[np.frombuffer(data, np.uint8)]
         # a token is known by the place of its first byte; after[i] is the place of the next token
-        after = list(range(1, n + 1))
-        before = list(range(-1, n))
-        rank_of, queue, buckets = self.ranks.get, self.queue, self.queue.buckets
-        while (lowest := queue.lowest()) is not None:
-            bucket = buckets[lowest]
-            while bucket:
-                i = heappop(bucket)
-                if pair[i] != lowest + 1:
-                    continue  # stale: the tokens there were merged meanwhile
-                gone = after[i]
-                end = after[gone]
-                after[i] = end
-                before[end] = i
-                pair[gone] = 0
-                smaller = False
-                if first[end]:
-                    pair[i] = 0
-                elif (rank := rank_of(data[i : after[end]])) is None:
-                    pair[i] = 0
+        after, before = np.arange(1, n + 1), np.arange(-1, n)
+        pair = np.full(n, -1, np.int64)  # the rank of the pair that starts there
+        pair[:-1] = np.where(first[1:-1], -1, self._rank_of(token[:-1], token[1:]))
+        queue, buckets = self.queue, {}
+
+        def put(places: np.ndarray, ranks: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            places, ranks = places[order], ranks[order]
+            cuts = np.flatnonzero(np.diff(ranks, prepend=-1))
+            ends = np.append(cuts, len(ranks))[1:]
+            for rank, start, end in zip(ranks[cuts].tolist(), cuts.tolist(), ends.tolist(), strict=True):
+                if rank in buckets:
+                    buckets[rank].append(places[start:end])
                 else:
-                    pair[i] = rank + 1
-                    queue.push(rank, i)
-                    smaller = rank < lowest
-                if not first[i]:
-                    left = before[i]
-                    if (rank := rank_of(data[left:end])) is None:
-                        pair[left] = 0
-                    else:
-                        pair[left] = rank + 1
-                        queue.push(rank, left)
-                        smaller = smaller or rank < lowest
-                if smaller:
-                    break  # that one is next
+                    buckets[rank] = [places[start:end]]
+                    queue.mark(rank)
+
+        waiting = [np.flatnonzero(pair >= 0)]
+        limit = 0  # ranks that wait are no lower
+        while True:
+            rank = queue.lowest()
+            if rank is None or rank >= limit:
+                places = np.concatenate([np.zeros(0, np.int64), *waiting])
+                waiting = []
+                places = places[pair[places] >= 0]
+                put(places, pair[places])
+                rank = queue.lowest()
+                if rank is None:
+                    break
+                limit = ((rank >> WORD_BITS) + 1) << WORD_BITS
+            parts = buckets.pop(rank)
+            queue.clear(rank)
+            at = np.unique(parts[0] if len(parts) == 1 else np.concatenate(parts))
+            at = at[pair[at] == rank]  # the others are stale: their tokens were merged meanwhile
+            if not len(at):
+                continue
+            of = match_of[at]
+            leftmost = np.append(True, of[1:] != of[:-1])
+            if not leftmost.all():
+                buckets[rank] = [at[~leftmost]]
+                queue.mark(rank)
+                at = at[leftmost]
+            gone = after[at]
+            end = after[gone]
+            after[at] = end
+            before[end] = at
+            token[at] = rank
+            pair[gone] = -1
+            pair[at] = -1
+            left = before[at[~first[at]]]
+            inner = ~first[end]
+            pair[left] = self._rank_of(token[left], np.full(len(left), rank))
+            pair[at[inner]] = self._rank_of(np.full(int(inner.sum()), rank), token[end[inner]])
+            new = np.concatenate([left, at[inner]])
+            ranks = pair[new]
+            now = (ranks >= 0) & (ranks < limit)
+            if now.any():
+                put(new[now], ranks[now])
+            waiting.append(new[ranks >= limit])
+        is_token = np.zeros(n, bool)
+        at = starts.copy()
+        while len(at):
+            is_token[at] = True
+            at = after[at]
+            at = at[~first[at]]
+        kept = token[is_token].tolist()
+        ends = np.cumsum(np.add.reduceat(is_token, starts)).tolist()
+        return [kept[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def merge_one(self, data: bytes) -> list[int]:
+        """Ids of the bytes of one match."""
+        n = len(data)
+        rank_of, queue = self.ranks.get, self.queue
+        after, before = list(range(1, n + 1)), list(range(-1, n))
+        pair = [-1] * n
+        for i in range(n - 1):
+            if (rank := rank_of(data[i : i + 2])) is not None:
+                pair[i] = rank
+                queue.push(rank, i)
+        while (lowest := queue.lowest()) is not None:
+            bucket = queue.buckets[lowest]
+            i = heappop(bucket)
             if not bucket:
                 queue.clear(lowest)
-        found, ranks = [], self.ranks
-        for i, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-            ids, end = [], i + size
-            while i < end:
-                following = after[i]
-                ids.append(ranks[data[i:following]])
-                i = following
-            found.append(ids)
-        return found
+            if pair[i] != lowest:
+                continue  # stale
+            gone = after[i]
+            end = after[gone]
+            after[i] = end
+            before[end] = i
+            pair[gone] = pair[i] = -1
+            if end < n and (rank := rank_of(data[i : after[end]])) is not None:
+                pair[i] = rank
+                queue.push(rank, i)
+            if i > 0:
+                left = before[i]
+                rank = rank_of(data[left:end])
+                pair[left] = -1 if rank is None else rank
+                if rank is not None:
+                    queue.push(rank, left)
+        ids, i = [], 0
+        while i < n:
+            ids.append(self.ranks[data[i : after[i]]])
+            i = after[i]
+        return ids
 
     def _learn(self, matches: set[str]) -> None:
         """Remember the ids of matches that are not known."""
-        start = held = 0
-        new, rank_of = [], self.ranks.get
+        short, known, rank_of = [], self.known, self.ranks.get
         for match in matches:
             data = match.encode()
             whole = rank_of(data)
-            if whole is None:
-                new.append((match, data))
+            if whole is not None:
+                known[match] = array.array("I", (whole,)).tobytes()
+            elif len(data) > LONGEST_TOGETHER:
+                known[match] = array.array("I", self.merge_one(data)).tobytes()
             else:
-                self.known[match] = array.array("I", (whole,)).tobytes()
-        for i, (_, data) in enumerate(new):
-            held += len(data)
-            if held >= MERGED_TOGETHER or i + 1 == len(new):
-                group = new[start : i + 1]
-                merged = self.merge([data for _, data in group])
-                self.known.update(
-                    (match, array.array("I", ids).tobytes()) for (match, _), ids in zip(group, merged, strict=True)
-                )
-                start, held = i + 1, 0
-        self.held += 250 * len(matches)
+                short.append((match, data))
+        for start in range(0, len(short), TOGETHER):
+            group = short[start : start + TOGETHER]
+            for (match, _), ids in zip(group, self.merge_many([data for _, data in group]), strict=True):
+                known[match] = array.array("I", ids).tobytes()
+        self.held += KNOWN_COST * len(matches)
 
     def _matches(self, text: str) -> Iterator[list[str]]:
         if len(text) <= BLOCK:
@@ -207,27 +271,35 @@ class BytePairs:
             yield block
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit numbers."""
+        """Each text's ids as little-endian 32-bit numbers.
+
+        Matches are held as numbers of the distinct ones until all that are new can be merged together.
+        """
         coded: list[list[bytes]] = [[] for _ in texts]
-        held: list[tuple[int, list[str]]] = []
-        size = 0
+        held: list[tuple[int, array.array]] = []
+        number: dict[str, int] = {}
 
         def flush() -> None:
             if self.held > KNOWN_BYTES:
                 self.known, self.held = {}, 0
-            new = set(chain.from_iterable(m for _, m in held)).difference(self.known)
+            new = number.keys() - self.known.keys()
             self._learn(new)
-            for i, matches in held:
-                coded[i].append(b"".join(map(self.known.__getitem__, matches)))
+            ids = list(map(self.known.__getitem__, number)).__getitem__
+            for i, numbers in held:
+                coded[i].append(b"".join(map(ids, numbers)))
             for match in [m for m in new if len(m) > LONGEST_KNOWN]:
                 del self.known[match]
             held.clear()
+            number.clear()
 
+        size = 0
         for i, text in enumerate(texts):
             for matches in self._matches(text):
-                held.append((i, matches))
+                for match in set(matches).difference(number):
+                    number[match] = len(number)
+                held.append((i, array.array("I", map(number.__getitem__, matches))))
                 size += len(matches)
-                if size >= BLOCK:
+                if size >= HELD or len(number) >= TOGETHER:
                     flush()
                     size = 0
         flush()
@@ -246,12 +318,12 @@ def byte_pairs(path: str, pattern: str) -> BytePairs:
     return BytePairs(path, pattern)
 
 
-def _in_parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``OUTPUT_BYTES``."""
+def _in_parts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``most`` bytes."""
     start = held = 0
     for i, size in enumerate(sizes):
         held += size
-        if held >= OUTPUT_BYTES:
+        if held >= most:
             yield start, i + 1
             start, held = i + 1, 0
     if start < len(sizes):
@@ -270,7 +342,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         coder = byte_pairs(path, pattern)
         for batch in batches:
             doc_id, texts = batch.column("doc_id"), batch.column("text")
-            for start, end in _in_parts(pc.binary_length(texts).fill_null(0).to_pylist()):
+            for start, end in _in_parts(pc.binary_length(texts).fill_null(0).to_pylist(), TEXT_BYTES):
                 coded = coder.encode([t or "" for t in texts[start:end].to_pylist()])
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
@@ -291,7 +363,7 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
         coder = byte_pairs(path, pattern)
         for batch in batches:
             ids = batch.column("ids")
-            for start, end in _in_parts([4 * (n or 0) for n in ids.value_lengths().to_pylist()]):
+            for start, end in _in_parts([4 * (n or 0) for n in ids.value_lengths().to_pylist()], OUTPUT_BYTES):
                 found = [coder.decode(x.as_py()) if x.is_valid else None for x in ids[start:end]]
                 part = batch.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays(
