@@ -5,22 +5,28 @@ groups' roots form the tree of the dataset in the same way. Of a tree, the leave
 ``every``-th level above are stored. A proof needs the levels between as well: they are computed again from
 the stored nodes of one aligned subtree, give their siblings, and are gone.
 
-Digests are lower-case hex SHA-256, of digests in that form. All work is done by DataFrame functions; a row of a
-task holds one subtree of ``ARITY ** every`` nodes at most.
+Digests are lower-case hex SHA-256, of digests in that form. Spark hashes the rows, places the leaves and brings each
+subtree together, a row of ``ARITY ** every`` nodes at most; what lies inside a subtree is hashed in Python.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import sha256
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scoreloom.sources.shared import publish
 
 ARITY = 3
 ALL_GROUPS = "all"
+SUBTREES_AT_ONCE = 64  # whose proofs a task holds
 EVERY = 4  # levels from one stored level to the next: subtrees of 81 nodes
 NO_STEPS = "array<struct<left:string,right:string>>"
 _PLACE_BITS = 33  # of monotonically_increasing_id: partition above, place in the partition below
@@ -74,54 +80,79 @@ def placed_in_groups(rows: DataFrame, group: str, order: Sequence[Column | str])
     )
 
 
-def _level_up(nodes: Column) -> Column:
-    runs = F.sequence(F.lit(0), F.ceil(F.size(nodes) / ARITY).cast("int") - 1)
-    return F.transform(runs, lambda r: F.sha2(F.array_join(F.slice(nodes, r * ARITY + 1, F.lit(ARITY)), ""), 256))
-
-
 def _subtrees(nodes: DataFrame, every: int, carried: Sequence[str] = ()) -> DataFrame:
-    """One row per aligned subtree of a stored level: ``grp``, ``block``, ``n``, ``members`` in order and the
-    levels regenerated from them, ``level_0`` to ``level_<every>``.
+    """One row per aligned subtree of a stored level: ``grp``, ``block``, ``n`` and its ``members`` in order.
 
-    ``n`` counts the nodes of the whole level. A tree that ends inside the subtree ends at its root: from there
-    on the levels are that one node.
+    ``n`` counts the nodes of the whole level.
     """
-    width = ARITY**every
-    found = (
+    return (
         nodes.where("n > 1")
-        .groupBy("grp", F.floor(F.col("idx") / width).alias("block"))
+        .groupBy("grp", F.floor(F.col("idx") / ARITY**every).alias("block"))
         .agg(F.sort_array(F.collect_list(F.struct("idx", "digest", *carried))).alias("members"), F.first("n").alias("n"))
-        .withColumn("level_0", F.col("members.digest"))
     )
-    for level in range(every):
-        below = F.col(f"level_{level}")
-        ended = (F.col("n") <= width) & (F.size(below) == 1)
-        found = found.withColumn(f"level_{level + 1}", F.when(ended, below).otherwise(_level_up(below)))
-    return found
 
 
-def _siblings(every: int) -> Column:
-    """For each member of a subtree, its siblings level by level: those before and those after it in its run.
+def subtree_root(nodes: list[str], every: int, is_whole: bool) -> str:
+    """The node ``every`` levels above, or the root of the tree that ends inside the subtree."""
+    for _ in range(every):
+        if is_whole and len(nodes) == 1:
+            break
+        nodes = _parents(nodes)
+    return nodes[0]
 
-    Its number in the subtree is its place in ``members``.
-    """
 
-    def steps(place: Column) -> Column:
-        found = []
-        for level in range(every):
-            nodes = F.col(f"level_{level}")
-            mine = F.floor(place / ARITY**level).cast("int")
-            start = mine - F.pmod(mine, F.lit(ARITY))
-            left = F.slice(nodes, start + 1, mine - start)
-            right = F.slice(nodes, mine + 2, start + ARITY - 1 - mine)
-            step = F.struct(F.array_join(left, "").alias("left"), F.array_join(right, "").alias("right"))
-            ended = (F.col("n") <= ARITY**every) & (F.size(nodes) == 1)
-            found.append(F.when(~ended, step))
-        return F.array_compact(F.array(*found))
-
-    return F.transform(
-        "members", lambda member, place: F.struct(member.alias("node"), steps(place).alias("steps"))
-    )
+def _parents(nodes: list[str]) -> list[str]:
+    return [sha256("".join(nodes[i : i + ARITY]).encode()).hexdigest() for i in range(0, len(nodes), ARITY)]
+
+
+def subtree_paths(nodes: list[str], every: int, is_whole: bool) -> list[list[dict[str, str]]]:
+    """For each node of a subtree's lowest level its siblings, level by level: those before and those after it in its run.
+
+    The levels between are made here and gone afterwards. ``is_whole``: the tree ends inside the subtree, at
+    its root.
+    """
+    paths: list[list[dict[str, str]]] = [[] for _ in nodes]
+    level, width = nodes, 1
+    for _ in range(every):
+        if is_whole and len(level) == 1:
+            break
+        steps = []
+        for i in range(len(level)):
+            start = i - i % ARITY
+            steps.append({"left": "".join(level[start:i]), "right": "".join(level[i + 1 : start + ARITY])})
+        for place, path in enumerate(paths):
+            path.append(steps[place // width])
+        level, width = _parents(level), width * ARITY
+    return paths
+
+
+def _with_paths(subtrees: DataFrame, every: int, own: Sequence[str], also: Sequence[str]) -> DataFrame:
+    """Members of subtrees (``grp``, ``n``, ``members``, ``also`` and the ``path`` of their root), each with its own path."""
+    step = pa.struct([("left", pa.string()), ("right", pa.string())])
+    members = subtrees.schema["members"].dataType.elementType
+    shape = [subtrees.schema["grp"], members["idx"], members["digest"], *(members[c] for c in own)]
+    shape += [*(subtrees.schema[c] for c in also), subtrees.schema["path"]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, SUBTREES_AT_ONCE):
+                batch = whole.slice(start, SUBTREES_AT_ONCE)
+                lists = batch.column("members")
+                sizes, flat = lists.value_lengths().to_pylist(), lists.flatten()
+                digests, at, paths = flat.field("digest").to_pylist(), 0, []
+                above, n = batch.column("path").to_pylist(), batch.column("n").to_pylist()
+                for row, size in enumerate(sizes):
+                    found = subtree_paths(digests[at : at + size], every, n[row] <= ARITY**every)
+                    paths += [path + above[row] for path in found]
+                    at += size
+                parent = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                columns = [batch.column("grp").take(parent)]
+                columns += [flat.field(c) for c in ("idx", "digest", *own)]
+                columns += [batch.column(c).take(parent) for c in also]
+                columns.append(pa.array(paths, pa.list_(step)))
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in shape])
+
+    return subtrees.select("grp", "n", "members", *also, "path").mapInArrow(run, T.StructType(shape))
 
 
 @dataclass(frozen=True)
@@ -158,21 +189,8 @@ class Trees:
             own = carried if level == 0 else ()
             tops = nodes.where("n = 1").join(above, "grp").select("grp", "idx", "digest", *own, *also, "path")
             if found is not None:
-                parents = found.select("grp", F.col("idx").alias("block"), F.col("path").alias("_above"), *also)
-                below = (
-                    _subtrees(nodes, self.every, own)
-                    .select("grp", "block", _siblings(self.every).alias("found"))
-                    .join(parents, ["grp", "block"])
-                    .select("grp", *also, "_above", F.explode("found").alias("found"))
-                    .select(
-                        "grp",
-                        "found.node.idx",
-                        "found.node.digest",
-                        *[f"found.node.{c}" for c in own],
-                        *also,
-                        F.concat("found.steps", "_above").alias("path"),
-                    )
-                )
+                roots = found.select("grp", F.col("idx").alias("block"), "path", *also)
+                below = _with_paths(_subtrees(nodes, self.every, own).join(roots, ["grp", "block"]), self.every, own, also)
                 tops = tops.union(below)
             found = tops
         return found
@@ -187,12 +205,17 @@ def grow(leaves: DataFrame, every: int = EVERY) -> Trees:
     stored = [leaves]
     most = leaves.agg(F.max("n")).first()[0] or 0
     width = ARITY**every
+
+    @F.pandas_udf("string")
+    def root_of(members: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([subtree_root(list(m), every, k <= width) for m, k in zip(members, n, strict=True)], dtype=object)
+
     while most > 1:
         up = _subtrees(stored[-1], every).select(
             "grp",
             F.col("block").alias("idx"),
             F.ceil(F.col("n") / width).alias("n"),
-            F.get(f"level_{every}", F.lit(0)).alias("digest"),
+            root_of("members.digest", "n").alias("digest"),
         )
         stored.append(publish(up, "merkle-level"))
         most = -(-most // width)
