@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from scoreloom.sources.files import children, delete
+
 VERSION = re.compile(r"-v[0-9a-f]{32}$")
 NEXT = "__next_"  # between a table's name and the id of the version that is to replace it
 DEFAULT_FORMAT = "parquet"
@@ -131,29 +133,18 @@ def remove_old_versions(spark: SparkSession, table: str) -> int:
         spark.sql(f"DROP TABLE {successor}")
     current = table_location(spark, table)
     base = VERSION.sub("", current)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
-    gone = 0
-    for status in files.listStatus(path(base).getParent()):
-        name = status.getPath().toString().rstrip("/")
-        own = _bare(VERSION.sub("", name)) == _bare(base)
-        if own and _bare(name) != _bare(current):
-            gone += files.delete(status.getPath(), True)
-    return gone
+    storage, first = base.rsplit("/", 1)
+    own = [n for n in children(spark, storage) if VERSION.sub("", n) == first]
+    return sum(delete(spark, f"{storage}/{n}") for n in own if n != current.rsplit("/", 1)[1])
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drop a table with all its versions."""
     if finish_overwrite(spark, table):
         remove_old_versions(spark, table)
-        path = spark._jvm.org.apache.hadoop.fs.Path(table_location(spark, table))
+        place = table_location(spark, table)
         spark.sql(f"DROP TABLE {table}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _bare(path: str) -> str:
-    """A path without its scheme, which listings and the catalog write in different ways."""
-    return "/" + re.sub(r"^[a-z0-9]+:", "", path).lstrip("/")
+        delete(spark, place)
 
 
 def _columns_of(spark: SparkSession, table: str) -> str:

@@ -1,0 +1,140 @@
+"""The bucketed table: equal to the plain upsert, and rewritten only where it is touched."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+
+from scoreloom.operators.upsert import DuplicateSourceKey, upsert
+from scoreloom.sources import buckets
+from scoreloom.sources.buckets import BucketedTable
+
+SCHEMA = "champion string, n int"
+
+
+@pytest.fixture
+def made(spark, tmp_path):
+    def make(rows, key=("champion",), schema=SCHEMA, **how):
+        frame = spark.createDataFrame(rows, schema)
+        table = BucketedTable(str(tmp_path / "table"), frame.schema, key, **{"buckets": 8, **how})
+        table.replace(frame)
+        return table
+
+    return make
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def files(spark, table):
+    """By bucket, the names of its files."""
+    found = {}
+    for name in table.read(spark).inputFiles():
+        found.setdefault(int(name.split("bucket=")[1].split("/")[0]), set()).add(name)
+    return found
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_equal_to_the_plain_upsert(spark, made, null_safe):
+    target = [(f"c{i}", i) for i in range(60)] + [(None, 1)]
+    source = [(f"c{i}", 100 + i) for i in range(50, 70)] + [(None, 2)]
+    table = made(target, null_safe=null_safe)
+    frame = spark.createDataFrame(source, SCHEMA)
+    expected = upsert(spark.createDataFrame(target, SCHEMA), frame, null_safe=null_safe)
+    table.upsert(frame)
+    assert rows(table.read(spark)) == rows(expected)
+    expected = rows(upsert(expected, frame, null_safe=null_safe))
+    table.upsert(frame.select("n", "champion"))
+    assert rows(table.read(spark)) == expected
+
+
+def test_untouched_buckets_keep_their_files(spark, made):
+    table = made([(f"c{i}", i) for i in range(200)])
+    before = files(spark, table)
+    assert len(before) == 8
+    touched = table.upsert(spark.createDataFrame([("c3", -3), ("new", 0)], SCHEMA))
+    after = files(spark, table)
+    changed = {b for b in after if after[b] != before[b]}
+    assert touched == len(changed) in (1, 2)
+    assert all(not (after[b] & before[b]) for b in changed)
+    assert table.read(spark).where("champion = 'c3'").first()["n"] == -3
+
+
+def test_only_touched_buckets_are_read(spark, made, monkeypatch):
+    table = made([(f"c{i}", i) for i in range(200)])
+    read = []
+    plain = buckets.upsert
+    monkeypatch.setattr(buckets, "upsert", lambda before, *a: read.extend(before.inputFiles()) or plain(before, *a))
+    table.upsert(spark.createDataFrame([("c3", -3)], SCHEMA))
+    assert len({name.split("bucket=")[1].split("/")[0] for name in read}) == 1
+
+
+def test_a_change_that_fails_changes_nothing(spark, made, monkeypatch):
+    table = made([(f"c{i}", i) for i in range(50)])
+    before = rows(table.read(spark))
+
+    def fails(batches):
+        for batch in batches:
+            raise RuntimeError("the source broke off")
+            yield batch
+
+    broken = spark.createDataFrame([("c1", 5)], SCHEMA).mapInPandas(fails, SCHEMA)
+    with pytest.raises(PySparkException):
+        table.upsert(broken)
+    source = spark.createDataFrame([("c1", 5)], SCHEMA)
+    with monkeypatch.context() as patch:  # the run ends when the rows are written and the manifest is not
+        patch.setattr(BucketedTable, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.upsert(source)
+    incomplete = Path(table.base) / "manifests" / "2"
+    incomplete.mkdir()
+    assert rows(table.read(spark)) == before
+    table.upsert(source)
+    assert rows(table.read(spark)) == sorted([r for r in before if r[0] != "c1"] + [("c1", 5)], key=repr)
+
+
+def test_two_source_rows_for_one_row(spark, made):
+    table = made([("a", 1)])
+    with pytest.raises(DuplicateSourceKey):
+        table.upsert(spark.createDataFrame([("a", 1), ("a", 2)], SCHEMA))
+    table.upsert(spark.createDataFrame([("n", 1), ("n", 2)], SCHEMA))
+    assert rows(table.read(spark)) == [("a", 1), ("n", 1), ("n", 2)]
+
+
+def test_rows_without_a_key_are_spread(spark, made):
+    table = made([(None, i) for i in range(300)])
+    assert len(files(spark, table)) == 8
+    table.upsert(spark.createDataFrame([(None, -1)], SCHEMA))
+    assert table.read(spark).count() == 301
+
+
+def test_empty_tables_and_sources(spark, made):
+    table = made([])
+    assert rows(table.read(spark)) == []
+    assert table.upsert(spark.createDataFrame([], SCHEMA)) == 0
+    assert table.upsert(spark.createDataFrame([("a", 1)], SCHEMA)) == 1
+    assert rows(table.read(spark)) == [("a", 1)]
+    assert table.change(spark.createDataFrame([("a", 1)], SCHEMA), lambda before, _: before.where("false")) == 1
+    assert rows(table.read(spark)) == []
+
+
+def test_a_key_of_two_columns(spark, made):
+    schema = "puuid string, champion string, n int"
+    table = made([("p", "A", 1), ("p", "B", 2), (None, "A", 3)], ("puuid", "champion"), schema)
+    table.upsert(spark.createDataFrame([("p", "B", 20), ("q", "A", 30), (None, "A", 40)], schema))
+    expected = [("p", "A", 1), ("p", "B", 20), ("q", "A", 30), (None, "A", 3), (None, "A", 40)]
+    assert rows(table.read(spark)) == sorted(expected, key=repr)
+
+
+def test_old_versions_go_when_no_kept_manifest_names_them(spark, made):
+    table = made([(f"c{i}", i) for i in range(100)])
+    for n in range(4):
+        table.upsert(spark.createDataFrame([("c1", n), ("c2", n)], SCHEMA))
+    before = rows(table.read(spark))
+    assert table.remove_old_versions(spark, keep=2) > 0
+    assert table.remove_old_versions(spark, keep=2) == 0
+    assert rows(table.read(spark)) == before and table.manifest_number(spark) == 5
+    assert len(list((Path(table.base) / "manifests").iterdir())) == 2
+    table.upsert(spark.createDataFrame([("c1", 9)], SCHEMA))
+    assert ("c1", 9) in rows(table.read(spark))

@@ -5,7 +5,8 @@ import pytest
 from scoreloom.operators.games import every_player_games
 from scoreloom.operators.stats import champion_stats
 from scoreloom.sources.landing import documents_from_strings, land_documents, read_documents
-from scoreloom.streaming.live import LiveStats
+from scoreloom.streaming import live as live_module
+from scoreloom.streaming.live import LiveStats, Run, compacted
 from scoreloom.workload import matches as m
 
 
@@ -134,3 +135,71 @@ def test_old_sums_are_removed(spark, setup, tmp_path):
     kept = sorted(p.name for p in (tmp_path / "live" / "sums").iterdir())
     assert kept == ["batch_id=3", "batch_id=4", "batch_id=5"]
     assert run(spark, live, landing)[0][1] == 6
+
+
+def test_runs_grow_with_the_logarithm_of_the_batches():
+    runs, most, rewritten = [], 0, 0
+    for n in range(4096):
+        before, runs = runs, compacted([*runs, Run(n, n, 10)], fan_in=4)
+        assert runs[0].first == 0 and runs[-1].last == n
+        assert all(a.last + 1 == b.first for a, b in zip(runs, runs[1:], strict=False))
+        assert sum(r.rows for r in runs) == 10 * (n + 1)
+        rewritten += 0 if runs[-1].first == n else runs[-1].rows
+        most = max(most, len(runs))
+        if n + 1 in (64, 4096):
+            assert len(runs) == 1 and most <= 3 * (n + 1).bit_length() / 2 + 1
+    assert rewritten <= 10 * 4096 * 6  # each game is written again at most once a size
+
+
+def test_runs_of_the_largest_size_are_left_alone():
+    runs = []
+    for n in range(64):
+        runs = compacted([*runs, Run(n, n, 10)], fan_in=2, most_rows=80)
+    assert runs == [Run(n, n + 7, 80) for n in range(0, 64, 8)]
+
+
+def test_batches_are_compacted_and_counted_once(spark, tmp_path):
+    live = LiveStats(str(tmp_path / "live"), fan_in=2)
+    landed = []
+    for n in range(9):
+        new = [doc(f"M{n}", entry("a", "X", n, True)), doc(f"M{max(0, n - 3)}", entry("a", "X", 1, True))]
+        landed += new
+        live.take_batch(documents_from_strings(spark, new), n)
+        assert live.games(spark).count() == n + 1
+        assert len(live.runs(spark)) == bin(n + 1).count("1")
+    folders = sorted(p.name for p in (tmp_path / "live" / "games").iterdir())
+    assert {"run=0-7", "run=8-8"} <= set(folders) and len(folders) <= 5
+    opened = {name.split("run=")[1].split("/")[0] for name in live.games(spark).inputFiles()}
+    assert opened == {"0-7", "8-8"}
+    once = {(f"M{n}", n) for n in range(9)}
+    assert {(r.match_id, r.batch_id) for r in live.games(spark).collect()} == once
+    assert rows(live.stats(spark))[0][1] == 9
+
+
+def test_a_failure_during_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    live = LiveStats(str(tmp_path / "live"), fan_in=2)
+    batches = [documents_from_strings(spark, [doc(f"M{n}", entry("a", "X", n, True))]) for n in range(4)]
+    for n in range(3):
+        live.take_batch(batches[n], n)
+    before = rows(live.stats(spark))
+    plain = LiveStats._write_run
+
+    def breaks(self, games, run):
+        plain(self, games, run)
+        if run.batches > 1:
+            raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(LiveStats, "_write_run", breaks)
+        with pytest.raises(RuntimeError):
+            live.take_batch(batches[3], 3)
+    assert rows(live.stats(spark)) == before and live.games(spark).count() == 3
+    for _ in range(2):  # the second one is a replay of a batch that was compacted
+        live.take_batch(batches[3], 3)
+        assert live.runs(spark) == [Run(0, 3, 4)]
+        assert live.games(spark).count() == 4 and rows(live.stats(spark))[0][1] == 4
+
+
+def test_nothing_counted_yet(spark, tmp_path):
+    live = LiveStats(str(tmp_path / "live"))
+    assert live.stats(spark).count() == 0 and live.games(spark).count() == 0 and live_module.compacted([]) == []
