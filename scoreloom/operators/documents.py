@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +14,10 @@ from scoreloom.schemas import DOCUMENT_SCHEMA, INDEX_SCHEMA
 # Single-quoted text is not JSON for the sources we read.
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
+# A text value, or a number or other word, after the key of a player id; an object or array is cut short.
+PLAYER_ID = r'"puuid"\s*:\s*("[^"]*"|[^\s",\]}]+)'
+FEW_PLAYERS = 4  # that are searched one by one
+
 GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 OK = "ok"
@@ -46,8 +53,8 @@ def with_parsed(documents: DataFrame, where: Column | None = None) -> DataFrame:
     )
 
 
-def with_status(documents: DataFrame) -> DataFrame:
-    """Add ``payload_status``: whether games can be extracted, and if not, why.
+def parsed_status() -> Column:
+    """Of a parsed document, whether games can be extracted, and if not, why.
 
     Exactly the documents that give participant rows are ``ok``: those with a match id, which
     may be empty, and an entry that is an object.
@@ -57,7 +64,7 @@ def with_status(documents: DataFrame) -> DataFrame:
     listed = F.coalesce(F.size(entries) > 0, F.lit(False))
     usable = F.coalesce(F.exists(entries, lambda p: p.isNotNull()), F.lit(False))
     named = F.col("match_id").isNotNull()
-    status = (
+    return (
         F.when(usable & named, OK)
         .when(keys.isNull(), INVALID_JSON)
         .when(~listed & F.array_contains(keys, "status"), API_ERROR)
@@ -65,7 +72,11 @@ def with_status(documents: DataFrame) -> DataFrame:
         .when(~named, NO_MATCH_ID)
         .otherwise(NO_USABLE_PARTICIPANTS)
     )
-    return with_parsed(documents).withColumn("payload_status", status).drop("doc", "match_id")
+
+
+def with_status(documents: DataFrame) -> DataFrame:
+    """Add ``payload_status``, see ``parsed_status``."""
+    return with_parsed(documents).withColumn("payload_status", parsed_status()).drop("doc", "match_id")
 
 
 def quarantine(documents: DataFrame) -> DataFrame:
@@ -136,6 +147,21 @@ def may_name(puuid: str) -> Column:
     return payload.contains(puuid) | payload.contains("\\")
 
 
+def named_ids() -> Column:
+    """What stands in a payload's text as a value of ``puuid``, without parsing it: all ids that are written without
+    escapes."""
+    values = F.regexp_extract_all("json_payload", F.lit(PLAYER_ID), F.lit(1))
+    return F.transform(values, lambda value: F.trim(value, F.lit('"')))
+
+
+def may_name_any(puuids: list[str]) -> Column:
+    """Whether a payload can contain one of these player ids, from its text alone; see ``may_name``."""
+    if len(puuids) <= FEW_PLAYERS:
+        return reduce(or_, [may_name(p) for p in puuids], F.lit(False))
+    escaped = F.col("json_payload").contains("\\")
+    return escaped | F.exists(named_ids(), lambda value: value.isin(puuids))
+
+
 def documents_naming(documents: DataFrame, puuid: str) -> DataFrame:
     """The documents that may name a player, without parsing them."""
     row = F.array(F.struct("json_payload"))

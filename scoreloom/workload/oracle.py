@@ -293,6 +293,20 @@ SELECT puuid, match_id, champion, kills, deaths, assists, win FROM first_games""
     "silver_tracked_players": f"""WITH {_BASE}
 SELECT puuid, match_id, champion, kills, deaths, assists, win FROM first_games
 WHERE puuid IN (SELECT 'P' || s_suppkey FROM supplier WHERE s_acctbal > 0)""",
+    "silver_listed_players": f"""WITH {_BASE}
+SELECT puuid, match_id, champion, kills, deaths, assists, win FROM first_games
+WHERE puuid IN (SELECT 'P' || (r_regionkey * 2 + 1) FROM region)""",
+    "routed_games": f"""WITH {_BASE},
+repeated AS (
+  SELECT g.*, l.l_orderkey % 50 AS kind, copy FROM games g JOIN lines l USING (doc), range(5) c(copy)
+  WHERE copy = 0 OR l.l_orderkey % 50 = 18)
+SELECT puuid, CASE kind WHEN 4 THEN '' WHEN 5 THEN '' WHEN 9 THEN (SELECT l_orderkey::VARCHAR FROM lines l WHERE l.doc = r.doc)
+    WHEN 11 THEN '{{"q":"' || match_id || '"}}' ELSE match_id END AS match_id, champion,
+  CASE WHEN kind = 15 THEN NULL WHEN copy > 0 THEN ('9' || kills)::INTEGER ELSE kills END AS kills, deaths,
+  CASE WHEN kind <> 17 THEN assists END AS assists, CASE WHEN kind <> 16 THEN win END AS win
+FROM repeated r WHERE kind NOT IN (0, 1, 2, 3, 6, 7, 8, 12, 14)""",
+    "routed_quarantine": f"""WITH {_DAMAGED}
+SELECT json_payload, payload_status FROM damaged WHERE payload_status <> 'ok'""",
     "gold_champion_stats": f"""WITH {_BASE} {_stats('games')}
 ORDER BY total_partidas DESC, champion""",
     "gold_one_player": f"""WITH {_BASE},
@@ -301,6 +315,9 @@ mine AS (SELECT * FROM first_games WHERE puuid = '{PLAYER}') {_stats('mine')}"""
     "gold_summed_batches": f"WITH {_BASE} {_stats('games')}",
     "gold_upsert": _windowed_stats("champion"),
     "gold_upsert_players": _windowed_stats("puuid, champion"),
+    "gold_upsert_bucketed": _windowed_stats("champion"),
+    "gold_upsert_players_bucketed": _windowed_stats("puuid, champion"),
+    "table_schema_change": f"WITH {_BASE} {_stats('games')}",
     "table_roundtrip": f"""WITH {_BASE}
 SELECT match_id, puuid, champion, kills, deaths, assists, win FROM games""",
     "stage_counts": f"""WITH {_BASE},
@@ -316,6 +333,15 @@ SELECT 'bronze' AS stage, count(*) AS n FROM mine
 UNION ALL SELECT 'silver', count(*) FROM mine
 UNION ALL SELECT 'gold', count(DISTINCT champion) FROM mine""",
     "stream_gold": f"WITH {_BASE} {_stats('first_games')}",
+    "stream_latest": f"""WITH {_BASE},
+played AS (
+  SELECT own_puuid AS puuid, match_id, game_end AS game_ts FROM lines
+  UNION SELECT rival_puuid, match_id, game_end FROM lines)
+SELECT puuid, CAST(rank AS INTEGER) AS rank, match_id, game_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY puuid ORDER BY game_ts DESC, match_id) AS rank
+  FROM played) WHERE rank <= {LATEST_MATCHES}""",
+    "feed_snapshots": f"""WITH {_FEED}
+SELECT source, champion, win_rate_pct, matches_played FROM feed, (VALUES ('good'), ('failing')) s(source)""",
     "champion_feed": f"WITH {_FEED} SELECT * FROM feed ORDER BY {_BEST}",
     "normalize_columns": f"WITH {_FEED} SELECT champion, win_rate_pct, matches_played FROM feed",
     "feed_or_fallback": f"""WITH {_FEED},

@@ -21,9 +21,12 @@ from scoreloom.operators import games as extract
 from scoreloom.operators import stats as statistics
 from scoreloom.operators.upsert import check_source, upsert
 from scoreloom.plans import daily, panels
+from scoreloom.schemas import STATS_SCHEMA
+from scoreloom.sources.buckets import BucketedTable
 from scoreloom.sources.landing import land_documents, read_documents
 from scoreloom.sources.shared import fresh_path, publish
 from scoreloom.sources.tables import overwrite_table, scan_table
+from scoreloom.streaming.latest import LatestMatches
 from scoreloom.streaming.live import LiveStats
 from scoreloom.workload import matches as m
 
@@ -106,6 +109,22 @@ def silver_tracked_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.tracked_player_games(m.documents(spark, sf_dir), players)
 
 
+def silver_listed_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short list, whose ids are looked for in the texts before a document is parsed."""
+    some = m.table(spark, sf_dir, "region").select(F.concat(F.lit("P"), F.col("r_regionkey") * 2 + 1).alias("puuid"))
+    return extract.tracked_player_games(m.documents(spark, sf_dir), some)
+
+
+def routed_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games of the one pass that also finds the documents without games."""
+    return extract.routed(m.damaged_documents(spark, sf_dir))[0]
+
+
+def routed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other part of that pass."""
+    return extract.routed(m.damaged_documents(spark, sf_dir))[1]
+
+
 # --- statistics -------------------------------------------------------------------------
 
 
@@ -153,6 +172,25 @@ def gold_upsert_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, source, key=["puuid", "champion"])
 
 
+def gold_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert of ``gold_upsert`` into a bucketed table, of which only the touched buckets are rewritten."""
+    earlier, later = _two_windows(spark, sf_dir)
+    table = BucketedTable(fresh_path(spark, "bucketed"), STATS_SCHEMA, ("champion",), buckets=32)
+    table.replace(statistics.champion_stats(earlier))
+    table.upsert(statistics.champion_stats(later))
+    return table.read(spark)
+
+
+def gold_upsert_players_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per player and character."""
+    earlier, later = _two_windows(spark, sf_dir)
+    before = statistics.player_champion_stats(earlier)
+    table = BucketedTable(fresh_path(spark, "bucketed"), before.schema, ("puuid", "champion"), buckets=32)
+    table.replace(before)
+    table.upsert(statistics.player_champion_stats(later))
+    return table.read(spark)
+
+
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written twice; the second write replaces the first."""
     name = f"games_{uuid4().hex}"
@@ -162,6 +200,15 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, name)
 
 
+def table_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is moved by an overwrite from itself and then gets other columns and another format."""
+    name = f"games_{uuid4().hex}"
+    overwrite_table(m.games(spark, sf_dir), name)
+    overwrite_table(scan_table(spark, name).where("match_id IS NOT NULL"), name)
+    overwrite_table(statistics.champion_stats(scan_table(spark, name)), name, fmt="orc")
+    return scan_table(spark, name)
+
+
 def _daily_counts(spark: SparkSession, sf_dir: str, latest: int | None) -> DataFrame:
     landing = fresh_path(spark, "landing")
     land_documents(m.documents(spark, sf_dir), landing)
@@ -172,7 +219,7 @@ def _daily_counts(spark: SparkSession, sf_dir: str, latest: int | None) -> DataF
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows written by each step of a first daily run over all landed documents."""
+    """Rows of each step of a first daily run over all landed documents, which are read where they lie."""
     return _daily_counts(spark, sf_dir, None)
 
 
@@ -193,6 +240,18 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.stats(spark)
 
 
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every player's latest matches after the documents have landed in three goes, a part of them twice."""
+    landing = fresh_path(spark, "landing")
+    stream = LatestMatches(fresh_path(spark, "latest"))
+    documents = publish(m.documents(spark, sf_dir), "documents")
+    part = F.pmod(F.xxhash64("json_payload"), F.lit(4))
+    for go in (part.isin(0, 3), part.isin(1, 3), part == 2):
+        land_documents(documents.where(go), landing, mode="append")
+        stream.start(spark, landing, once=True).awaitTermination()
+    return stream.latest(spark)
+
+
 # --- feed -------------------------------------------------------------------------------
 
 
@@ -226,6 +285,17 @@ def feed_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def feed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is served when a good feed is followed by one that fails while its rows are read."""
+    snapshots = fresh_path(spark, "snapshots")
+    feed = feeds.champion_feed(m.stats(spark, sf_dir))
+    first = feeds.feed_or_fallback(spark, feed, snapshots)
+    failing = feed.withColumn("win_rate_pct", F.when(F.col("matches_played") > 0, F.raise_error(F.lit("no rate")).cast("double")))
+    served = {"good": first, "failing": feeds.feed_or_fallback(spark, failing, snapshots)}
+    shown = [rows.select(F.lit(case).alias("source"), *feed.columns) for case, rows in served.items()]
+    return shown[0].unionByName(shown[1])
+
+
 def champion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.metrics(spark, sf_dir)
 
@@ -322,19 +392,27 @@ QUERIES: dict[str, Query] = {
             silver_all_participants,
             silver_every_player,
             silver_tracked_players,
+            silver_listed_players,
+            routed_games,
+            routed_quarantine,
             gold_champion_stats,
             gold_one_player,
             gold_player_champion,
             gold_summed_batches,
             gold_upsert,
             gold_upsert_players,
+            gold_upsert_bucketed,
+            gold_upsert_players_bucketed,
             table_roundtrip,
+            table_schema_change,
             stage_counts,
             stage_counts_latest,
             stream_gold,
+            stream_latest,
             champion_feed,
             normalize_columns,
             feed_or_fallback,
+            feed_snapshots,
             champion_metrics,
             champion_metrics_small,
             feed_records_json,

@@ -1,5 +1,7 @@
 """The feed: names, contract, fallback, tiers and derived metrics."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +151,43 @@ def test_tier_table_orders(spark):
     assert [r.tier[0] for r in tier_table(spark).orderBy("tier_rank").collect()] == list("SABC")
     worst = tier_table(spark, worst_first=True).orderBy("tier_rank").collect()
     assert [r.tier[0] for r in worst] == list("CBAS")
+
+
+def damaged_feed(spark, path, rows=40):
+    """A feed of as many files, the last of which is cut off."""
+    feed = spark.createDataFrame([(f"c{i:02d}", 50.0, i) for i in range(rows)], FEED_SCHEMA)
+    feed.repartitionByRange(rows, "champion").write.parquet(path)
+    last = sorted(Path(path).glob("part-*"))[-1]
+    last.write_bytes(last.read_bytes()[:60])
+    return spark.read.schema(FEED_SCHEMA).parquet(path)
+
+
+def test_a_feed_that_fails_after_its_first_rows(spark, tmp_path):
+    broken = damaged_feed(spark, str(tmp_path / "feed"))
+    assert not broken.isEmpty()  # the first row can be read
+    served = feeds.feed_or_fallback(spark, broken)
+    assert served.count() == len(DEMO_ROWS)
+
+    snapshots = str(tmp_path / "snapshots")
+    assert feeds.feed_or_fallback(spark, broken, snapshots).count() == len(DEMO_ROWS)
+    good = feed_of(spark, [("X", 50.0, 1)])
+    assert feeds.feed_or_fallback(spark, good, snapshots).collect() == good.collect()
+    for bad in (broken, feed_of(spark, []), good.drop("champion"), lambda: 1 / 0, "no_such_table"):
+        assert feeds.feed_or_fallback(spark, bad, snapshots).collect() == good.collect()
+
+
+def test_a_served_feed_does_not_change_with_its_source(spark, tmp_path):
+    path, snapshots = tmp_path / "feed", str(tmp_path / "snapshots")
+    feed_of(spark, [("X", 50.0, 1)]).write.parquet(str(path))
+    served = feeds.feed_or_fallback(spark, spark.read.parquet(str(path)), snapshots)
+    for file in path.glob("part-*"):
+        file.unlink()
+    assert [tuple(r) for r in served.collect()] == [("X", 50.0, 1)]
+
+
+def test_few_snapshots_are_kept(spark, tmp_path):
+    snapshots = tmp_path / "snapshots"
+    for n in range(5):
+        served = feeds.feed_or_fallback(spark, feed_of(spark, [("X", 50.0, n)]), str(snapshots))
+        assert served.first().matches_played == n
+    assert len(list(snapshots.iterdir())) == feeds.KEPT_SNAPSHOTS

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoreloom.operators import games as extract
+from scoreloom.operators.documents import may_name_any, quarantine
 from scoreloom.sources.landing import documents_from_strings
 from scoreloom.workload import matches as m
 
@@ -138,6 +139,62 @@ def test_tracked_players_are_a_semi_join(spark):
     assert [r.puuid for r in found] == ["a"]
 
 
+ODD_IDS = [
+    '{"puuid":"a","championName":"Q"}',
+    '{ "puuid" : "a" , "championName":"Q"}',
+    '{"puuid":"\\u0061","championName":"Q"}',
+    '{"puu\\u0069d":"a","championName":"Q"}',
+    '{"championName":"Q","puuid":7}',
+    '{"puuid":"b, c]}","championName":"Q"}',
+    '{"puuid":"","championName":"Q"}',
+    '{"puuid":null,"championName":"Q"}',
+    '{"puuid":"nobody","championName":"a"}',
+    '{"puuid":"aa","championName":"Q"}',
+    '{"puuid":["a"],"championName":"Q"}',
+    '{"note":"\\"puuid\\":\\"x\\"","puuid":"é\u2028","championName":"Q"}',
+]
+
+
+@pytest.mark.parametrize("short", [True, False])
+@pytest.mark.parametrize("listed", [["a", "7", "b, c]}", "é\u2028"], ["a", "7", "b, c]}", "", "é\u2028", "x", "y"], []])
+def test_a_short_list_gives_the_rows_of_a_full_parse(spark, monkeypatch, short, listed):
+    landed = documents_from_strings(spark, [doc(f"[{e},{B}]") for e in ODD_IDS] + [doc(f"[{e}]") for e in ODD_IDS] + [None, "", "{"])
+    players = spark.createDataFrame([(p,) for p in listed], "puuid string")
+    monkeypatch.setattr(extract, "SHORT_LIST", 1000 if short else 0)
+    found = extract.tracked_player_games(landed, players)
+    expected = extract.every_player_games(landed).join(players, "puuid", "left_semi")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_documents_that_name_nobody_on_the_list_are_not_parsed(spark, plan_of):
+    """The text test guards the parse, and it holds for exactly those documents that may name somebody."""
+    named = G.replace('"a"', '"one"')
+    landed = documents_from_strings(spark, [doc(f"[{named},{B}]"), doc('[{"puuid":"q"}]'), doc('[{"puuid":"\\u0071"}]')])
+    for listed in (["one"], [f"p{i}" for i in range(9)] + ["one"]):
+        players = spark.createDataFrame([(p,) for p in listed], "puuid string")
+        plan = plan_of(extract.tracked_player_games(landed, players))
+        assert plan.count("from_json") == 1
+        assert "CASE WHEN" in plan.split("from_json")[1].split(" AS doc#")[0]
+        assert [r[0] for r in landed.select(may_name_any(listed)).collect()] == [True, False, True]
+
+
+def test_one_pass_gives_games_and_quarantine(spark, sf_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    damaged = m.damaged_documents(spark, sf_dir)
+    n = damaged.count()
+    games, rejected = extract.routed(damaged.mapInPandas(count, damaged.schema))
+    plain, quarantined = extract.participant_games(damaged), quarantine(damaged)
+    for ours, theirs in ((games, plain), (rejected, quarantined)):
+        assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    assert seen.value == n  # once for both
+
+
 def test_games_from_tables_equal_games_from_documents(spark, sf_dir):
     direct = m.games(spark, sf_dir).select(
         "puuid", "match_id", "champion", "kills", "deaths", "assists", "win"
