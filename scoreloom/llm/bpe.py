@@ -13,7 +13,7 @@ import math
 from collections.abc import Iterator
 from functools import cache
 from heapq import heappop, heappush
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +23,14 @@ from pyspark.sql import DataFrame
 
 WORD_BITS = 6
 WORD = 1 << WORD_BITS
-KNOWN_BYTES = 64 << 20  # of matches and ids that a worker remembers
+KNOWN_BYTES = 96 << 20  # of matches and ids that a worker remembers
 LONGEST_KNOWN = 128  # characters; longer matches are encoded each time
 LONGEST_TOGETHER = 64  # bytes; longer matches have a queue of their own
 BLOCK = 1 << 19  # characters of a text that is cut at once
-HELD = 8 << 20  # matches that are held at a time
-TOGETHER = 400_000  # short matches that share the queue
+HELD = 1 << 19  # matches that are held at a time
 KNOWN_COST = 250  # bytes of a remembered match
-TEXT_BYTES = 24 << 20  # of the texts that are encoded together
-OUTPUT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20  # of the texts that are encoded together
+OUTPUT_BYTES = 4 << 20
 
 
 class RankQueue:
@@ -99,7 +98,7 @@ class BytePairs:
         self.queue = RankQueue(max(self.tokens) + 1)
         self.pattern = regex.compile(pattern)
         self.pairs, self.pair_ranks = self._pair_table()
-        self.byte_ranks = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ranks = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
         self.held = 0
 
@@ -114,15 +113,15 @@ class BytePairs:
                     merged.append(rank)
         order = np.argsort(np.array(pairs, np.int64))
         # one entry more, so that every place that a search returns can be looked at
-        return np.append(np.array(pairs, np.int64)[order], -1), np.append(np.array(merged, np.int64)[order], 0)
+        return np.append(np.array(pairs, np.int64)[order], -1), np.append(np.array(merged, np.int32)[order], 0)
 
     def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of tokens, -1 for none."""
-        wanted = left << 32 | right
+        wanted = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.pairs[:-1], wanted)
         return np.where(self.pairs[at] == wanted, self.pair_ranks[at], -1)
 
-    def merge_many(self, matches: list[bytes]) -> list[list[int]]:
+    def merge_many(self, matches: list[bytes]) -> list[bytes]:
         """Ids of the bytes of many short matches, which share the queue and never meet.
 
         A bucket is worked off as one array: of each match the leftmost position, the others come again. New pairs
@@ -131,19 +130,21 @@ class BytePairs:
         """
         data = b"".join(matches)
         n = len(data)
-        sizes = np.fromiter(map(len, matches), np.int64, len(matches))
-        starts = np.cumsum(sizes) - sizes
-        match_of = np.repeat(np.arange(len(matches)), sizes)
+        sizes = np.fromiter(map(len, matches), np.int32, len(matches))
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        match_of = np.repeat(np.arange(len(matches), dtype=np.int32), sizes)
         first = np.zeros(n + 1, bool)
         first[starts] = first[n] = True
         token = self.byte_ranks[np.frombuffer(data, np.uint8)]
         # a token is known by the place of its first byte; after[i] is the place of the next token
-        after, before = np.arange(1, n + 1), np.arange(-1, n)
-        pair = np.full(n, -1, np.int64)  # the rank of the pair that starts there
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+        pair = np.full(n, -1, np.int32)  # the rank of the pair that starts there
         pair[:-1] = np.where(first[1:-1], -1, self._rank_of(token[:-1], token[1:]))
         queue, buckets = self.queue, {}
 
-        def put(places: np.ndarray, ranks: np.ndarray) -> None:
+        def put(places: np.ndarray) -> None:
+            """Ascending places into the buckets of their pairs."""
+            ranks = pair[places]
             order = np.argsort(ranks, kind="stable")
             places, ranks = places[order], ranks[order]
             cuts = np.flatnonzero(np.diff(ranks, prepend=-1))
@@ -155,31 +156,30 @@ class BytePairs:
                     buckets[rank] = [places[start:end]]
                     queue.mark(rank)
 
-        waiting = [np.flatnonzero(pair >= 0)]
+        waiting = [np.flatnonzero(pair >= 0).astype(np.int32)]
         limit = 0  # ranks that wait are no lower
         while True:
             rank = queue.lowest()
             if rank is None or rank >= limit:
-                places = np.concatenate([np.zeros(0, np.int64), *waiting])
+                places = np.unique(np.concatenate([np.zeros(0, np.int32), *waiting]))
                 waiting = []
-                places = places[pair[places] >= 0]
-                put(places, pair[places])
+                put(places[pair[places] >= 0])
                 rank = queue.lowest()
                 if rank is None:
                     break
                 limit = ((rank >> WORD_BITS) + 1) << WORD_BITS
             parts = buckets.pop(rank)
             queue.clear(rank)
-            at = np.unique(parts[0] if len(parts) == 1 else np.concatenate(parts))
+            at = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
             at = at[pair[at] == rank]  # the others are stale: their tokens were merged meanwhile
             if not len(at):
                 continue
             of = match_of[at]
-            leftmost = np.append(True, of[1:] != of[:-1])
-            if not leftmost.all():
-                buckets[rank] = [at[~leftmost]]
+            again = np.flatnonzero(of[1:] == of[:-1]) + 1
+            if len(again):
+                buckets[rank] = [at[again]]
                 queue.mark(rank)
-                at = at[leftmost]
+                at = np.delete(at, again)
             gone = after[at]
             end = after[gone]
             after[at] = end
@@ -189,23 +189,24 @@ class BytePairs:
             pair[at] = -1
             left = before[at[~first[at]]]
             inner = ~first[end]
-            pair[left] = self._rank_of(token[left], np.full(len(left), rank))
-            pair[at[inner]] = self._rank_of(np.full(int(inner.sum()), rank), token[end[inner]])
-            new = np.concatenate([left, at[inner]])
+            followed, following = at[inner], end[inner]
+            pair[left] = self._rank_of(token[left], token[after[left]])
+            pair[followed] = self._rank_of(token[followed], token[following])
+            new = np.concatenate([left, followed])
             ranks = pair[new]
-            now = (ranks >= 0) & (ranks < limit)
-            if now.any():
-                put(new[now], ranks[now])
             waiting.append(new[ranks >= limit])
+            now = new[(ranks >= 0) & (ranks < limit)]
+            if len(now):
+                put(np.sort(now))
         is_token = np.zeros(n, bool)
-        at = starts.copy()
+        at = starts
         while len(at):
             is_token[at] = True
             at = after[at]
             at = at[~first[at]]
-        kept = token[is_token].tolist()
-        ends = np.cumsum(np.add.reduceat(is_token, starts)).tolist()
-        return [kept[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        ids = token[is_token].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.add.reduceat(is_token, starts, dtype=np.int64))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def merge_one(self, data: bytes) -> list[int]:
         """Ids of the bytes of one match."""
@@ -246,20 +247,18 @@ class BytePairs:
 
     def _learn(self, matches: set[str]) -> None:
         """Remember the ids of matches that are not known."""
-        short, known, rank_of = [], self.known, self.ranks.get
+        known, rank_of = self.known, self.ranks.get
+        short: dict[str, bytes] = {}
         for match in matches:
             data = match.encode()
-            whole = rank_of(data)
-            if whole is not None:
-                known[match] = array.array("I", (whole,)).tobytes()
+            if data in self.ranks:
+                known[match] = array.array("I", (rank_of(data),)).tobytes()
             elif len(data) > LONGEST_TOGETHER:
                 known[match] = array.array("I", self.merge_one(data)).tobytes()
             else:
-                short.append((match, data))
-        for start in range(0, len(short), TOGETHER):
-            group = short[start : start + TOGETHER]
-            for (match, _), ids in zip(group, self.merge_many([data for _, data in group]), strict=True):
-                known[match] = array.array("I", ids).tobytes()
+                short[match] = data
+        if short:
+            known.update(zip(short, self.merge_many(list(short.values())), strict=True))
         self.held += KNOWN_COST * len(matches)
 
     def _matches(self, text: str) -> Iterator[list[str]]:
@@ -271,40 +270,32 @@ class BytePairs:
             yield block
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit numbers.
-
-        Matches are held as numbers of the distinct ones until all that are new can be merged together.
-        """
+        """Each text's ids as little-endian 32-bit numbers."""
         coded: list[list[bytes]] = [[] for _ in texts]
-        held: list[tuple[int, array.array]] = []
-        number: dict[str, int] = {}
-
-        def flush() -> None:
-            if self.held > KNOWN_BYTES:
-                self.known, self.held = {}, 0
-            new = number.keys() - self.known.keys()
-            self._learn(new)
-            ids = list(map(self.known.__getitem__, number)).__getitem__
-            for i, numbers in held:
-                coded[i].append(b"".join(map(ids, numbers)))
-            for match in [m for m in new if len(m) > LONGEST_KNOWN]:
-                del self.known[match]
-            held.clear()
-            number.clear()
-
+        held: list[tuple[int, list[str]]] = []
         size = 0
         for i, text in enumerate(texts):
             for matches in self._matches(text):
-                for match in set(matches).difference(number):
-                    number[match] = len(number)
-                held.append((i, array.array("I", map(number.__getitem__, matches))))
+                held.append((i, matches))
                 size += len(matches)
-                if size >= HELD or len(number) >= TOGETHER:
-                    flush()
+                if size >= HELD:
+                    self._encode_held(held, coded)
                     size = 0
-        flush()
+        self._encode_held(held, coded)
         return [b"".join(parts) for parts in coded]
 
+    def _encode_held(self, held: list[tuple[int, list[str]]], coded: list[list[bytes]]) -> None:
+        """Append the ids of the matches of texts, all new ones merged together."""
+        if self.held > KNOWN_BYTES:
+            self.known, self.held = {}, 0
+        new = set(chain.from_iterable(matches for _, matches in held)).difference(self.known)
+        self._learn(new)
+        for i, matches in held:
+            coded[i].append(b"".join(map(self.known.__getitem__, matches)))
+        for match in [m for m in new if len(m) > LONGEST_KNOWN]:
+            del self.known[match]
+        held.clear()
+
     def decode(self, ids: list[int]) -> bytes:
         try:
             return b"".join(map(self.tokens.__getitem__, ids))
