@@ -1,10 +1,8 @@
 """Statistics kept up to date from a stream of landed documents.
 
-Every micro-batch writes its new games as a run, a list of the runs that now hold all games, and the running sums
-per champion (the sums of the batch before plus its own). Runs are compacted by size: when several of
-one size have come together, they become one. So the games of n batches lie in a number of runs that grows with
-log n, until runs have reached the largest size. A batch that is run again after a failure starts from the list and sums of the batch
-before and overwrites its own folders, so nothing is counted twice.
+Every micro-batch appends its new games to compacted runs, and writes the running sums per champion (the sums of the
+batch before plus its own). A batch that is run again after a failure overwrites its own folders from the same
+inputs, so nothing is counted twice.
 """
 
 from __future__ import annotations
@@ -16,57 +14,19 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from scoreloom.operators.games import every_player_games
 from scoreloom.operators.stats import add_sums, game_sums, stats_from_sums
 from scoreloom.schemas import PLAYER_GAME_SCHEMA, SUMS_SCHEMA
-from scoreloom.sources.files import children, delete, is_complete
+from scoreloom.sources.files import delete
 from scoreloom.sources.landing import stream_documents
+from scoreloom.streaming.runs import BATCH, FAN_IN, KEPT_BATCHES, MAX_RUN_ROWS, Runs, last_batch
 
 IDENTITY = ["match_id", "puuid"]
 ID_PREFIX = r"^\D*"
 MAX_RANGES = 200  # ranges of ids that a batch's history is read by
 BYTES_PER_BATCH = 64 << 30
-ROW_GROUP_BYTES = 16 << 20
-BATCH = "batch_id"
-FAN_IN = 4  # runs of one size that become one
-MAX_RUN_ROWS = 1 << 30  # of a run that others are merged into
-KEPT_BATCHES = 3  # whose lists and sums stay for readers
-RUNS_SCHEMA = "first long, last long, rows long"
-
-
-@dataclass(frozen=True)
-class Run:
-    """The games that the batches ``first`` to ``last`` brought."""
-
-    first: int
-    last: int
-    rows: int
-
-    @property
-    def batches(self) -> int:
-        return self.last - self.first + 1
-
-
-def compacted(runs: list[Run], fan_in: int = FAN_IN, most_rows: int = MAX_RUN_ROWS) -> list[Run]:
-    """``runs`` after the last ones of equal size, in batches, have become one, and so on upwards.
-
-    What it does follows from the runs alone, so a batch that is run again does the same.
-    """
-    runs = list(runs)
-    while len(runs) >= fan_in:
-        last = runs[-fan_in:]
-        rows = sum(r.rows for r in last)
-        if len({r.batches for r in last}) > 1 or rows > most_rows:
-            break
-        runs[-fan_in:] = [Run(last[0].first, last[-1].last, rows)]
-    return runs
-
-
-def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -80,50 +40,29 @@ class LiveStats:
     def arrived(self, batch_id: int) -> str:
         return f"{self.base}/arrived/{BATCH}={batch_id}"
 
-    def games_of(self, run: Run) -> str:
-        return f"{self.base}/games/run={run.first}-{run.last}"
-
-    def runs_after(self, batch_id: int) -> str:
-        return f"{self.base}/runs/{BATCH}={batch_id}"
-
     def sums_after(self, batch_id: int) -> str:
         return f"{self.base}/sums/{BATCH}={batch_id}"
 
+    @property
+    def runs(self) -> Runs:
+        """All games counted, sorted by match id, so that a later batch reads only the row groups in its ranges."""
+        return Runs(f"{self.base}/games", PLAYER_GAME_SCHEMA, IDENTITY, self.fan_in, self.most_rows)
+
     @property
     def checkpoint(self) -> str:
         return f"{self.base}/checkpoint"
 
-    def runs(self, spark: SparkSession, batch_id: int | None = None) -> list[Run]:
-        """The runs that hold all games after a batch, the last one if none is named."""
-        if batch_id is None:
-            batch_id = self._last(spark, "runs")
-        if batch_id is None or batch_id < 0:
-            return []
-        rows = spark.read.schema(RUNS_SCHEMA).parquet(self.runs_after(batch_id)).collect()
-        return sorted((Run(*r) for r in rows), key=lambda r: r.first)
-
     def games(self, spark: SparkSession) -> DataFrame:
         """All games counted so far, with the batch that brought them."""
-        return self._games(spark, self.runs(spark))
+        return self.runs.read(spark)
 
     def stats(self, spark: SparkSession) -> DataFrame:
         """Current statistics: the sums after the last batch, read from its folder alone."""
-        last = self._last(spark, "sums")
+        last = last_batch(spark, f"{self.base}/sums")
         if last is None:
             return stats_from_sums(spark.createDataFrame([], SUMS_SCHEMA), "champion")
         return stats_from_sums(spark.read.schema(SUMS_SCHEMA).parquet(self.sums_after(last)), "champion")
 
-    def _last(self, spark: SparkSession, what: str) -> int | None:
-        """The last batch whose folder is complete."""
-        found = [int(n.removeprefix(f"{BATCH}=")) for n in children(spark, f"{self.base}/{what}") if n.startswith(BATCH)]
-        complete = (n for n in sorted(found, reverse=True) if is_complete(spark, f"{self.base}/{what}/{BATCH}={n}"))
-        return next(complete, None)
-
-    def _games(self, spark: SparkSession, runs: list[Run]) -> DataFrame:
-        shape = _with_batch(PLAYER_GAME_SCHEMA)
-        folders = [self.games_of(r) for r in runs if r.rows]
-        return spark.read.schema(shape).parquet(*folders) if folders else spark.createDataFrame([], shape)
-
     def take_batch(self, documents: DataFrame, batch_id: int) -> None:
         """Count the games of one batch that were not counted before."""
         spark = documents.sparkSession
@@ -136,54 +75,21 @@ class LiveStats:
         # A game without a match id has no identity to compare, so each such row counts.
         nameless = games.where("match_id = ''").select(*PLAYER_GAME_SCHEMA.names)
         fresh = once_each
-        before = self.runs(spark, batch_id - 1)
         if batch_id > 0:
             once_each.write.mode("overwrite").parquet(self.arrived(batch_id))
             arrived = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.arrived(batch_id))
             fresh = arrived.join(self._seen_before(arrived, batch_id), IDENTITY, "left_anti")
-        own = Run(batch_id, batch_id, 0)
-        self._write_run(fresh.unionByName(nameless).withColumn(BATCH, F.lit(batch_id).cast("long")), own)
-        own = Run(batch_id, batch_id, spark.read.parquet(self.games_of(own)).count())
+        counted = self.runs.append(fresh.unionByName(nameless), batch_id)
 
-        after = compacted([*before, own], self.fan_in, self.most_rows)
-        if after[-1] != own:
-            self._write_run(self._games(spark, [r for r in [*before, own] if r.first >= after[-1].first]), after[-1])
-        rows = spark.createDataFrame([(r.first, r.last, r.rows) for r in after], RUNS_SCHEMA)
-        rows.coalesce(1).write.mode("overwrite").parquet(self.runs_after(batch_id))
-
-        sums = game_sums(self._games(spark, [own]), "champion")
+        sums = game_sums(counted, "champion")
         if batch_id > 0:
-            sums_before = spark.read.schema(SUMS_SCHEMA).parquet(self.sums_after(batch_id - 1))
-            sums = add_sums(sums_before, sums)
+            before = spark.read.schema(SUMS_SCHEMA).parquet(self.sums_after(batch_id - 1))
+            sums = add_sums(before, sums)
         sums.write.mode("overwrite").parquet(self.sums_after(batch_id))
-        self._forget(spark, batch_id, own, after)
-
-    def _write_run(self, games: DataFrame, run: Run) -> None:
-        """Sorted by id, so that a later batch reads only the row groups in its ranges."""
-        (
-            games.repartitionByRange("match_id", "puuid")
-            .sortWithinPartitions("match_id")
-            .write.mode("overwrite")
-            .option("parquet.block.size", ROW_GROUP_BYTES)
-            .parquet(self.games_of(run))
-        )
-
-    def _forget(self, spark: SparkSession, batch_id: int, own: Run, after: list[Run]) -> None:
-        """Remove what no batch and no reader needs any more, so that listings stay short.
-
-        The list and sums after the batch before are kept, as this batch may be run again from them; so
-        are those before, which a reader may have just chosen, and the runs that they name.
-        """
-        if own not in after:
-            delete(spark, self.games_of(own))
-        old = batch_id - KEPT_BATCHES
-        if old >= 0 and is_complete(spark, self.runs_after(old)):
-            still = set(self.runs(spark, old + 1))
-            for run in self.runs(spark, old):
-                if run not in still:
-                    delete(spark, self.games_of(run))
-        for folder in (self.runs_after(old), self.sums_after(old), self.arrived(batch_id - 1)):
-            delete(spark, folder)
+        # The sums after the batch before stay, as this batch may be run again from them, and so do
+        # those before, which a reader may have just chosen.
+        delete(spark, self.sums_after(batch_id - KEPT_BATCHES))
+        delete(spark, self.arrived(batch_id - 1))
 
     def _seen_before(self, arrived: DataFrame, batch_id: int) -> DataFrame:
         """Those identities of ``arrived`` that earlier batches hold.
@@ -202,7 +108,8 @@ class LiveStats:
             ranges = [arrived.agg(F.min("match_id").alias("low"), F.max("match_id").alias("high")).first()]
         reach = reduce(or_, [F.col("match_id").between(r["low"], r["high"]) for r in ranges], F.lit(False))
         spark = arrived.sparkSession
-        in_reach = self._games(spark, self.runs(spark, batch_id - 1)).where(F.col("match_id") != "").where(reach)
+        counted = self.runs.read(spark, self.runs.after(spark, batch_id - 1))
+        in_reach = counted.where(F.col("match_id") != "").where(reach)
         return in_reach.select(*IDENTITY).join(arrived.select(*IDENTITY), IDENTITY, "left_semi")
 
     def start(

@@ -5,8 +5,8 @@ import pytest
 from scoreloom.operators.games import every_player_games
 from scoreloom.operators.stats import champion_stats
 from scoreloom.sources.landing import documents_from_strings, land_documents, read_documents
-from scoreloom.streaming import live as live_module
-from scoreloom.streaming.live import LiveStats, Run, compacted
+from scoreloom.streaming.live import LiveStats
+from scoreloom.streaming.runs import Run, Runs, compacted
 from scoreloom.workload import matches as m
 
 
@@ -166,9 +166,9 @@ def test_batches_are_compacted_and_counted_once(spark, tmp_path):
         landed += new
         live.take_batch(documents_from_strings(spark, new), n)
         assert live.games(spark).count() == n + 1
-        assert len(live.runs(spark)) == bin(n + 1).count("1")
-    folders = sorted(p.name for p in (tmp_path / "live" / "games").iterdir())
-    assert {"run=0-7", "run=8-8"} <= set(folders) and len(folders) <= 5
+        assert len(live.runs.after(spark)) == bin(n + 1).count("1")
+    folders = sorted(p.name for p in (tmp_path / "live" / "games" / "rows").iterdir())
+    assert {"run=0-7", "run=8-8"} <= set(folders) and len(folders) <= 6
     opened = {name.split("run=")[1].split("/")[0] for name in live.games(spark).inputFiles()}
     assert opened == {"0-7", "8-8"}
     once = {(f"M{n}", n) for n in range(9)}
@@ -182,24 +182,24 @@ def test_a_failure_during_compaction_changes_nothing(spark, tmp_path, monkeypatc
     for n in range(3):
         live.take_batch(batches[n], n)
     before = rows(live.stats(spark))
-    plain = LiveStats._write_run
+    plain = Runs.write
 
-    def breaks(self, games, run):
-        plain(self, games, run)
+    def breaks(self, rows, run):
+        plain(self, rows, run)
         if run.batches > 1:
             raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(LiveStats, "_write_run", breaks)
+        patch.setattr(Runs, "write", breaks)
         with pytest.raises(RuntimeError):
             live.take_batch(batches[3], 3)
     assert rows(live.stats(spark)) == before and live.games(spark).count() == 3
     for _ in range(2):  # the second one is a replay of a batch that was compacted
         live.take_batch(batches[3], 3)
-        assert live.runs(spark) == [Run(0, 3, 4)]
+        assert live.runs.after(spark) == [Run(0, 3, 4)]
         assert live.games(spark).count() == 4 and rows(live.stats(spark))[0][1] == 4
 
 
 def test_nothing_counted_yet(spark, tmp_path):
     live = LiveStats(str(tmp_path / "live"))
-    assert live.stats(spark).count() == 0 and live.games(spark).count() == 0 and live_module.compacted([]) == []
+    assert live.stats(spark).count() == 0 and live.games(spark).count() == 0 and compacted([]) == []
