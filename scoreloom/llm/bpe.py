@@ -354,9 +354,13 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
         coder = byte_pairs(path, pattern)
         for batch in batches:
             ids = batch.column("ids")
-            for start, end in _in_parts([4 * (n or 0) for n in ids.value_lengths().to_pylist()], OUTPUT_BYTES):
-                found = [coder.decode(x.as_py()) if x.is_valid else None for x in ids[start:end]]
-                part = batch.slice(start, end - start)
+            sizes = ids.value_lengths().fill_null(0).to_pylist()
+            flat, at = ids.flatten().to_numpy(zero_copy_only=False), 0
+            for start, end in _in_parts([4 * n for n in sizes], OUTPUT_BYTES):
+                part, found = batch.slice(start, end - start), []
+                for known, size in zip(part.column("ids").is_valid().to_pylist(), sizes[start:end], strict=True):
+                    found.append(coder.decode(flat[at : at + size].tolist()) if known else None)
+                    at += size
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("ids"), pa.array(found, pa.binary())], ["doc_id", "ids", "bytes"]
                 )
