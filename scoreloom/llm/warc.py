@@ -1,20 +1,25 @@
-"""WARC transactions: write captures as records, read the archives back, join each transaction.
+"""WARC transactions: write captures as records, read archives, join each transaction.
 
 A capture is written as a ``response`` (or ``revisit``) record, a ``request`` record and a ``metadata``
 record; the latter two name the first in ``WARC-Concurrent-To``. Spark's text writer writes the
 archives (a record ends with an empty line pair, which is the writer's line separator), and its
 binary reader reads them, so that any file system that Spark knows will do.
+
+Archives of other writers are read as well: with one gzip member a record or one a file, or not compressed; with
+header names in any case, blanks or none after the colon, and values over several lines. What cannot be read
+becomes a row of its own that says why.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scoreloom.sources.shared import fresh_path, publish
@@ -23,9 +28,13 @@ END = "\r\n\r\n"
 HEX_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = (
-    "type string, record_id string, concurrent_to string, refers_to_uri string, uri string, "
-    "payload_digest string, payload_bytes long, payload string, fields map<string,string>"
+    "type string, record_id string, concurrent_to array<string>, refers_to_uri string, uri string, "
+    "payload_digest string, payload_bytes long, payload string, fields map<string,string>, problem string"
 )
+DAMAGED = "damaged"  # the type of a row that stands for what could not be read
+CAPTURES_PER_FILE = 20_000
+BESIDE = 100  # records of a kind that a capture's row holds; side_records has all
+PIECE = 1 << 16  # bytes that are decompressed at a time
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -48,7 +57,11 @@ def _record(kind: str, record_id: Column, headers: list[tuple[str, Column]], blo
 
 
 def write_archives(
-    pages: DataFrame, path: str, min_revisit_bytes: int = 0, captured: str = "2024-01-01T00:00:00Z"
+    pages: DataFrame,
+    path: str,
+    min_revisit_bytes: int = 0,
+    captured: str = "2024-01-01T00:00:00Z",
+    captures_per_file: int = CAPTURES_PER_FILE,
 ) -> None:
     """Write ``pages`` (``page_id``, ``url``, ``html``) as gzipped WARC files below ``path``.
 
@@ -56,7 +69,9 @@ def write_archives(
     the smallest ``page_id`` is written as response and the others as revisits of it; smaller
     payloads are all responses. A revisit names the payload's digest and the address of the page
     that it refers to (profile identical-payload-digest). Rows that repeat the smallest ``page_id``
-    are all responses.
+    are all responses. Record ids are new in each run, so archives of several runs may be read together. A file
+    holds ``captures_per_file`` captures at most; readers hold one compressed file, so the number should shrink
+    where pages are large.
 
     Only ids and digests are grouped. The page texts meet the digests in one join, whose
     repeated side holds the repeated digests only.
@@ -81,8 +96,10 @@ def write_archives(
     )
     joined = rows.join(publish(firsts, "warc-firsts"), F.col("digest") == F.col("_digest"), "left")
 
+    run = uuid.uuid4().hex
+
     def record_id(kind: str, capture: Column) -> Column:
-        name = F.md5(F.concat(F.lit(kind), capture.cast("string")))
+        name = F.md5(F.concat(F.lit(f"{run} {kind} "), capture.cast("string")))
         parts = [F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
         return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -108,46 +125,153 @@ def write_archives(
         _record("request", record_id("request", F.col("capture")), [*about, *beside], request),
         _record("metadata", record_id("metadata", F.col("capture")), [*about, *beside], page),
     )
-    joined.select(F.explode(records).alias("value")).write.option("lineSep", END).option(
-        "compression", "gzip"
-    ).text(path)
-
-
-def _records(data: bytes) -> Iterator[tuple]:
-    """The records of one archive, cut at their Content-Length."""
-    at = 0
-    while at < len(data):
-        head_end = data.index(b"\r\n\r\n", at)
-        lines = data[at:head_end].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        head = dict(x.split(": ", 1) for x in lines[1:])
-        start = head_end + 4
-        end = start + int(head["Content-Length"])
-        block, at = data[start:end], end + 4
-        kind = head["WARC-Type"]
-        digest = size = payload = None
-        fields = {}
-        if kind == "response":
-            body = block[block.index(b"\r\n\r\n") + 4 :]
-            digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
-            if head.get("WARC-Payload-Digest", f"sha1:{digest}") != f"sha1:{digest}":
-                raise ValueError(f"damaged payload in {head['WARC-Record-ID']}")
-            size, payload = len(body), body.decode()
-        elif kind == "revisit":
-            digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-        elif kind == "metadata":
-            fields = dict(x.split(": ", 1) for x in block.decode().split("\r\n") if x)
-        yield (
-            kind, head["WARC-Record-ID"], head.get("WARC-Concurrent-To"), head.get("WARC-Refers-To-Target-URI"),
-            head.get("WARC-Target-URI"), digest, size, payload, fields,
-        )
+    (
+        joined.select(F.explode(records).alias("value"))
+        .write.option("lineSep", END)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", 3 * captures_per_file)
+        .text(path)
+    )
+
+
+def _plain_pieces(content: bytes) -> Iterator[bytes]:
+    """The bytes of an archive, piece by piece: of all its gzip members, or as they are where it is not compressed."""
+    at, end = 0, len(content)
+    if content[:2] != b"\x1f\x8b":
+        yield from (content[i : i + PIECE] for i in range(0, end, PIECE))
+        return
+    while at < end:
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof and at < end:
+            fed = content[at : at + PIECE]
+            at += len(fed)
+            while True:
+                piece = member.decompress(fed, 16 * PIECE)
+                if piece:
+                    yield piece
+                fed = member.unconsumed_tail
+                if member.eof or not fed:
+                    break
+            at -= len(member.unused_data)
+        if not member.eof:
+            raise zlib.error("the last gzip member is cut off")
+        while at < end and content[at] == 0:  # padding
+            at += 1
+
+
+class _Source:
+    """Lines and blocks of a stream of pieces."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces = pieces
+        self.held = b""
+        self.at = 0
+
+    def _more(self) -> bool:
+        piece = next(self.pieces, b"")
+        self.held, self.at = self.held[self.at :] + piece, 0
+        return bool(piece)
+
+    def line(self) -> bytes | None:
+        """The next line without its end; None at the end."""
+        start = self.at
+        while (found := self.held.find(b"\n", start)) < 0:
+            known = len(self.held) - self.at
+            if not self._more():
+                rest, self.at = self.held[self.at :], len(self.held)
+                return rest.rstrip(b"\r") if rest else None
+            start = known
+        line, self.at = self.held[self.at : found], found + 1
+        return line.rstrip(b"\r")
+
+    def block(self, size: int) -> bytes:
+        """The next bytes; fewer at the end."""
+        parts, missing = [], size
+        while missing:
+            part = self.held[self.at : self.at + missing]
+            self.at += len(part)
+            parts.append(part)
+            missing -= len(part)
+            if missing and not self._more():
+                break
+        return b"".join(parts)
+
+
+def _headers(lines: Iterator[bytes]) -> dict[str, list[str]]:
+    """Values by lower-case name, in order; a line that begins with a blank continues the value before."""
+    found: dict[str, list[str]] = {}
+    last = None
+    for raw in lines:
+        line = raw.decode(errors="replace")
+        if line[:1] in (" ", "\t") and last is not None:
+            last[-1] = f"{last[-1]} {line.strip()}".strip()
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            last = found.setdefault(name.strip().lower(), [])
+            last.append(value.strip())
+    return found
+
+
+def _damaged(problem: str, record_id: str | None = None) -> tuple:
+    return (DAMAGED, record_id, None, None, None, None, None, None, None, problem)
+
+
+def _records(pieces: Iterator[bytes]) -> Iterator[tuple]:
+    """The records of one archive, cut at their Content-Length. After damage reading goes on at the next line that
+    begins a record."""
+    source = _Source(pieces)
+    lost = False
+    try:
+        while (line := source.line()) is not None:
+            if not line.startswith(b"WARC/"):
+                if line.strip() and not lost:
+                    lost = True
+                    yield _damaged(f"no record begins at {line[:40]!r}")
+                continue
+            lost = False
+            head = _headers(iter(lambda: source.line() or b"", b""))
+            name = head.get("warc-record-id", [None])[0]
+            length = head.get("content-length", [""])[0]
+            if not length.isdecimal():
+                yield _damaged("no Content-Length", name)
+                continue
+            block = source.block(int(length))
+            if len(block) < int(length):
+                yield _damaged(f"cut off after {len(block)} of {length} bytes", name)
+            else:
+                yield _record_row(head, name, block)
+    except zlib.error as problem:
+        yield _damaged(f"gzip: {problem}")
+
+
+def _record_row(head: dict[str, list[str]], name: str | None, block: bytes) -> tuple:
+    kind = head.get("warc-type", [""])[0].lower()
+    digest = size = payload = None
+    fields: dict[str, str] = {}
+    stated = head.get("warc-payload-digest", [""])[0]
+    sha1 = stated[5:].upper() if stated[:5].lower() == "sha1:" else None
+    if kind == "response":
+        body = block.partition(b"\r\n\r\n")[2]
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        if sha1 not in (None, digest):
+            return _damaged(f"the payload's digest is {digest}, not {sha1}", name)
+        size, payload = len(body), body.decode(errors="replace")
+    elif kind == "revisit":
+        digest = sha1
+    elif kind == "metadata":
+        fields = {key: values[0] for key, values in _headers(iter(block.splitlines())).items()}
+    return (
+        kind, name, head.get("warc-concurrent-to"), head.get("warc-refers-to-target-uri", [None])[0],
+        head.get("warc-target-uri", [None])[0], digest, size, payload, fields, None,
+    )
 
 
 def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per record of the archives below ``path``; payload digests are checked.
+    """One row per record of the archives below ``path``; payload digests in SHA-1 are checked.
 
-    One file is in memory at a time. ``payload`` is null without ``with_payload``.
+    What cannot be read is a row of type ``damaged`` with its ``problem``. A task holds one compressed file and one
+    record at a time. ``payload`` is null without ``with_payload``; bytes that are not UTF-8 are replaced in it, not in
+    its digest and size.
     """
     names = [x.split()[0] for x in RECORD.split(", ")]
 
@@ -155,9 +279,9 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
         for batch in batches:
             for content in batch["content"]:
                 rows, held = [], 0
-                for row in _records(zlib.decompress(content, wbits=47) if content else b""):
+                for row in _records(_plain_pieces(content)):
                     if not with_payload:
-                        row = (*row[:7], None, row[8])
+                        row = (*row[:7], None, *row[8:])
                     rows.append(row)
                     held += len(row[7] or "") + 200
                     if held > 4 << 20:
@@ -166,38 +290,65 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path)
     return files.select("content").mapInPandas(parse, RECORD)
 
 
+def side_records(records: DataFrame) -> DataFrame:
+    """Every request and metadata record with the capture it names, once for each that it names: ``capture_id``, ``type``,
+    ``record_id``, ``fields``."""
+    beside = records.where("type IN ('request', 'metadata')")
+    return beside.select(F.explode("concurrent_to").alias("capture_id"), "type", "record_id", "fields")
+
+
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: ``record_id``, ``uri``, ``main``, ``request``, ``metadata``, ``original``.
+    """One nested row per capture: ``record_id``, ``uri``, ``main``, ``requests``, ``n_requests``, ``metadata``, ``n_metadata``, ``original``.
 
-    ``main`` is the response or revisit; request and metadata records join it through
-    ``concurrent_to`` and are null where a capture has none. ``original`` holds, for any capture,
-    ``payload_bytes`` and ``page_id`` of the first response with the same payload digest.
+    ``main`` is the response or revisit. Requests and metadata records join it through ``concurrent_to``, as arrays
+    in the order of their ids; they are empty where a capture has none, and hold the first ``BESIDE`` where it has more (the
+    numbers count all, ``side_records`` lists all). ``original`` holds, for any capture, ``payload_bytes`` and
+    ``page_id`` of the first response with the same payload digest. Damaged rows and other types are left out.
     """
     main = records.where("type in ('response', 'revisit')").select(
         "record_id",
         "uri",
         F.struct("type", "refers_to_uri", "payload_digest", "payload_bytes", "payload").alias("main"),
     )
+    beside = side_records(records)
+    place = F.row_number().over(Window.partitionBy("capture_id", "type").orderBy("record_id"))
+    counts = beside.groupBy(F.col("capture_id").alias("record_id")).agg(
+        F.count_if(F.col("type") == "request").alias("n_requests"),
+        F.count_if(F.col("type") == "metadata").alias("n_metadata"),
+    )
 
-    def beside(kind: str) -> DataFrame:
-        body = F.struct("record_id", "fields")
-        return records.where(F.col("type") == kind).select(
-            F.col("concurrent_to").alias("record_id"), body.alias(kind)
-        )
+    def in_order(kind: str) -> Column:
+        row = F.when(F.col("type") == kind, F.struct("place", "record_id", "fields"))
+        sorted_rows = F.array_sort(F.collect_list(row), lambda a, b: a["place"] - b["place"])
+        return F.transform(sorted_rows, lambda r: F.struct(r["record_id"].alias("record_id"), r["fields"].alias("fields")))
 
-    captures = main.join(beside("request"), "record_id", "left").join(
-        beside("metadata"), "record_id", "left"
+    first = beside.withColumn("place", place).where(F.col("place") <= BESIDE)
+    arrays = first.groupBy("capture_id").agg(in_order("request").alias("requests"), in_order("metadata").alias("metadata"))
+    arrays = arrays.withColumnRenamed("capture_id", "record_id")
+    none = F.array().cast("array<struct<record_id:string,fields:map<string,string>>>")
+    captures = (
+        main.join(counts, "record_id", "left")
+        .join(arrays, "record_id", "left")
+        .select(
+            "record_id",
+            "uri",
+            "main",
+            F.coalesce("requests", none).alias("requests"),
+            F.coalesce("n_requests", F.lit(0)).alias("n_requests"),
+            F.coalesce("metadata", none).alias("metadata"),
+            F.coalesce("n_metadata", F.lit(0)).alias("n_metadata"),
+        )
     )
     originals = (
         captures.where("main.type = 'response'")
         .groupBy(F.col("main.payload_digest").alias("_digest"))
         .agg(
             F.max("main.payload_bytes").alias("payload_bytes"),
-            F.min(F.col("metadata.fields")["page-id"].cast("long")).alias("page_id"),
+            F.min(page_id()).alias("page_id"),
         )
         .select("_digest", F.struct("payload_bytes", "page_id").alias("original"))
     )
@@ -206,6 +357,12 @@ def assemble(records: DataFrame) -> DataFrame:
     )
 
 
+def page_id() -> Column:
+    """The page id in a capture's first metadata record that has one."""
+    ids = F.transform("metadata", lambda r: F.try_element_at(r["fields"], F.lit("page-id")))
+    return F.get(F.filter(ids, lambda i: i.isNotNull()), F.lit(0)).try_cast("long")
+
+
 def capture_digests(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """Write ``pages`` as archives, read them back and describe each capture.
 
@@ -221,7 +378,7 @@ def capture_digests(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     records = publish(read_records(spark, path, with_payload=False), "warc-records")
     bytes_of = F.coalesce(F.col("main.payload_bytes"), F.col("original.payload_bytes"))
     return assemble(records).select(
-        F.col("metadata.fields")["page-id"].cast("long").alias("page_id"),
+        page_id().alias("page_id"),
         bytes_of.alias("payload_bytes"),
         F.col("main.payload_digest").alias("payload_digest"),
         F.col("main.type").alias("record_type"),
