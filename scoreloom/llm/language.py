@@ -13,10 +13,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoreloom.llm.names import unused_name
+
 UNKNOWN = "und"
 SAMPLE_ROWS = 128  # texts of each language that its dictionary is made of, at most
 SAMPLE_CHARS = 512  # characters taken from each, at a hashed place
-MAX_LANGUAGES = 200  # learned values of lang; more is an error
+LANGUAGES = 1000  # learned values of lang, the commonest ones
+DICTIONARY_CHARS = 200 * SAMPLE_ROWS * SAMPLE_CHARS  # of all languages together
 PART = 1024  # bytes that are compressed together; all parts of a text are
 LEVEL = 6
 MARGIN_BYTES = 64  # a shorter text needs one byte between the two best sizes, whatever its margin
@@ -24,16 +27,21 @@ MARGIN_BYTES = 64  # a shorter text needs one byte between the two best sizes, w
 RESULT = "lang string, score double, margin double"
 
 
-def dictionaries(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
+def dictionaries(
+    docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, languages: int = LANGUAGES, most_chars: int = DICTIONARY_CHARS
+) -> dict[str, bytes]:
     """Raw text per value of ``lang``, commonest language first.
 
     Rows with a null ``lang`` or ``text`` are left out. The texts are chosen by a hash of the id, so the
-    size is bounded by ``rows * chars`` characters a language, whatever the number of documents.
+    size is bounded by ``rows * chars`` characters a language and by ``most_chars`` in all, whatever the number of
+    documents: where there are many languages, each has fewer rows, but one at least. Of more than ``languages``
+    values the commonest are learned, ties by name; texts of the others get one of those.
     """
     known = docs.where("lang is not null and text is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    rows = max(1, min(rows, most_chars // (chars * max(1, len(counts)))))
+    if len(counts) == languages:
+        known = known.where(F.col("lang").isin([c["lang"] for c in counts]))
     pick = F.xxhash64("doc_id")
     start = F.pmod(pick, F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
     piece = F.lower(F.substring("text", start.cast("int"), F.lit(chars)))
@@ -45,7 +53,10 @@ def dictionaries(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_C
         .orderBy("lang", "nth")
         .collect()
     )
-    return {c["lang"]: "\n".join(r["piece"] for r in chosen if r["lang"] == c["lang"]).encode() for c in counts}
+    pieces: dict[str, list[str]] = {c["lang"]: [] for c in counts}
+    for r in chosen:
+        pieces[r["lang"]].append(r["piece"])
+    return {lang: "\n".join(own).encode() for lang, own in pieces.items()}
 
 
 class Compressors:
@@ -117,11 +128,12 @@ def predict(docs: DataFrame, raw: dict[str, bytes], min_margin: float = 0.0) ->
     Only ``text`` is an input. Every row of repeated ids or texts gets the same answer. Without any
     learned language all rows are ``und``. No rows give no rows.
     """
-    found = docs.withColumn("_found", identify(raw, F.col("text"), min_margin))
+    name = unused_name(docs, "found")
+    found = docs.withColumn(name, identify(raw, F.col("text"), min_margin))
     return found.withColumns(
         {
-            "lang_pred": F.col("_found.lang"),
-            "score": F.col("_found.score"),
-            "margin": F.col("_found.margin"),
+            "lang_pred": F.col(f"{name}.lang"),
+            "score": F.col(f"{name}.score"),
+            "margin": F.col(f"{name}.margin"),
         }
-    ).drop("_found")
+    ).drop(name)
