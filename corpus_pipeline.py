@@ -1,7 +1,11 @@
 """From documents to packed sequences: the stages of the corpus pipeline.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and read again
-as the next stage's documents. All but the last return the columns of ``documents``.
+as the next stage's documents. All but the last return the columns of their input, whatever they are called.
+
+Rows are documents: repeated ids and rows are looked at one by one, and of equal ones the near-duplicate stage keeps one.
+Null and empty texts are scored like others by the first stage; the language stage drops those without a letter. No rows give no
+rows.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.llm import language, quality, simhash
 from scoreloom.llm.mixing import mix
+from scoreloom.llm.names import unused_name
 from scoreloom.llm.packing import pack
 from scoreloom.sources.shared import publish
 
@@ -22,20 +27,23 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality classifier does not reject; it learns from the labels of its input."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     network = quality.train(quality.sample(docs, labels.select("doc_id", F.col("quality").alias("label"))))
-    kept = docs.withColumn("_score", quality.quality_score(network, F.col("text")))
-    return kept.where(F.col("_score") >= 0.3).drop("_score")
+    score = unused_name(docs, "score")
+    kept = docs.withColumn(score, quality.quality_score(network, F.col("text")))
+    return kept.where(F.col(score) >= 0.3).drop(score)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified with a margin; the dictionaries come from its input."""
     found = language.identify(language.dictionaries(docs), F.col("text"), MIN_MARGIN)
-    kept = docs.withColumn("_lang", found["lang"])
-    return kept.where(F.col("_lang") != language.UNKNOWN).drop("_lang")
+    known = unused_name(docs, "known")
+    kept = docs.withColumn(known, found["lang"])
+    return kept.where(F.col(known) != language.UNKNOWN).drop(known)
 
 
-def numbered_rows(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` stored with a unique number ``_row``, so that repeated and missing ids do no harm."""
-    return publish(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+def numbered_rows(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` stored with a unique number, so that repeated and missing ids do no harm, and the name of that column."""
+    row = unused_name(docs, "row")
+    return publish(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,21 +51,25 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The texts meet the decisions in a sort-merge join at every size, as both sides grow alike.
     """
-    rows = numbered_rows(docs, "dedup-rows")
-    classes = simhash.near_duplicates(rows, shingle=3, distance=3, carry=("_row",))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
-    stays = classes.groupBy("class_fp").agg(F.min(place)["_row"].alias("_row")).select("_row")
-    return rows.join(publish(stays, "dedup-stays").hint("merge"), "_row", "left_semi").select(*docs.columns)
+    rows, row = numbered_rows(docs, "dedup-rows")
+    numbers = rows.select("doc_id", "text", F.col(row).alias("row"))
+    classes = simhash.near_duplicates(numbers, shingle=3, distance=3, carry=("row",))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    stays = classes.groupBy("class_fp").agg(F.min(place)["row"].alias(row)).select(row)
+    return rows.join(publish(stays, "dedup-stays").hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, none to three times."""
-    rows = numbered_rows(docs, "mix-documents")
-    taken = mix(rows, weights=(5.0, 2.0, 1.0), max_epochs=3, key="_row")
-    times = F.sequence(F.lit(1).cast("long"), F.col("copies")).alias("_times")
-    copies = publish(taken.where("copies > 0").select("_row", times), "mix-copies")
-    repeated = rows.join(copies.hint("merge"), "_row").withColumn("_time", F.explode("_times"))
-    return repeated.select(*docs.columns)
+    rows, row = numbered_rows(docs, "mix-documents")
+    numbers = rows.select("doc_id", "source", "text", F.col(row).alias("row"))
+    taken = mix(numbers, weights=(5.0, 2.0, 1.0), max_epochs=3, key="row")
+    times = unused_name(rows, "times")
+    copies = taken.where("copies > 0").select(
+        F.col("row").alias(row), F.sequence(F.lit(1).cast("long"), F.col("copies")).alias(times)
+    )
+    repeated = rows.join(publish(copies, "mix-copies").hint("merge"), row)
+    return repeated.select(*[F.col(c) for c in docs.columns], F.explode(times).alias(times)).drop(times)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
