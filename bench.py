@@ -1,11 +1,12 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the tables (default sf0.1) and ``BENCH_CPUS`` the local cores. Each
-query runs to completion twice without fetching its rows; the second time counts, the first
-one is reported as ``cold``. ``stored`` times operators alone, over documents that are stored once:
-fastest and slowest of several runs. ``baseline`` compares, over the same documents, the extraction of
-one player's games with a row-at-a-time Python function, both with the test of the text that
-spares most documents the parse and without it.
+``BENCH_SF_DIR`` names the tables (default sf0.1) and ``BENCH_CPUS`` the local cores. The tables are first copied
+as several files each, as a cluster would hold them: one file of one row group is read by one task,
+which would time a single core. Each query runs to completion twice without fetching its rows; the second time
+counts, the first one is reported as ``cold``, and ``tasks`` is the number of tasks of its widest stage. ``stored``
+times operators alone, over documents that have landed as several files: fastest and slowest of several runs.
+``baseline`` compares, over the same documents, the extraction of one player's games with a row-at-a-time Python function,
+both with the test of the text that spares most documents the parse and without it.
 """
 
 from __future__ import annotations
@@ -24,9 +25,17 @@ from scoreloom.operators.documents import (
     documents_naming,
     latest_matches,
     match_index,
+    quarantine,
     with_status,
 )
-from scoreloom.operators.games import every_player_games, participant_games, player_games
+from scoreloom.operators.games import (
+    every_player_games,
+    participant_games,
+    player_games,
+    routed,
+    tracked_player_games,
+)
+from scoreloom.operators.strict import player_games_strict
 from scoreloom.operators.stats import champion_stats
 from scoreloom.schemas import GAME_SCHEMA
 from scoreloom.session import local_session
@@ -62,6 +71,29 @@ HEADLINE = [
 ]
 
 
+FILES = 16  # of each table and of the landed documents
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def split_tables(spark: SparkSession, sf_dir: str, to: str) -> str:
+    """Copies of the tables in several files each."""
+    for name in TABLES:
+        rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        rows.repartition(FILES).write.parquet(f"{to}/{name}.parquet")
+    return to
+
+
+def widest_stages(events: str, spans: dict[str, tuple[float, float]]) -> dict[str, int]:
+    """For each span of time, the tasks of the widest stage that began in it."""
+    begun = []
+    for log in Path(events).rglob("*"):
+        for line in log.open() if log.is_file() else ():
+            if '"SparkListenerStageCompleted"' in line:
+                stage = json.loads(line)["Stage Info"]
+                begun.append((stage["Submission Time"] / 1000, stage["Number of Tasks"]))
+    return {name: max((n for t, n in begun if start <= t <= end), default=0) for name, (start, end) in spans.items()}
+
+
 def seconds(build: Callable[[], DataFrame]) -> float:
     started = time.perf_counter()
     build().write.format("noop").mode("overwrite").save()
@@ -98,9 +130,14 @@ def spread(forms: dict[str, Callable[[], DataFrame]]) -> dict[str, list[float]]:
     return found
 
 
-def stored_operators(stored: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+def stored_operators(stored: DataFrame, damaged: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    players = stored.sparkSession.createDataFrame([(f"P{i}",) for i in range(1, 50, 10)], "puuid string")
     return {
-        "status": lambda: with_status(stored).groupBy("payload_status").count(),
+        "status": lambda: with_status(damaged).groupBy("payload_status").count(),
+        "quarantine": lambda: quarantine(damaged),
+        "routed": lambda: routed(damaged)[1],
+        "strict": lambda: player_games_strict(damaged, PLAYER),
+        "listed_players": lambda: tracked_player_games(stored, players),
         "latest": lambda: latest_matches(match_index(stored)),
         "participants": lambda: participant_games(stored),
         "every_player": lambda: every_player_games(stored),
@@ -121,12 +158,28 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     shared = tempfile.mkdtemp(prefix="scoreloom-bench-")
-    spark = local_session("scoreloom-bench", cpus=cpus, **{"spark.checkpoint.dir": shared})
-    cold, warm = {}, {}
+    events = f"{shared}/events"
+    os.mkdir(events)
+    spark = local_session(
+        "scoreloom-bench",
+        cpus=cpus,
+        **{
+            "spark.checkpoint.dir": shared,
+            "spark.sql.warehouse.dir": f"{shared}/warehouse",
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": f"file://{events}",
+            "spark.eventLog.compress": "false",
+        },
+    )
+    tables = split_tables(spark, sf_dir, f"{shared}/tables")
+    cold, warm, spans = {}, {}, {}
     for name in HEADLINE:
-        cold[name] = seconds(lambda: QUERIES[name](spark, sf_dir))
-        warm[name] = seconds(lambda: QUERIES[name](spark, sf_dir))
-    stored = publish(matches.documents(spark, sf_dir), "documents")
+        cold[name] = seconds(lambda: QUERIES[name](spark, tables))
+        began = time.time()
+        warm[name] = seconds(lambda: QUERIES[name](spark, tables))
+        spans[name] = (began, time.time())
+    stored = publish(matches.documents(spark, tables).repartition(FILES), "documents")
+    damaged = publish(matches.damaged_documents(spark, tables).repartition(FILES), "damaged")
     result = {
         "metric": "headline_queries_total",
         "value": round(sum(warm.values()), 3),
@@ -135,10 +188,11 @@ def main() -> None:
         "sf": Path(sf_dir).name.removeprefix("sf"),
         "cpus": cpus,
         "cold": cold,
-        "stored": spread(stored_operators(stored)),
+        "stored": spread(stored_operators(stored, damaged)),
         "baseline": spread(baseline(stored)),
     }
     spark.stop()
+    result["tasks"] = widest_stages(events, spans)
     print(json.dumps(result))
 
 

@@ -93,8 +93,8 @@ def preview(df: DataFrame, *order: str, rows: int = PREVIEW_ROWS) -> DataFrame:
     return df.orderBy(*order).limit(rows)
 
 
-def match_index(documents: DataFrame) -> DataFrame:
-    """One row per player and match: ``puuid, match_id, game_ts``.
+def match_index(documents: DataFrame, *also: str) -> DataFrame:
+    """One row per player and match, and per value of the columns ``also``: ``puuid, match_id, game_ts``.
 
     Copies of a document are folded before they are shuffled.
     """
@@ -108,9 +108,9 @@ def match_index(documents: DataFrame) -> DataFrame:
         ),
     )
     return (
-        documents.select(doc.alias("doc"))
-        .select(F.inline(F.when(match_id.isNotNull(), rows)))
-        .groupBy("puuid", "match_id")
+        documents.select(doc.alias("doc"), *also)
+        .select(*also, F.inline(F.when(match_id.isNotNull(), rows)))
+        .groupBy("puuid", "match_id", *also)
         .agg(F.max("game_ts").alias("game_ts"))
     )
 

@@ -20,6 +20,7 @@ from scoreloom.operators.upsert import upsert_table
 from scoreloom.sources.landing import read_documents
 from scoreloom.sources.shared import publish
 from scoreloom.sources.tables import finish_overwrite, overwrite_table, remove_old_versions, scan_table
+from scoreloom.streaming.index import LandingIndex
 
 
 @dataclass(frozen=True)
@@ -59,11 +60,14 @@ def run_daily(
     puuid: str,
     tables: Tables = Tables(),
     latest: int | None = LATEST_MATCHES,
+    index: LandingIndex | None = None,
 ) -> dict[str, int | None]:
     """Run the three steps in order and return the rows of each.
 
     The raw table takes the player's ``latest`` newest matches. With None the whole landing folder
-    is the raw data: it is counted and read where it lies, not copied. Tables keep one version
+    is the raw data: it is counted and read where it lies, not copied. With an ``index`` of the landing folder only
+    what has landed since the last run is parsed to find them, and only the files that hold them are read again; without it all is.
+    Tables keep one version
     before the present one, which the next run removes. A step that fails raises, so the steps
     after it do not run. Steps meet only in tables; each may be run again by itself with the
     same result.
@@ -75,7 +79,12 @@ def run_daily(
     if latest is None:
         raw, n_raw = landed, landed.count()
     else:
-        n_raw = load_raw(latest_documents(landed, puuid, latest), tables)
+        if index is not None:
+            index.update(spark)
+            newest = index.latest_documents(spark, puuid, latest)
+        else:
+            newest = latest_documents(landed, puuid, latest)
+        n_raw = load_raw(newest, tables)
         raw = scan_table(spark, tables.raw)
     return {
         "bronze": n_raw,

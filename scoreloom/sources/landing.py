@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from scoreloom.schemas import RAW_SCHEMA
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+FILE = "file"  # the column that names the file of a document
+
+
+def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed documents as one string column; nothing is parsed or inferred."""
     return spark.read.text(path).withColumnRenamed("value", "json_payload")
 
@@ -18,14 +21,19 @@ def stream_documents(
     path: str,
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
-    """The same as a stream of newly landed files, so many or so much of them at a time."""
+    """The same as a stream of newly landed files, so many or so much of them at a time.
+
+    ``with_file`` adds the name of the file that a document comes from.
+    """
     reader = spark.readStream.format("text")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     elif bytes_per_batch is not None:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    return reader.load(path).withColumnRenamed("value", "json_payload")
+    file = [F.col("_metadata.file_path").alias(FILE)] if with_file else []
+    return reader.load(path).select(F.col("value").alias("json_payload"), *file)
 
 
 def land_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -274,6 +274,11 @@ SELECT puuid, CAST(rank AS INTEGER) AS rank, match_id, game_ts FROM (
 played AS (
   SELECT match_id FROM lines WHERE own_puuid = '{PLAYER}' OR rival_puuid = '{PLAYER}'
   ORDER BY game_end DESC, match_id LIMIT {LATEST_MATCHES})
+SELECT json_payload FROM documents_ WHERE match_id IN (SELECT match_id FROM played)""",
+    "latest_documents_indexed": f"""WITH {_DOCUMENTS},
+played AS (
+  SELECT match_id FROM lines WHERE own_puuid = '{PLAYER}' OR rival_puuid = '{PLAYER}'
+  ORDER BY game_end DESC, match_id LIMIT {LATEST_MATCHES})
 SELECT json_payload FROM documents_ WHERE match_id IN (SELECT match_id FROM played)""",
     "silver_player_games": f"""WITH {_BASE}
 SELECT match_id, champion, kills, deaths, assists, win FROM first_games
@@ -286,6 +291,14 @@ SELECT CASE l_orderkey % 50 WHEN 4 THEN '' WHEN 5 THEN '' WHEN 9 THEN l_orderkey
   CASE WHEN l_orderkey % 50 <> 16 THEN win END AS win
 FROM first_games g JOIN lines l USING (doc)
 WHERE puuid = '{PLAYER}' AND l_orderkey % 50 NOT IN (0, 1, 2, 3, 6, 7, 8, 12, 14)""",
+    "silver_damaged_documents_strict": f"""WITH {_BASE}
+SELECT CASE l_orderkey % 50 WHEN 4 THEN '' WHEN 5 THEN '' WHEN 9 THEN l_orderkey::VARCHAR
+    WHEN 11 THEN '{{q=' || g.match_id || '}}' ELSE g.match_id END AS match_id,
+  champion, CASE WHEN l_orderkey % 50 <> 15 THEN kills END AS kills, deaths,
+  CASE WHEN l_orderkey % 50 <> 17 THEN assists END AS assists,
+  CASE WHEN l_orderkey % 50 <> 16 THEN win END AS win
+FROM first_games g JOIN lines l USING (doc)
+WHERE puuid = '{PLAYER}' AND l_orderkey % 50 NOT IN (0, 1, 2, 3, 6, 7, 8, 12, 13, 14)""",
     "silver_all_participants": f"""WITH {_BASE}
 SELECT puuid, match_id, champion, kills, deaths, assists, win FROM games""",
     "silver_every_player": f"""WITH {_BASE}

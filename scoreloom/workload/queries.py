@@ -19,6 +19,7 @@ from scoreloom.operators import documents as docs
 from scoreloom.operators import feed as feeds
 from scoreloom.operators import games as extract
 from scoreloom.operators import stats as statistics
+from scoreloom.operators.strict import player_games_strict
 from scoreloom.operators.upsert import check_source, upsert
 from scoreloom.plans import daily, panels
 from scoreloom.schemas import STATS_SCHEMA
@@ -26,6 +27,7 @@ from scoreloom.sources.buckets import BucketedTable
 from scoreloom.sources.landing import land_documents, read_documents
 from scoreloom.sources.shared import fresh_path, publish
 from scoreloom.sources.tables import overwrite_table, scan_table
+from scoreloom.streaming.index import LandingIndex
 from scoreloom.streaming.latest import LatestMatches
 from scoreloom.streaming.live import LiveStats
 from scoreloom.workload import matches as m
@@ -84,6 +86,18 @@ def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.latest_documents(m.documents(spark, sf_dir), PLAYER)
 
 
+def latest_documents_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by an index of the landed files, which is brought up to date after each of two landings."""
+    landing = fresh_path(spark, "landing")
+    index = LandingIndex(fresh_path(spark, "index"), landing)
+    documents = publish(m.documents(spark, sf_dir), "documents")
+    half = F.pmod(F.xxhash64("json_payload"), F.lit(2))
+    for part in range(2):
+        land_documents(documents.where(half == part), landing, mode="append")
+        index.update(spark)
+    return index.latest_documents(spark, PLAYER)
+
+
 # --- games ------------------------------------------------------------------------------
 
 
@@ -95,6 +109,10 @@ def silver_damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.player_games(m.damaged_documents(spark, sf_dir), PLAYER)
 
 
+def silver_damaged_documents_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return player_games_strict(m.damaged_documents(spark, sf_dir), PLAYER)
+
+
 def silver_all_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.participant_games(m.documents(spark, sf_dir))
 
@@ -387,8 +405,10 @@ QUERIES: dict[str, Query] = {
             quarantined_payloads,
             latest_n_matches,
             latest_documents,
+            latest_documents_indexed,
             silver_player_games,
             silver_damaged_documents,
+            silver_damaged_documents_strict,
             silver_all_participants,
             silver_every_player,
             silver_tracked_players,
