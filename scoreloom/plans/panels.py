@@ -54,6 +54,21 @@ def column_or(df: DataFrame, name: str, default: object) -> Column:
     return F.col(name) if name in df.columns else F.lit(default).alias(name)
 
 
+def _count(weight: str | None, condition: Column | None = None) -> Column:
+    """Rows, or the sum of their weights, where a condition holds."""
+    if weight is None:
+        return F.count(F.lit(1)) if condition is None else F.count_if(condition)
+    counted = F.col(weight) if condition is None else F.when(condition, F.col(weight))
+    return F.coalesce(F.sum(counted), F.lit(0))
+
+
+def _mean(weight: str | None) -> Column:
+    """Mean of the known rates."""
+    if weight is None:
+        return F.avg(RATE)
+    return F.try_divide(F.sum(F.col(RATE) * F.col(weight)), F.sum(F.when(F.col(RATE).isNotNull(), F.col(weight))))
+
+
 def _above_baseline(rate: Column) -> Column:
     return F.coalesce(rate >= BASELINE_RATE, F.lit(False))
 
@@ -109,15 +124,18 @@ def spark_top5(metrics: DataFrame) -> DataFrame:
     )
 
 
-def tier_counts(metrics: DataFrame) -> DataFrame:
+def tier_counts(metrics: DataFrame, weight: str | None = None) -> DataFrame:
     """Champions per tier, C to S, with 0 for a tier without any.
 
-    Without the column ``tier`` all rows count for the default tier.
+    Without the column ``tier`` all rows count for the default tier. ``weight`` names a column of the number of
+    champions that a row stands for, here and in the other panels that take it.
     """
     spark = metrics.sparkSession
     counts = F.count("champion") if "tier" in metrics.columns else F.count(F.lit(1))
-    tiered = metrics.select("champion", column_or(metrics, "tier", DEFAULT_TIER))
-    counted = tiered.groupBy("tier").agg(counts.alias("n"))
+    if weight is not None:
+        counts = _count(weight)
+    tier = column_or(metrics, "tier", DEFAULT_TIER)
+    counted = metrics.select(tier, weight or "champion").groupBy("tier").agg(counts.alias("n"))
     return (
         tier_table(spark, worst_first=True)
         .join(counted, "tier", "left")
@@ -156,21 +174,22 @@ def axis_bounds(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _volume_split() -> dict[str, Column]:
+def _volume_split(weight: str | None = None) -> dict[str, Column]:
+    median = F.median(PLAYED) if weight is None else F.percentile(PLAYED, F.lit(0.5), F.col(weight))
     return {
-        "median_played": F.median(PLAYED),
+        "median_played": median,
         "min_played": F.min(PLAYED),
         "max_played": F.max(PLAYED),
     }
 
 
-def volume_split(metrics: DataFrame) -> DataFrame:
+def volume_split(metrics: DataFrame, weight: str | None = None) -> DataFrame:
     """Median, smallest and largest volume.
 
     The exact median keeps one counter per distinct volume. Volumes are counts that add up to
     all games, so among g games there are at most sqrt(2g) distinct ones.
     """
-    return metrics.agg(*[value.alias(name) for name, value in _volume_split().items()])
+    return metrics.agg(*[value.alias(name) for name, value in _volume_split(weight).items()])
 
 
 def volume_points(metrics: DataFrame, highlighted: str | None = None) -> DataFrame:
@@ -218,7 +237,7 @@ def _with_bins(df: DataFrame, metrics: DataFrame) -> DataFrame:
     )
 
 
-def rate_histogram(metrics: DataFrame) -> DataFrame:
+def rate_histogram(metrics: DataFrame, weight: str | None = None) -> DataFrame:
     """Equal-width histogram of the rates: ``bin, lo, hi, center, width, n``.
 
     A rate belongs to the last bin whose left edge it reaches, so the highest rate falls into
@@ -226,8 +245,9 @@ def rate_histogram(metrics: DataFrame) -> DataFrame:
     aggregation counts the rates that reach each edge; neighbours differ by a bin's count.
     """
     first, last, step = F.col("first"), F.col("last"), F.col("step")
-    reached = [F.count_if(F.col(RATE) >= step * k + first) for k in range(HISTOGRAM_BINS)]
-    totals = _with_bins(metrics.select(RATE), metrics).agg(
+    reached = [_count(weight, F.col(RATE) >= step * k + first) for k in range(HISTOGRAM_BINS)]
+    values = metrics.select(RATE, *([weight] if weight else []))
+    totals = _with_bins(values, metrics).agg(
         *[F.max(end).alias(end) for end in ("first", "last", "step")],
         *[count.alias(f"reached_{k}") for k, count in enumerate(reached)],
     )
@@ -256,8 +276,18 @@ def rate_histogram(metrics: DataFrame) -> DataFrame:
     )
 
 
-def rate_moments(metrics: DataFrame) -> DataFrame:
+def rate_moments(metrics: DataFrame, weight: str | None = None) -> DataFrame:
     """Mean and population deviation of the rates, and the number of rows."""
+    if weight is not None:
+        centred = with_one_row(metrics, "over_all", mean=_mean(weight)).withColumn(
+            "square", F.pow(F.col(RATE) - F.col("over_all.mean"), 2) * F.col(weight)
+        )
+        known = F.sum(F.when(F.col(RATE).isNotNull(), F.col(weight)))
+        return centred.agg(
+            F.max("over_all.mean").alias("mean_wr"),
+            F.sqrt(F.try_divide(F.sum("square"), known)).alias("std_wr"),
+            _count(weight).alias("n"),
+        )
     return metrics.agg(
         F.avg(RATE).alias("mean_wr"),
         F.stddev_pop(RATE).alias("std_wr"),
@@ -293,12 +323,13 @@ def normal_curve(metrics: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
 # --- tiers ------------------------------------------------------------------------------
 
 
-def tier_summary(metrics: DataFrame) -> DataFrame:
+def tier_summary(metrics: DataFrame, weight: str | None = None) -> DataFrame:
     """Champions and mean rate per tier, best tier first, with text and colour."""
+    counts = F.count("champion") if weight is None else _count(weight)
     per_tier = (
-        metrics.select("champion", RATE, column_or(metrics, "tier", DEFAULT_TIER))
+        metrics.select(weight or "champion", RATE, column_or(metrics, "tier", DEFAULT_TIER))
         .groupBy("tier")
-        .agg(F.count("champion").alias("n"), F.avg(RATE).alias("avg_wr"))
+        .agg(counts.alias("n"), _mean(weight).alias("avg_wr"))
     )
     return (
         per_tier.join(tier_table(metrics.sparkSession), "tier")

@@ -63,6 +63,14 @@ class LiveStats:
             return stats_from_sums(spark.createDataFrame([], SUMS_SCHEMA), "champion")
         return stats_from_sums(spark.read.schema(SUMS_SCHEMA).parquet(self.sums_after(last)), "champion")
 
+    def changed_stats(self, spark: SparkSession) -> DataFrame:
+        """Current statistics of the champions that the last batch brought games of."""
+        last = last_batch(spark, f"{self.base}/sums")
+        if last is None:
+            return self.stats(spark)
+        new = self.games(spark).where(F.col(BATCH) == last).select(F.col("champion").alias("played")).distinct()
+        return self.stats(spark).join(new, F.col("champion").eqNullSafe(F.col("played")), "left_semi")
+
     def take_batch(self, documents: DataFrame, batch_id: int) -> None:
         """Count the games of one batch that were not counted before."""
         spark = documents.sparkSession

@@ -491,3 +491,5 @@ FROM metrics""",
         f" WHERE win_rate_pct BETWEEN 40 AND 60 ORDER BY {_BEST} LIMIT 5"
     ),
 }
+# The stream counts a player's first entry of a document only.
+ORACLE["stream_panels"] = ORACLE["win_rate_histogram"].replace("FROM games GROUP BY", "FROM first_games GROUP BY")

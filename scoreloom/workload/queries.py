@@ -22,6 +22,7 @@ from scoreloom.operators import stats as statistics
 from scoreloom.operators.strict import player_games_strict
 from scoreloom.operators.upsert import check_source, upsert
 from scoreloom.plans import daily, panels
+from scoreloom.plans.refresh import WEIGHT, PanelState
 from scoreloom.schemas import STATS_SCHEMA
 from scoreloom.sources.buckets import BucketedTable
 from scoreloom.sources.landing import land_documents, read_documents
@@ -270,6 +271,19 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.latest(spark)
 
 
+def stream_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histogram of win rates from the panels' state, which each of three landings refreshes."""
+    landing = fresh_path(spark, "landing")
+    live, state = LiveStats(fresh_path(spark, "live")), PanelState(fresh_path(spark, "panels"))
+    documents = publish(m.documents(spark, sf_dir), "documents")
+    part = F.pmod(F.xxhash64("json_payload"), F.lit(3))
+    for third in range(3):
+        land_documents(documents.where(part == third), landing, mode="append")
+        live.start(spark, landing, once=True).awaitTermination()
+        state.refresh(feeds.champion_feed(live.changed_stats(spark)))
+    return panels.rate_histogram(state.rates(spark), WEIGHT)
+
+
 # --- feed -------------------------------------------------------------------------------
 
 
@@ -429,6 +443,7 @@ QUERIES: dict[str, Query] = {
             stage_counts_latest,
             stream_gold,
             stream_latest,
+            stream_panels,
             champion_feed,
             normalize_columns,
             feed_or_fallback,
