@@ -7,13 +7,14 @@ proportion to their weights until nobody is above the clamp.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.functions.positions import numbered, running_sum
+from scoreloom.functions.positions import numbered
 from scoreloom.sources.shared import publish
 
 WORD = r"[^\x20\x09-\x0D]+"
+PLACE_BITS = 33  # of monotonically_increasing_id: partition above, place in the partition below
 
 
 def word_count(text: Column) -> Column:
@@ -52,6 +53,39 @@ def water_level(sources: DataFrame, total: int, max_epochs: int) -> float:
         clamped, level = row["clamped"], (total - row["taken"]) / row["open"]
 
 
+def running_sum(
+    df: DataFrame, order: list[Column | str], value: str, name: str = "before"
+) -> DataFrame:
+    """The sum of ``value`` over all rows that come before each row in ``order``.
+
+    The rows are sorted in parallel and stored with their partition and their place there. Sums run inside the
+    partitions; one sum per partition passes through one task.
+    """
+    at = F.monotonically_increasing_id()
+    part, place, start, inside = (f"{name}_{what}" for what in ("part", "place", "start", "inside"))
+    stored = publish(
+        df.orderBy(*order).select(
+            "*",
+            F.shiftright(at, PLACE_BITS).cast("int").alias(part),
+            at.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias(place),
+        ),
+        "mix-ordered",
+    )
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        stored.groupBy(part)
+        .agg(F.sum(value).alias(start))
+        .select(part, F.coalesce(F.sum(start).over(earlier), F.lit(0)).alias(start))
+    )
+    ahead = Window.partitionBy(part).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        stored.withColumn(inside, F.coalesce(F.sum(value).over(ahead), F.lit(0)))
+        .join(starts, part)
+        .withColumn(name, F.col(start) + F.col(inside))
+        .drop(part, place, start, inside)
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (5.0, 2.0, 1.0),
