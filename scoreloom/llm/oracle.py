@@ -95,11 +95,15 @@ def crc_table() -> str:
     return f"crc_table AS (SELECT list(c ORDER BY i) AS t FROM ({steps}))"
 
 
-def crc32(digits: str) -> str:
-    """CRC-32 of a text of ASCII characters, beside ``crc_table``."""
-    codes = f"list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT for x in string_split({digits}, '')])"
+def crc32(codes: str) -> str:
+    """CRC-32 of a list of byte values, beside ``crc_table``."""
     step = "xor(c >> 8, t[(xor(c, b) & 255) + 1])"
-    return f"xor(list_reduce({codes}, lambda c, b: {step}), 4294967295)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def bytes_of(text: str) -> str:
+    """The values of a text's UTF-8 bytes."""
+    return f"list_transform(regexp_extract_all(hex({text}), '..'), lambda x: ('0x' || x)::BIGINT)"
 
 
 def _field(value: str) -> str:
@@ -114,7 +118,7 @@ def _leaf(text: str) -> str:
 OP12 = f"""
 WITH RECURSIVE {crc_table()}, leaves AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '-') AS grp, {_leaf('text')} AS leaf,
-    CASE WHEN {crc32('doc_id::VARCHAR')} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS altered
+    CASE WHEN {crc32(bytes_of('doc_id::VARCHAR'))} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS altered
   FROM documents, crc_table
 ), placed AS (
   SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
@@ -156,4 +160,23 @@ SELECT p.doc_id, p.leaf, s.subroot, t.h AS root, sha256(f.proof) AS proof_sha256
 FROM placed p JOIN subroots s USING (grp) JOIN folded f USING (rid), (SELECT h FROM top WHERE n = 1) t
 """
 
-ORACLE = {"op6_embeddings": OP6, "op7_mixing": OP7, "op8_warc": OP8, "op12_merkle": OP12}
+OP10 = f"""
+WITH {crc_table()}, rows AS (
+  SELECT doc_id, source, strlen(coalesce(text, '')) + 8 AS size, md5('shard' || coalesce(doc_id::VARCHAR, '')) AS key,
+    {crc32(bytes_of("coalesce(text, '')"))} AS text_crc32
+  FROM documents, crc_table
+), ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size, text_crc32) - 1 + 0.5e0)
+    / count(*) OVER (PARTITION BY source) AS rank
+  FROM rows
+), placed AS (
+  SELECT *, count(*) OVER () AS total,
+    row_number() OVER (ORDER BY rank, source NULLS LAST, key, doc_id NULLS FIRST, size, text_crc32) - 1 AS place
+  FROM ranked
+), cut AS (SELECT *, place * 24 // total AS shard FROM placed)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+  (place - (shard * total + 23) // 24)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM cut
+"""
+
+ORACLE = {"op6_embeddings": OP6, "op7_mixing": OP7, "op8_warc": OP8, "op10_sharding": OP10, "op12_merkle": OP12}
