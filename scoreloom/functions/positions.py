@@ -1,4 +1,4 @@
-"""Positions of all rows, and sums of the rows before each row, in one total order."""
+"""Positions of all rows in one total order."""
 
 from __future__ import annotations
 
@@ -24,16 +24,16 @@ def _ordered(df: DataFrame, order: list[Column | str]) -> DataFrame:
     )
 
 
-def _sums_before(stored: DataFrame, value: Column, name: str) -> DataFrame:
-    """For each partition of a stored order, the sum of ``value`` over the partitions before.
+def _rows_before(stored: DataFrame) -> DataFrame:
+    """For each partition of a stored order, the rows of the partitions before, as ``__start``.
 
     One row per partition, as many as the session has shuffle partitions at most.
     """
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     return (
         stored.groupBy(_PART)
-        .agg(F.sum(value).alias("__n"))
-        .select(_PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(name))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(_PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     )
 
 
@@ -45,37 +45,13 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "pos") -> Dat
     rows in the partitions before; only one count per partition passes through one task.
     """
     stored = _ordered(df, order)
-    starts = _sums_before(stored, F.lit(1), "__start")
     return (
-        stored.join(starts, _PART)
+        stored.join(_rows_before(stored), _PART)
         .withColumn(name, F.col("__start") + F.col(_PLACE))
         .drop(_PART, _PLACE, "__start")
     )
 
 
-def running_sum(
-    df: DataFrame, order: list[Column | str], value: str, name: str = "before"
-) -> DataFrame:
-    """The sum of ``value`` over all rows that come before each row in ``order``.
-
-    Sums run inside the partitions of a parallel sort; one sum per partition passes through one
-    task.
-    """
-    stored = _ordered(df, order)
-    starts = _sums_before(stored, F.col(value), "__start")
-    inside = (
-        Window.partitionBy(_PART)
-        .orderBy(_PLACE)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        stored.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(starts, _PART)
-        .withColumn(name, F.col("__start") + F.col("__inside"))
-        .drop(_PART, _PLACE, "__start", "__inside")
-    )
-
-
 def with_position(
     df: DataFrame, rate: str, tie: str, descending: bool = False, name: str = "pos"
 ) -> DataFrame:

@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scoreloom.sources.files import delete
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -28,9 +33,36 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+@contextmanager
+def own_run() -> Iterator[str]:
+    """What is published inside lies in a folder of its own, whose name is given, to be removed by ``remove_run``."""
+    before = _RUN.set(uuid.uuid4().hex)
+    try:
+        yield _RUN.get()
+    finally:
+        _RUN.reset(before)
+
+
+def run_folder(spark: SparkSession, run: str | None = None) -> str:
+    """The folder of a run, by default of the present one; outside of any, of the application."""
+    name = run or _RUN.get() or spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/scoreloom/{name}"
+
+
+def remove_run(spark: SparkSession, run: str | None = None) -> bool:
+    """Remove what a run has published, by default the application outside of ``own_run``; whether there was something.
+
+    To be called when no result that reads it is needed any more.
+    """
+    return delete(spark, run_folder(spark, run))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, never used before."""
-    return f"{shared_folder(spark)}/scoreloom/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder of the present run, never used before."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def publish(df: DataFrame, name: str) -> DataFrame:

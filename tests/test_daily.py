@@ -1,5 +1,6 @@
 """The daily run and its tables."""
 
+from pathlib import Path
 from uuid import uuid4
 
 import pytest
@@ -10,7 +11,7 @@ from scoreloom.operators.games import player_games
 from scoreloom.operators.stats import champion_stats
 from scoreloom.plans.daily import Tables, run_daily
 from scoreloom.sources.landing import land_documents
-from scoreloom.sources.shared import publish, shared_folder
+from scoreloom.sources.shared import own_run, publish, remove_run, run_folder, shared_folder
 from scoreloom.sources.tables import (
     default_location,
     overwrite_table,
@@ -100,3 +101,16 @@ def test_published_tables_lie_in_the_shared_folder(spark):
     published = publish(spark.range(3), "numbers")
     assert rows(published) == [(0,), (1,), (2,)]
     assert all(shared_folder(spark) in f for f in published.inputFiles())
+
+
+def test_what_a_run_published_can_be_removed(spark):
+    outside = publish(spark.range(2), "outside")
+    with own_run() as first:
+        mine = publish(spark.range(3), "mine")
+        with own_run() as second:
+            other = publish(spark.range(4), "other")
+        again = publish(spark.range(5), "again")
+    assert all(f"/{first}/" in f for f in [*mine.inputFiles(), *again.inputFiles()])
+    assert remove_run(spark, first) and not remove_run(spark, first)
+    assert not Path(run_folder(spark, first)).exists()
+    assert other.count() == 4 and outside.count() == 2 and remove_run(spark, second)
