@@ -21,9 +21,11 @@ from scoreloom.operators.stats import add_sums, game_sums, stats_from_sums
 from scoreloom.schemas import PLAYER_GAME_SCHEMA, SUMS_SCHEMA
 from scoreloom.sources.files import delete
 from scoreloom.sources.landing import stream_documents
+from scoreloom.sources.shared import COMPRESSION
 from scoreloom.streaming.runs import BATCH, FAN_IN, KEPT_BATCHES, MAX_RUN_ROWS, Runs, last_batch
 
 IDENTITY = ["match_id", "puuid"]
+HASH = "identity_hash"
 ID_PREFIX = r"^\D*"
 MAX_RANGES = 200  # ranges of ids that a batch's history is read by
 BYTES_PER_BATCH = 64 << 30
@@ -40,6 +42,9 @@ class LiveStats:
     def arrived(self, batch_id: int) -> str:
         return f"{self.base}/arrived/{BATCH}={batch_id}"
 
+    def repeated(self, batch_id: int) -> str:
+        return f"{self.base}/repeated/{BATCH}={batch_id}"
+
     def sums_after(self, batch_id: int) -> str:
         return f"{self.base}/sums/{BATCH}={batch_id}"
 
@@ -74,20 +79,9 @@ class LiveStats:
     def take_batch(self, documents: DataFrame, batch_id: int) -> None:
         """Count the games of one batch that were not counted before."""
         spark = documents.sparkSession
-        # Copies are folded before the shuffle; of copies that differ the smallest counts, so that a
-        # batch that is run again takes the same one.
-        games = every_player_games(documents)
-        values = [c for c in PLAYER_GAME_SCHEMA.names if c not in IDENTITY]
-        named = games.where("match_id <> ''").groupBy(*IDENTITY).agg(F.min(F.struct(*values)).alias("g"))
-        once_each = named.select(*IDENTITY, "g.*").select(*PLAYER_GAME_SCHEMA.names)
-        # A game without a match id has no identity to compare, so each such row counts.
-        nameless = games.where("match_id = ''").select(*PLAYER_GAME_SCHEMA.names)
-        fresh = once_each
-        if batch_id > 0:
-            once_each.write.mode("overwrite").parquet(self.arrived(batch_id))
-            arrived = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.arrived(batch_id))
-            fresh = arrived.join(self._seen_before(arrived, batch_id), IDENTITY, "left_anti")
-        counted = self.runs.append(fresh.unionByName(nameless), batch_id)
+        _write(every_player_games(documents).select(*PLAYER_GAME_SCHEMA.names), self.arrived(batch_id))
+        arrived = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(self.arrived(batch_id))
+        counted = self.runs.append(self._fresh(arrived, batch_id), batch_id)
 
         sums = game_sums(counted, "champion")
         if batch_id > 0:
@@ -98,14 +92,47 @@ class LiveStats:
         # those before, which a reader may have just chosen.
         delete(spark, self.sums_after(batch_id - KEPT_BATCHES))
         delete(spark, self.arrived(batch_id - 1))
+        delete(spark, self.repeated(batch_id - 1))
+
+    def _fresh(self, arrived: DataFrame, batch_id: int) -> DataFrame:
+        """The games of a stored batch that count: each identity once, and none that earlier batches hold.
+
+        Most games come once, so the games themselves are not shuffled to see it: hashes of the identities are. Games
+        whose hash comes again, in the batch or in the history, are compared by the identities.
+        """
+        spark = arrived.sparkSession
+        # A game without a match id has no identity to compare, so each such row counts: its hash is null.
+        hashed = arrived.withColumn(HASH, F.when(F.col("match_id") != "", F.xxhash64(*IDENTITY)))
+        old = self._in_reach(arrived.where("match_id <> ''"), batch_id).select(F.xxhash64(*IDENTITY).alias(HASH))
+        both = hashed.where(F.col(HASH).isNotNull()).select(HASH, F.lit(True).alias("new"))
+        both = both.unionByName(old.withColumn("new", F.lit(False)))
+        met = both.groupBy(HASH).agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("new"))
+        # Stored, so that their size is known: as a rule few or none, which Spark broadcasts.
+        hashes, games = f"{self.repeated(batch_id)}/hashes", f"{self.repeated(batch_id)}/games"
+        _write(met.where("n > 1 AND new").select(HASH), hashes)
+        again = spark.read.schema(f"{HASH} long").parquet(hashes)
+        _write(hashed.join(again, HASH, "left_semi").drop(HASH), games)
+        repeated = spark.read.schema(PLAYER_GAME_SCHEMA).parquet(games)
+        # Copies are folded before the shuffle; of copies that differ the smallest counts, so that a
+        # batch that is run again takes the same one.
+        values = [c for c in PLAYER_GAME_SCHEMA.names if c not in IDENTITY]
+        folded = repeated.groupBy(*IDENTITY).agg(F.min(F.struct(*values)).alias("g")).select(*IDENTITY, "g.*")
+        unseen = folded.join(self._seen_before(repeated, batch_id), IDENTITY, "left_anti")
+        return hashed.join(again, HASH, "left_anti").drop(HASH).unionByName(unseen)
 
     def _seen_before(self, arrived: DataFrame, batch_id: int) -> DataFrame:
         """Those identities of ``arrived`` that earlier batches hold.
 
+        The batch is the small side of the semi join, and Spark broadcasts it when its size allows.
+        """
+        return self._in_reach(arrived, batch_id).join(arrived.select(*IDENTITY), IDENTITY, "left_semi")
+
+    def _in_reach(self, arrived: DataFrame, batch_id: int) -> DataFrame:
+        """The identities in earlier batches that may be among those of ``arrived``.
+
         Ids are a prefix, such as a region, and a number that grows with time. Only ids within the
         batch's range of a prefix are read, as file statistics rule out the rest; that is a small
-        share of a long history, however many prefixes a batch holds. The batch is the small
-        side of the semi join, and Spark broadcasts it when its size allows.
+        share of a long history, however many prefixes a batch holds.
         """
         prefix = F.regexp_extract("match_id", ID_PREFIX, 0)
         ends = arrived.groupBy(prefix.alias("prefix"), F.length("match_id").alias("size")).agg(
@@ -117,8 +144,7 @@ class LiveStats:
         reach = reduce(or_, [F.col("match_id").between(r["low"], r["high"]) for r in ranges], F.lit(False))
         spark = arrived.sparkSession
         counted = self.runs.read(spark, self.runs.after(spark, batch_id - 1))
-        in_reach = counted.where(F.col("match_id") != "").where(reach)
-        return in_reach.select(*IDENTITY).join(arrived.select(*IDENTITY), IDENTITY, "left_semi")
+        return counted.where(F.col("match_id") != "").where(reach).select(*IDENTITY)
 
     def start(
         self,
@@ -139,6 +165,10 @@ class LiveStats:
         )
 
 
+def _write(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+
+
 def start_batches(
     documents: DataFrame,
     take_batch: Callable[[DataFrame, int], None],

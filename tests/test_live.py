@@ -203,3 +203,27 @@ def test_a_failure_during_compaction_changes_nothing(spark, tmp_path, monkeypatc
 def test_nothing_counted_yet(spark, tmp_path):
     live = LiveStats(str(tmp_path / "live"))
     assert live.stats(spark).count() == 0 and live.games(spark).count() == 0 and compacted([]) == []
+
+
+def test_only_games_that_may_come_again_are_compared(spark, tmp_path, monkeypatch):
+    """Games that come once are neither shuffled nor looked up by their ids."""
+    live, plain, compared = LiveStats(str(tmp_path / "live")), LiveStats._seen_before, []
+
+    def counts(self, arrived, batch_id):
+        compared.append(sorted(r.match_id for r in arrived.collect()))
+        return plain(self, arrived, batch_id)
+
+    monkeypatch.setattr(LiveStats, "_seen_before", counts)
+    old = [doc(f"M{n}", entry("a", "X", 1, True)) for n in range(100, 150)]
+    live.take_batch(documents_from_strings(spark, old), 0)
+    new = [doc(f"M{n}", entry("a", "X", 1, True)) for n in range(120, 121)]  # counted before
+    new += [doc("M200", entry("a", "X", k, True)) for k in (7, 5, 5, 9)]  # copies that differ
+    new += [doc(f"M{n}", entry("a", "X", 1, True)) for n in range(110, 111)]
+    new += [doc(f"M1{n}5", entry("b", "X", 1, True)) for n in range(5)]  # another player's, in old matches or not
+    for _ in range(2):  # the second time after a failure
+        live.take_batch(documents_from_strings(spark, [*new, NO_ID, NO_ID]), 1)
+        assert compared[-1] == ["M110", "M120", *["M200"] * 4]
+        brought = live.games(spark).where("batch_id = 1")
+        found = sorted((r.match_id, r.puuid, r.kills) for r in brought.collect())
+        assert found == [("", "a", 1), ("", "a", 1), *[(f"M1{n}5", "b", 1) for n in range(5)], ("M200", "a", 5)]
+        assert live.stats(spark).first().total_partidas == 58
