@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scoreloom.sources.files import delete
 
 SETTING = "spark.checkpoint.dir"
+COMPRESSION = "zstd"  # of published tables
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -73,5 +74,5 @@ def publish(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
