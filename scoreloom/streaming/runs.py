@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.sources.files import children, delete, is_complete
+from scoreloom.sources.shared import COMPRESSION
 
 BATCH = "batch_id"
 FAN_IN = 4  # runs of one size that become one
@@ -64,8 +65,9 @@ def last_batch(spark: SparkSession, folder: str) -> int | None:
 class Runs:
     """The runs below ``base``, which all executors must share.
 
-    Rows have the columns of ``schema`` and the batch that brought them. A run is sorted by ``order``, so that readers
-    of few values of its first column open few files and row groups.
+    Rows have the columns of ``schema`` and the batch that brought them. The files of a run are sorted by ``order``, so
+    that readers of few values of its first column open few row groups and pages; files of compacted runs hold
+    ranges that lie apart, so that they open few files, too. A batch's own run is not shuffled for that.
     """
 
     base: str
@@ -111,10 +113,11 @@ class Runs:
         return self.read(spark, [own])
 
     def write(self, rows: DataFrame, run: Run) -> None:
+        apart = rows.repartitionByRange(*self.order) if run.batches > 1 else rows
         (
-            rows.repartitionByRange(*self.order)
-            .sortWithinPartitions(*self.order)
+            apart.sortWithinPartitions(*self.order)
             .write.mode("overwrite")
+            .option("compression", COMPRESSION)
             .option("parquet.block.size", ROW_GROUP_BYTES)
             .parquet(self.folder(run))
         )

@@ -6,7 +6,8 @@ import pytest
 
 from scoreloom.plans.daily import Tables, latest_documents, run_daily
 from scoreloom.sources.landing import documents_from_strings, land_documents, read_documents
-from scoreloom.streaming.index import LandingIndex
+from scoreloom.streaming.index import PLACES_SCHEMA, LandingIndex
+from scoreloom.streaming.runs import Runs
 
 
 def doc(match_id, ts, *players, note=""):
@@ -71,3 +72,21 @@ def test_the_daily_run_by_the_index(spark, index):
     plain = run_daily(spark, index.landing, "a", Tables("b_p", "s_p", "g_p"), latest=3)
     assert run_daily(spark, index.landing, "a", Tables("b_i", "s_i", "g_i"), latest=3, index=index) == plain
     assert rows(spark.table("b_i")) == rows(spark.table("b_p")) and plain["bronze"] == 3
+
+
+def test_a_batch_is_stored_in_sorted_files_without_a_shuffle_by_ranges(spark, tmp_path):
+    places = Runs(str(tmp_path / "places"), PLACES_SCHEMA, ("puuid", "match_id"), fan_in=2)
+    rows = [(f"p{n % 7}", f"M{n}", n, "f") for n in range(700)]
+    for batch in range(2):
+        assert places.append(spark.createDataFrame(rows, PLACES_SCHEMA).repartition(3), batch).count() == 700
+
+    def ranges(run):
+        files = sorted((tmp_path / "places" / "rows" / f"run={run}").glob("part-*"))
+        found = [[tuple(r) for r in spark.read.parquet(str(f)).select("puuid", "match_id").collect()] for f in files]
+        assert all(one == sorted(one) for one in found) and sum(map(len, found)) in (700, 1400)
+        return sorted((one[0][0], one[-1][0]) for one in found)
+
+    assert ranges("0-0") == ranges("1-1") == [("p0", "p6")] * 3  # as they came
+    apart = ranges("0-1")  # compacted: files hold ranges that lie apart
+    assert all(a[1] <= b[0] for a, b in zip(apart, apart[1:], strict=False))
+    assert places.read(spark).count() == 1400
