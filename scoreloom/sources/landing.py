@@ -9,6 +9,8 @@ from scoreloom.schemas import RAW_SCHEMA
 
 
 FILE = "file"  # the column that names the file of a document
+COMPRESSION = "gzip"
+DOCUMENTS_PER_FILE = 1 << 17
 
 
 def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -37,8 +39,13 @@ def stream_documents(
 
 
 def land_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write documents to the landing zone, in parallel, one per line."""
-    documents.select(F.col("json_payload").alias("value")).write.mode(mode).text(path)
+    """Write documents to the landing zone, in parallel, one per line.
+
+    Files are compressed, as documents repeat the same keys. A compressed file is read by one task, so none holds more
+    than ``DOCUMENTS_PER_FILE``.
+    """
+    lines = documents.select(F.col("json_payload").alias("value")).write.mode(mode)
+    lines.option("compression", COMPRESSION).option("maxRecordsPerFile", DOCUMENTS_PER_FILE).text(path)
 
 
 def documents_from_strings(spark: SparkSession, payloads: list[str | None]) -> DataFrame:
