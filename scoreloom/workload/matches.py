@@ -116,7 +116,9 @@ def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     unusable ids and entries; with ids and values of other types; with an id twice; and with
     participants that come again with other values, of whom the first counts.
     """
-    text = document_text()
+    # The text is a column of its own, made once: inside the branches Spark would make it anew in each of them.
+    texts = matches(spark, sf_dir).select("l_orderkey", "match_id", document_text().alias("text"))
+    text = F.col("text")
     kind = F.col("l_orderkey") % 50
     quote = F.lit('"')
     metadata = F.concat(F.lit('"metadata":{"matchId":"'), F.col("match_id"), F.lit('"}'))
@@ -158,7 +160,7 @@ def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 18, with_entries(many))
         .otherwise(text)
     )
-    return matches(spark, sf_dir).select(payload.alias("json_payload"))
+    return texts.select(payload.alias("json_payload"))
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
