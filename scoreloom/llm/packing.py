@@ -31,6 +31,7 @@ PLACE_BITS = 33  # of a sequence's id: its number in its partition, below the pa
 
 RUNS = re.compile(r"[a-zß-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+")  # letters; signs but the apostrophe
 PLAIN = re.compile(f"(?:{RUNS.pattern})+")
+LETTERS = re.compile(r"^[a-zß-öø-ÿ]+$", re.MULTILINE)  # a line that is one run of letters
 JOINED = 200  # runs that are encoded together
 
 Piece = tuple[int, int, int]  # length, document's place in the cell, start
@@ -75,11 +76,14 @@ class WordIds:
 
     def _learn(self, words: list[str]) -> None:
         known = self.known
-        cut = {w: RUNS.findall(w) for w in words if PLAIN.fullmatch(w)}
-        runs = list(set(chain.from_iterable(cut.values())).difference(known))
+        # Most words are one run of letters, which one search finds in all of them; words hold no line feeds.
+        letters = set(LETTERS.findall("\n".join(words)))
+        rest = [w for w in words if w not in letters]
+        cut = {w: RUNS.findall(w) for w in rest if PLAIN.fullmatch(w)}
+        runs = list(letters.union(chain.from_iterable(cut.values())).difference(known))
         known.update(zip(runs, self._encode_runs(runs), strict=True))
         known.update((w, b"".join(map(known.__getitem__, parts))) for w, parts in cut.items())
-        other = [w for w in words if w not in cut]
+        other = [w for w in rest if w not in cut]
         known.update(zip(other, self._encode(other), strict=True))
 
     def _words(self, text: str) -> list[str]:
