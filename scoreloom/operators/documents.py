@@ -96,20 +96,24 @@ def preview(df: DataFrame, *order: str, rows: int = PREVIEW_ROWS) -> DataFrame:
 def match_index(documents: DataFrame, *also: str) -> DataFrame:
     """One row per player and match, and per value of the columns ``also``: ``puuid, match_id, game_ts``.
 
-    Copies of a document are folded before they are shuffled.
+    Each document is shuffled once, as one short row. Its players are told apart, and copies folded, where all rows of a
+    match have met: folding before the shuffle finds few copies, and spills.
     """
-    doc = F.from_json("json_payload", INDEX_SCHEMA, JSON_OPTIONS)
+    payload = F.col("json_payload")
+    # A text without this key names no players. As the text is looked at twice, Spark makes it before the parse, in
+    # compiled code; inside from_json interpreted code would make it.
+    may_list = payload.contains('"puuid"') | payload.contains("\\")
+    doc = F.from_json(F.when(may_list, payload), INDEX_SCHEMA, JSON_OPTIONS)
     match_id, game_ts = F.col("doc.metadata.matchId"), F.col("doc.info.gameEndTimestamp")
-    players = F.filter("doc.info.participants.puuid", lambda puuid: puuid.isNotNull())
-    rows = F.transform(
-        F.array_distinct(players),
-        lambda puuid: F.struct(
-            puuid.alias("puuid"), match_id.alias("match_id"), game_ts.alias("game_ts")
-        ),
-    )
+    players = F.col("doc.info.participants.puuid")
+    # part of the emitted array, as a filter on a parsed value parses twice
+    row = F.array(F.struct(match_id.alias("match_id"), game_ts.alias("game_ts"), players.alias("players")))
     return (
         documents.select(doc.alias("doc"), *also)
-        .select(*also, F.inline(F.when(match_id.isNotNull(), rows)))
+        .select(*also, F.inline(F.when(match_id.isNotNull(), row)))
+        .repartition("match_id")
+        .select(*also, "match_id", "game_ts", F.explode("players").alias("puuid"))
+        .where(F.col("puuid").isNotNull())
         .groupBy("puuid", "match_id", *also)
         .agg(F.max("game_ts").alias("game_ts"))
     )

@@ -1,6 +1,8 @@
 """Document status, quarantine, preview and the latest matches of each player."""
 
 
+from pyspark.sql import functions as F
+
 from scoreloom.operators import documents as docs
 from scoreloom.operators.games import participant_games
 from scoreloom.sources.landing import documents_from_strings, land_documents, read_documents
@@ -105,6 +107,35 @@ def test_index_counts_copies_and_repeated_players_once(spark):
     assert sorted(index.collect()) == [("a", "M1", 5), ("b", "M1", 5)]
 
 
+def test_index_makes_the_text_before_the_parse_and_shuffles_documents_once(spark, plan_of):
+    made = F.to_json(F.struct(F.struct(F.col("id").cast("string").alias("matchId")).alias("metadata")))
+    plan = plan_of(docs.match_index(spark.range(3).select(made.alias("json_payload"))))
+    parse = [line for line in plan.splitlines() if "from_json(" in line]
+    assert len(parse) == 1 and "StructsToJson" not in parse[0] and "StructsToJson" in plan
+    assert plan.count("Exchange") == 1 and "Generate explode" in plan.split("Exchange")[0]
+
+
+def test_index_of_odd_documents(spark):
+    newer = GOOD.replace('"gameEndTimestamp":5', '"gameEndTimestamp":7').replace('{"puuid":"b"', '{"puuid":"c"')
+    timeless = GOOD.replace('"gameEndTimestamp":5,', "").replace('"M1"', '"M2"')
+    escaped = GOOD.replace('"puuid"', '"\\u0070uuid"').replace('"M1"', '"M3"')
+    spaced = GOOD.replace('"puuid":', ' "puuid" : ').replace('"M1"', '"M4"').replace('"b"', "null")
+    nobody = ['{"metadata":{"matchId":"M5"},"info":{"participants":%s}}' % p for p in ("null", "[]", "[null]", "[{}]")]
+    unnamed = [GOOD.replace('"M1"', "null"), GOOD.replace('{"matchId":"M1"}', "{}"), GOOD.replace("puuid", "Puuid")]
+    landed = [GOOD, newer, GOOD, timeless, escaped, spaced, *nobody, *unnamed, GOOD.replace('"', "'"), "", None]
+    found = docs.match_index(documents_from_strings(spark, landed)).collect()
+    assert sorted(map(tuple, found), key=repr) == [
+        ("a", "M1", 7),
+        ("a", "M2", None),
+        ("a", "M3", 5),
+        ("a", "M4", 5),
+        ("b", "M1", 5),
+        ("b", "M2", None),
+        ("b", "M3", 5),
+        ("c", "M1", 7),
+    ]
+
+
 def test_documents_of_a_list_of_matches(spark):
     other = GOOD.replace("M1", "M2")
     landed = documents_from_strings(spark, [GOOD, other, other, "not json"])
